@@ -1,0 +1,2 @@
+"""Batch only: a late correction arrives as a re-extracted month that replaces
+the old one, so there are no streaming operators here."""
