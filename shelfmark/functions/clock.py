@@ -8,9 +8,8 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Zone and formats of the refresh time, default time of day.
+# Zone and format of the refresh time, default time of day.
 REFRESH_ZONE = "America/Sao_Paulo"
-REFRESH_FORMAT = "dd/MM/yyyy HH:mm:ss"
 REFRESH_STRFTIME = "%d/%m/%Y %H:%M:%S"
 MIDNIGHT = "00:00:00"
 
@@ -43,8 +42,9 @@ def time_of_day_from_timestamp(c: Column) -> Column:
 
 
 def refresh_text(utc: Column) -> Column:
-    """A UTC timestamp as local refresh-time text."""
-    return F.date_format(F.from_utc_timestamp(utc, REFRESH_ZONE), REFRESH_FORMAT)
+    """A UTC wall-clock timestamp (without zone) as local refresh-time text."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(REFRESH_ZONE), utc).cast("string")
+    return F.regexp_replace(local, r"^(\d+)-(\d+)-(\d+) (\S{8}).*$", "$3/$2/$1 $4")
 
 
 def refresh_text_at(moment: datetime | None = None) -> str:
