@@ -120,6 +120,12 @@ def profile_frame(df: DataFrame, contract: Contract) -> DataFrame:
     return summary.select(F.inline("facts"), "rows").filter("column is not null")
 
 
+def _demoted(c: Column, name: str) -> Column:
+    """A whole-valued double as bigint; a fraction the profile did not see is an error."""
+    surprise = F.raise_error(F.lit(f"column {name} changed between profile and write"))
+    return F.when(c.isNull() | is_whole(c), c.cast("bigint")).otherwise(surprise)
+
+
 def conform(df: DataFrame, contract: Contract | None, facts: Profile) -> DataFrame:
     """Whole doubles to bigint, declared casts, then typed defaults.
 
@@ -132,7 +138,7 @@ def conform(df: DataFrame, contract: Contract | None, facts: Profile) -> DataFra
         c, dtype = quoted(column.name), column.dataType
         kind = contract.type_of(column.name)
         if facts.whole.get(column.name):
-            c, dtype = c.cast("bigint"), T.LongType()
+            c, dtype = _demoted(c, column.name), T.LongType()
         if kind and can_cast(dtype, kind) and not facts.bad.get(column.name):
             c = cast_to(c, dtype, kind)
         out.append(c.alias(column.name))

@@ -79,6 +79,23 @@ def with_audit(df: DataFrame, tenant: str, as_of: datetime | None = None) -> Dat
     )
 
 
+def _date_text_and_keys(
+    c: Column, dtype: T.DataType, mode: str, date_format: str | None
+) -> tuple[Column, Column, Column]:
+    plain = _plain_type(c, dtype)
+    is_double = isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType))
+    text = double_to_text(plain) if is_double else plain.cast("string")
+    if mode == "positional":
+        return text, F.substring(text, 1, 4), F.substring(text, 6, 2)
+    if mode != "parse":
+        raise ValueError(f"unknown partition key mode {mode!r}")
+    if date_format:
+        day = F.try_to_timestamp(text, F.lit(date_format)).cast("date")
+    else:
+        day = text.try_cast("date")
+    return text, F.date_format(day, "yyyy"), F.date_format(day, "MM")
+
+
 def with_partition_keys(
     df: DataFrame,
     date_col: str | None,
@@ -93,18 +110,26 @@ def with_partition_keys(
     """
     if date_col is None or date_col not in df.columns:
         return df
-    dtype = df.schema[date_col].dataType
-    c = quoted(date_col)
-    text = double_to_text(c) if isinstance(dtype, T.DoubleType) else c.cast("string")
-    if mode == "positional":
-        year, month = F.substring(text, 1, 4), F.substring(text, 6, 2)
-    elif mode == "parse":
-        day = (
-            F.try_to_timestamp(text, F.lit(date_format)).cast("date")
-            if date_format
-            else text.try_cast("date")
-        )
-        year, month = F.date_format(day, "yyyy"), F.date_format(day, "MM")
-    else:
-        raise ValueError(f"unknown partition key mode {mode!r}")
+    text, year, month = _date_text_and_keys(quoted(date_col), df.schema[date_col].dataType, mode, date_format)
     return put_columns(df, {date_col: text, YEAR: year, MONTH: month})
+
+
+def cluster_by_month(
+    df: DataFrame,
+    date_col: str | None,
+    mode: str = "positional",
+    date_format: str | None = None,
+) -> DataFrame:
+    """Rebalance a raw query result by the month its rows will be written to.
+
+    Done before anything else, so the shuffle carries the source's own compact
+    columns and the derived text and default columns are made after it. Adaptive
+    execution splits months above the advisory size over several tasks.
+    """
+    if date_col is None or date_col not in df.columns:
+        return df
+    _, year, month = _date_text_and_keys(quoted(date_col), df.schema[date_col].dataType, mode, date_format)
+    keyed = df.select("*", year.alias("cluster_year"), month.alias("cluster_month"))
+    return keyed.hint("rebalance", F.col("cluster_year"), F.col("cluster_month")).select(
+        *[quoted(name) for name in df.columns]
+    )

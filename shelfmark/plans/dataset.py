@@ -18,8 +18,8 @@ from ..columns import quoted
 from ..contracts import Contract
 from ..functions.numbers import double_to_text
 from ..operators.conform import Profile, checks, conform, kept_columns, profile
-from ..operators.derive import normalize, with_audit, with_partition_keys
-from ..operators.sink import cluster_for_write, partition_cols
+from ..operators.derive import cluster_by_month, normalize, with_audit, with_partition_keys
+from ..operators.sink import partition_cols
 from ..session import scratch_path
 from ..sources.queries import CatalogSource, Split
 from ..storage import delete_tree
@@ -98,7 +98,10 @@ def with_retry(action: Callable[[], Result], attempts: int = 5, delay: float = 5
 
 def prepare(df: DataFrame, spec: DatasetSpec, tenant: str, as_of: datetime | None = None) -> DataFrame:
     """Everything before the contract: plain types, audit columns, partition keys."""
-    plain = normalize(df, spec.time_cols, spec.timestamps_too)
+    return _derive(normalize(df, spec.time_cols, spec.timestamps_too), spec, tenant, as_of)
+
+
+def _derive(plain: DataFrame, spec: DatasetSpec, tenant: str, as_of: datetime | None) -> DataFrame:
     audited = with_audit(plain, tenant, as_of)
     return with_partition_keys(audited, spec.date_column, spec.key_mode, spec.date_format)
 
@@ -152,40 +155,52 @@ def build_dataset(
     copies: int = 1,
     attempts: int = 5,
     delay: float = 5.0,
+    staging: str = "auto",
 ) -> Prepared:
     """Extract and conform the queries of one dataset.
 
-    The result is staged when its schema depends on the data, when several
-    queries feed it, when it goes to several roots (``copies``), and always for a
-    database, which is asked only once. Otherwise the frame stays lazy, ``rows``
-    is unknown, and the write is its only pass.
+    The rows are staged when they go to several roots (``copies``), when several
+    queries feed the dataset, and always for a database, which is asked only
+    once. Otherwise the profile runs the query for the few columns it needs and
+    the write runs it in full; that costs less than landing every column first,
+    and ``conform`` fails the write if the two runs disagree. With no open checks
+    the write is the only pass and ``rows`` is unknown until then.
+    ``staging="always"`` stages everything, for queries that are not repeatable.
     """
+    if staging not in ("auto", "always"):
+        raise ValueError(f"unknown staging {staging!r}")
+    read_once = (
+        staging == "always" or copies > 1 or len(specs) > 1 or not isinstance(source, CatalogSource)
+    )
     staged: list[str] = []
     parts: list[DataFrame] = []
     layouts: set[tuple[str, ...]] = set()
     notes: dict[str, str] = {}
     rows: int | None = 0
-    read_once = copies > 1 or len(specs) > 1 or not isinstance(source, CatalogSource)
 
-    def land(spec: DatasetSpec, path: str) -> tuple[DataFrame, list[str], bool]:
+    def ready(found: DataFrame, spec: DatasetSpec) -> DataFrame:
+        return prepare(found, spec, tenant, as_of)
+
+    def clustered(found: DataFrame, spec: DatasetSpec) -> DataFrame:
+        return cluster_by_month(found, spec.date_column, spec.key_mode, spec.date_format)
+
+    def land(spec: DatasetSpec) -> tuple[DataFrame, Profile]:
         found = source.read(spark, spec.query, spec.split)
-        cols = partition_cols(spec.date_column, found.columns)
-        ready = prepare(found, spec, tenant, as_of)
-        clustered = cluster_for_write(ready, cols)
-        needs_stage = read_once or any(checks(ready, contract))
-        return (stage(clustered, path) if needs_stage else clustered), cols, needs_stage
+        layouts.add(tuple(partition_cols(spec.date_column, found.columns)))
+        if read_once:
+            path = scratch_path(spark, "stage")
+            staged.append(path)
+            plain = normalize(clustered(found, spec), spec.time_cols, spec.timestamps_too)
+            frame = _derive(stage(plain, path), spec, tenant, as_of)
+            return frame, profile(frame, contract)
+        unclustered = ready(found, spec)
+        facts = profile(unclustered, contract) if any(checks(unclustered, contract)) else Profile()
+        return ready(clustered(found, spec), spec), facts
 
     try:
         for spec in specs:
-            path = scratch_path(spark, "stage")
-            staged.append(path)
-            frame, cols, is_staged = with_retry(lambda: land(spec, path), attempts, delay)
-            layouts.add(tuple(cols))
-            if is_staged:
-                facts = profile(frame, contract)
-                rows += facts.rows
-            else:
-                facts, rows = Profile(), None
+            frame, facts = with_retry(lambda: land(spec), attempts, delay)
+            rows = None if rows is None or facts.rows is None else rows + facts.rows
             notes |= kept_columns(frame, contract, facts)
             parts.append(conform(frame, contract, facts))
         if len(layouts) > 1:

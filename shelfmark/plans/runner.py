@@ -141,6 +141,7 @@ def run(
     attempts: int = 5,
     delay: float = 5.0,
     on_layout_change: str = "error",
+    staging: str = "auto",
 ) -> DataFrame:
     """Extract, conform and deliver every dataset, then maybe the refresh table.
 
@@ -164,7 +165,7 @@ def run(
         status = FAILED
         try:
             prepared = build_dataset(
-                spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay
+                spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay, staging
             )
             try:
                 notes = prepared.notes

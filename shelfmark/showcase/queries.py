@@ -65,7 +65,7 @@ from ..sources import (
     read_tenants,
     select_dataset,
 )
-from .sources import DATASET_SQL, SPECS, load_tables
+from .sources import DATASET_SQL, SPECS, load_table, load_tables, tables_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,7 +84,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def _dataset(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        load_tables(spark, sf_dir)
+        load_tables(spark, sf_dir, *tables_of(DATASET_SQL[name]))
         spec = DatasetSpec(name, DATASET_SQL[name])
         found = CatalogSource().read(spark, spec.query)
         return conform_dataset(prepare(found, spec, SAMPLE_TENANT, AS_OF), bundled_contracts()[name])
@@ -103,7 +103,7 @@ flagship = QUERIES["dataset_vendas"]
 
 @query("scan_sql")
 def scan_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    load_tables(spark, sf_dir)
+    load_tables(spark, sf_dir, "orders", "customer", "nation")
     return CatalogSource().read(spark, SCAN_SQL)
 
 
@@ -144,7 +144,7 @@ def contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenant documents made of the customers, written and read as JSON."""
-    customer = load_tables(spark, sf_dir)["customer"]
+    customer = load_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     queries = F.array(
         *[
@@ -192,20 +192,20 @@ def conn_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("audit_columns")
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = load_tables(spark, sf_dir)["customer"]
+    customer = load_table(spark, sf_dir, "customer")
     source = customer.select("c_custkey", F.col("c_mktsegment").alias(TENANT))
     return with_audit(source, SAMPLE_TENANT, AS_OF)
 
 
 @query("partition_keys")
 def partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load_tables(spark, sf_dir)["orders"]
+    orders = load_table(spark, sf_dir, "orders")
     return with_partition_keys(orders.select("o_orderkey", "o_orderdate"), "o_orderdate")
 
 
 @query("decimal_to_double")
 def decimal_to_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load_tables(spark, sf_dir)["orders"]
+    orders = load_table(spark, sf_dir, "orders")
     source = orders.select(
         "o_orderkey",
         F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
@@ -216,7 +216,7 @@ def decimal_to_double(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("time_of_day")
 def time_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load_tables(spark, sf_dir)["events"]
+    events = load_table(spark, sf_dir, "events")
     return events.select(
         "event_id",
         time_of_day_from_text(F.col("ts")).alias("of_ts"),
@@ -227,7 +227,7 @@ def time_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("time_of_day_interval")
 def time_of_day_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Durations since New Year, and the same counted backwards."""
-    events = load_tables(spark, sf_dir)["events"]
+    events = load_table(spark, sf_dir, "events")
     start = F.lit("2024-01-01").cast("timestamp_ntz")
     return events.select(
         "event_id",
@@ -239,14 +239,14 @@ def time_of_day_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("number_to_text")
 def number_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Doubles that end up in text columns, through profile and conform."""
-    orders = load_tables(spark, sf_dir)["orders"]
+    orders = load_table(spark, sf_dir, "orders")
     source = orders.select("o_orderkey", (F.col("o_totalprice") * 1000).alias("text"))
     return conform_dataset(normalize(source), Contract({"text": "string"}))
 
 
 @query("scalar_strings")
 def scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = load_tables(spark, sf_dir)["pages"]
+    pages = load_table(spark, sf_dir, "pages")
     url = F.col("url")
     return pages.select(
         "page_id",
@@ -262,7 +262,7 @@ def scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("destination_alias")
 def destination_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load_tables(spark, sf_dir)["events"]
+    events = load_table(spark, sf_dir, "events")
     name = (
         F.when(F.col("event_type") == "view", " AWS ")
         .when(F.col("event_type") == "click", "Amazon")
@@ -276,7 +276,7 @@ def destination_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("document_lookup")
 def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested fields with defaults, and text parsed as an integer with a default."""
-    events = load_tables(spark, sf_dir)["events"]
+    events = load_table(spark, sf_dir, "events")
     props = F.from_json("props", "k string, absent struct<deep: string>")
     return events.select("event_id", "event_type", props.alias("props")).select(
         "event_id",
@@ -291,7 +291,7 @@ def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile")
 def profile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = load_tables(spark, sf_dir)["lineitem"]
+    lineitem = load_table(spark, sf_dir, "lineitem")
     source = lineitem.withColumn("line_text", F.col("l_linenumber").cast("string"))
     contract = Contract(
         {
@@ -307,21 +307,21 @@ def profile_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("demote_whole")
 def demote_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = load_tables(spark, sf_dir)["lineitem"]
+    lineitem = load_table(spark, sf_dir, "lineitem")
     source = normalize(lineitem.select("l_orderkey", "l_quantity", "l_extendedprice"))
     return conform_dataset(source, Contract({"l_orderkey": "int64"}))
 
 
 @query("conform_cast")
 def conform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = load_tables(spark, sf_dir)["customer"]
+    customer = load_table(spark, sf_dir, "customer")
     source = normalize(customer.select("c_custkey", "c_acctbal", "c_name"))
     return conform_dataset(source, Contract({"c_custkey": "string", "c_acctbal": "int64", "c_name": "int64"}))
 
 
 @query("conform_missing")
 def conform_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = load_tables(spark, sf_dir)["customer"]
+    customer = load_table(spark, sf_dir, "customer")
     contract = Contract(
         {
             "c_custkey": "int64",
@@ -339,7 +339,7 @@ def conform_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("conform_open")
 def conform_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undeclared columns pass through, apart from whole doubles."""
-    lineitem = load_tables(spark, sf_dir)["lineitem"]
+    lineitem = load_table(spark, sf_dir, "lineitem")
     source = normalize(lineitem.select("l_orderkey", "l_returnflag", "l_tax", "l_quantity"))
     return conform_dataset(source, Contract({"l_returnflag": "string"}))
 
@@ -347,14 +347,14 @@ def conform_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("conform_without_contract")
 def conform_without_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No contract: even whole doubles stay doubles."""
-    lineitem = load_tables(spark, sf_dir)["lineitem"]
+    lineitem = load_table(spark, sf_dir, "lineitem")
     return conform_dataset(normalize(lineitem.select("l_orderkey", "l_quantity")), None)
 
 
 @query("union_same_name")
 def union_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries whose names agree without spaces: their rows add up."""
-    load_tables(spark, sf_dir)
+    load_tables(spark, sf_dir, "orders")
     half = """
         SELECT o_orderkey AS CodigoVenda, o_custkey AS CodigoCliente, o_orderdate AS DataVenda,
                o_totalprice AS VlrBruto
@@ -370,7 +370,7 @@ def union_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _monthly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with their status standing in for the tenant."""
-    orders = load_tables(spark, sf_dir)["orders"]
+    orders = load_table(spark, sf_dir, "orders")
     dated = with_partition_keys(orders, "o_orderdate")
     return dated.select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias(TENANT), YEAR, MONTH)
 
@@ -392,7 +392,7 @@ def _reload(orders: DataFrame) -> DataFrame:
 
 @query("partitions_reloaded")
 def partitions_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    load_tables(spark, sf_dir)
+    load_tables(spark, sf_dir, "lineitem", "orders")
     spec = DatasetSpec("Vendas", DATASET_SQL["Vendas"])
     ready = prepare(CatalogSource().read(spark, spec.query), spec, SAMPLE_TENANT, AS_OF)
     return reloaded_partitions(ready, PARTITION_KEYS)
@@ -460,7 +460,7 @@ def replace_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("overwrite_tenant")
 def replace_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenant-only layout: one tenant replaced, the others kept."""
-    customer = load_tables(spark, sf_dir)["customer"]
+    customer = load_table(spark, sf_dir, "customer")
     frame = customer.select("c_custkey", "c_acctbal", F.col("c_mktsegment").alias(TENANT))
     root = scratch_path(spark, "customers")
     write_partitioned(frame, root, [TENANT])
@@ -480,7 +480,7 @@ def skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fan_out")
 def deliver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dataset fanned out to two roots, both read back."""
-    customer = load_tables(spark, sf_dir)["customer"]
+    customer = load_table(spark, sf_dir, "customer")
     frame = customer.select("c_custkey", "c_name", F.col("c_mktsegment").alias(TENANT))
     roots = {name: scratch_path(spark, f"root-{name}") for name in ("a", "b")}
     errors = fan_out(frame, list(roots.values()), [TENANT])
@@ -495,7 +495,7 @@ def deliver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("refresh_table")
 def refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh rows per tenant (the event type), delivered and read back."""
-    events = load_tables(spark, sf_dir)["events"]
+    events = load_table(spark, sf_dir, "events")
     latest = events.groupBy(F.col("event_type").alias("tenant")).agg(F.max("ts").alias("refreshed_at"))
     table = refresh_rows(latest, bundled_contracts()["Atualizacao"])
     root = scratch_path(spark, "refresh")
@@ -543,7 +543,7 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("publish_gate")
 def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dataset per event type, ok when its smallest value is large enough."""
-    events = load_tables(spark, sf_dir)["events"]
+    events = load_table(spark, sf_dir, "events")
     status = events.groupBy(F.col("event_type").alias("dataset")).agg((F.min("value") >= 0.02).alias("ok"))
     out = None
     for case, frame in (("all", status), ("passing", status.filter("ok"))):

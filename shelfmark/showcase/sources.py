@@ -59,9 +59,19 @@ DATASET_SQL = {
 SPECS = [DatasetSpec(name, query) for name, query in DATASET_SQL.items()]
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The sample tables, also as temporary views for the source SQL."""
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
+def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Sample tables (all by default), also as temporary views for the source SQL."""
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names or TABLES}
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
     return tables
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return load_tables(spark, sf_dir, name)[name]
+
+
+def tables_of(sql: str) -> list[str]:
+    """Sample tables a source query names."""
+    words = set(sql.split())
+    return [name for name in TABLES if name in words]
