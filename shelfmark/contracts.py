@@ -90,10 +90,14 @@ BUNDLED = {
 @dataclass(frozen=True)
 class Contract:
     """Declared columns in order. A type name outside ``TYPES`` is allowed: such
-    a column is left as it comes, or added as empty text when missing."""
+    a column is left as it comes, or added as empty text when missing. An empty
+    contract counts as none."""
 
     columns: dict[str, str]
 
+    def __bool__(self) -> bool:
+        return bool(self.columns)
+
     def type_of(self, name: str) -> str | None:
         return self.columns.get(name)
 

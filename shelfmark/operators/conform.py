@@ -78,7 +78,7 @@ def checks(df: DataFrame, contract: Contract | None) -> tuple[dict[str, Column],
     """Aggregates still to be answered: whole-number tests and cast-failure counts."""
     whole: dict[str, Column] = {}
     bad: dict[str, Column] = {}
-    if contract is None:
+    if not contract:
         return whole, bad
     for column in df.schema.fields:
         c, kind = quoted(column.name), contract.type_of(column.name)
@@ -131,7 +131,7 @@ def conform(df: DataFrame, contract: Contract | None, facts: Profile) -> DataFra
 
     Columns without a contract pass through; so does a whole dataset without one.
     """
-    if contract is None:
+    if not contract:
         return df
     out = []
     for column in df.schema.fields:

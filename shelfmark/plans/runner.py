@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from datetime import datetime, timezone
 from typing import TypeVar
 
@@ -16,8 +17,8 @@ from ..columns import TENANT
 from ..contracts import Contract, bundled_contracts
 from ..operators.sink import overwrite_partitions
 from ..session import RUN_CONF, session_conf
-from ..sources.destinations import apply_hadoop_conf, destinations, read_clouds
-from ..sources.queries import CatalogSource, connection_settings, mysql_source
+from ..sources.clouds import apply_hadoop_conf, destinations, read_clouds
+from ..sources.queries import CatalogSource, Split, connection_settings, mysql_source
 from ..sources.registry import (
     DEFAULT_WORKERS,
     RegistryError,
@@ -222,13 +223,15 @@ def run_from_documents(
     source: Source | None = None,
     default_portal: str | None = None,
     defaults: Mapping[str, object] | None = None,
+    splits: Mapping[str, Split] | None = None,
     **options: object,
 ) -> DataFrame:
     """A run configured by the tenant and cloud documents.
 
     ``dataset`` limits the run to one query name; an unknown name runs them all.
     ``defaults`` are connection fields the tenant document may leave out;
-    ``source`` replaces the configured database.
+    ``source`` replaces the configured database; ``splits`` names, per dataset,
+    the column by which the database is read in parallel.
     """
     document = tenant_document(read_tenants(spark, tenants_path), tenant)
     queries = dataset_queries(document)
@@ -240,5 +243,6 @@ def run_from_documents(
         source = mysql_source(**connection_settings(document, **(defaults or {})).first().asDict())
     options.setdefault("workers", document.select(workers_setting()).first()[0])
     chosen = select_dataset(queries, dataset).select("name", "query").collect()
-    specs = [DatasetSpec(row["name"], row["query"]) for row in chosen]
+    plain = [DatasetSpec(row["name"], row["query"]) for row in chosen]
+    specs = [replace(spec, split=(splits or {}).get(spec.dataset)) for spec in plain]
     return run(spark, specs, tenant, [target.root for target in targets], source=source, **options)

@@ -23,8 +23,11 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
-# Needed while datasets run: names are case-exact, partition values stay text.
+# Needed while datasets run: names are case-exact, partition values stay text,
+# and large months are cut at run time.
 RUN_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.caseSensitive": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -1,6 +1,6 @@
 """Queries, configuration documents and destination listings."""
 
-from .destinations import Destination, apply_hadoop_conf, destinations, read_clouds
+from .clouds import Destination, apply_hadoop_conf, destinations, read_clouds
 from .listing import list_objects, read_dataset
 from .queries import CatalogSource, JdbcSource, Split, connection_settings, mysql_source
 from .registry import (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,18 +19,25 @@ MYSQL_URL_OPTIONS = "useCursorFetch=true&tinyInt1isBit=false"
 
 @dataclass(frozen=True)
 class Split:
-    """Range of a numeric, date or timestamp column for a parallel database read."""
+    """Parallel database read by ranges of a numeric, date or timestamp column.
+
+    Without bounds the database is asked for the smallest and largest value.
+    """
 
     column: str
-    lower: str
-    upper: str
     partitions: int
+    lower: str | None = None
+    upper: str | None = None
 
 
 def query_text(query: str) -> str:
     return query.strip().rstrip(";").rstrip()
 
 
+def bounds_query(query: str, column: str) -> str:
+    return f"SELECT MIN(q.{column}) AS lo, MAX(q.{column}) AS hi FROM ({query_text(query)}) q"
+
+
 class CatalogSource:
     """Tables and views known to the Spark session."""
 
@@ -72,13 +79,13 @@ class JdbcSource:
         return options | self.options
 
     def read(self, spark: SparkSession, query: str, split: Split | None = None) -> DataFrame:
+        if split is not None and split.lower is None:
+            split = self._bounded(spark, query, split)
         return spark.read.format("jdbc").options(**self.reader_options(query, split)).load()
 
-    def split_by(self, spark: SparkSession, query: str, column: str, partitions: int) -> Split | None:
-        """Bounds of ``column`` asked from the database; None for an empty result."""
-        bounds = f"SELECT MIN(q.{column}) AS lo, MAX(q.{column}) AS hi FROM ({query_text(query)}) q"
-        row = self.read(spark, bounds).first()
-        return None if row[0] is None else Split(column, str(row[0]), str(row[1]), partitions)
+    def _bounded(self, spark: SparkSession, query: str, split: Split) -> Split | None:
+        row = self.read(spark, bounds_query(query, split.column)).first()
+        return None if row[0] is None else replace(split, lower=str(row[0]), upper=str(row[1]))
 
 
 def connection_settings(

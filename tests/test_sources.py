@@ -1,0 +1,185 @@
+"""Configuration documents and query sources."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark.functions import (
+    bucket_of,
+    destination_kind,
+    int_or_default,
+    nested,
+    parent_path,
+    without_prefix,
+    without_trailing_slashes,
+)
+from shelfmark.sources import (
+    CatalogSource,
+    JdbcSource,
+    RegistryError,
+    Split,
+    apply_hadoop_conf,
+    connection_settings,
+    dataset_queries,
+    destinations,
+    mysql_source,
+    read_clouds,
+    read_tenants,
+    select_dataset,
+    tenant_document,
+    workers,
+)
+from shelfmark.sources.queries import bounds_query
+
+TENANTS = [
+    {
+        "_id": "T1", "name": "One", "TipoDestino": " S3 ", "portal": "shop",
+        "parametrizacaoIntegracao": {
+            "workers": 2,
+            "conexaoBanco": {"host": "db.invalid", "porta": 3307, "nomeOuCaminhoBanco": "loja", "usuario": "reader"},
+            "consultas": [{"name": "Ven das", "query": "select 1"}, {"name": "Clientes", "query": "select 2"}],
+        },
+    },
+    {
+        "_id": {"$oid": "T2"}, "TipoDestino": "aws",
+        "parametrizacaoIntegracao": {"conexaoBanco": {"porta": "none"}, "consultas": []},
+    },
+    {"_id": "T3"},
+]
+CLOUDS = [
+    {"destino": {"s3": {"chaveAcesso": "old", "bucket": "s3://old-bucket/x", "regiao": "xx"}}},
+    {"destino": {"azure": {"nomeConta": "account", "chaveConta": "", "nomeContainer": "box"}}},
+    {"destino": {"s3": {"chaveAcesso": "", "chaveSecreta": "", "bucket": "s3://bucket/folder", "regiao": "nowhere-1"}}},
+    {"other": 1},
+]
+
+
+@pytest.fixture
+def tenants(spark, tmp_path):
+    (tmp_path / "tenants.json").write_text(json.dumps(TENANTS))
+    return read_tenants(spark, str(tmp_path / "tenants.json"))
+
+
+@pytest.fixture
+def clouds(spark, tmp_path):
+    (tmp_path / "clouds.json").write_text(json.dumps(CLOUDS))
+    return read_clouds(spark, str(tmp_path / "clouds.json"))
+
+
+def test_registry(tenants):
+    queries = dataset_queries(tenant_document(tenants, "T1"))
+    assert sorted(tuple(row) for row in queries.collect()) == [
+        ("T1", "Clientes", "Clientes", "select 2"), ("T1", "Ven das", "Vendas", "select 1"),
+    ]
+    assert [row.name for row in select_dataset(queries, "Clientes").collect()] == ["Clientes"]
+    assert select_dataset(queries, "unknown").count() == select_dataset(queries, "").count() == 2
+    assert dataset_queries(tenant_document(tenants, "T2")).count() == 0
+    for tenant in ("T3", "T9"):
+        with pytest.raises(RegistryError, match=tenant):
+            tenant_document(tenants, tenant)
+
+
+def test_workers(tenants):
+    assert {row._id: row.n for row in tenants.select("_id", workers().alias("n")).collect()} == {
+        "T1": 2, "T2": 4, "T3": 4,
+    }
+
+
+def test_connection_settings_field_by_field(tenants):
+    def settings(tenant, **defaults):
+        return connection_settings(tenant_document(tenants, tenant), **defaults).first().asDict()
+
+    assert settings("T1", host="other", password="") == {
+        "host": "db.invalid", "port": 3307, "database": "loja", "user": "reader", "password": "",
+    }
+    assert settings("T2", host="other", port="3308") == {
+        "host": "other", "port": 3308, "database": None, "user": None, "password": None,
+    }
+    assert settings("T2", port="x")["port"] == settings("T2", port=None)["port"] == 3306
+
+
+def test_destinations(spark, tenants, clouds):
+    (s3,) = destinations(tenant_document(tenants, "T1"), clouds)
+    assert (s3.kind, s3.root) == ("s3", "s3a://bucket/shop")
+    assert s3.hadoop_conf == {"fs.s3a.bucket.bucket.endpoint.region": "nowhere-1"}
+    both = destinations(tenant_document(tenants, "T2"), clouds, default_portal="front")
+    assert [d.root for d in both] == ["abfss://box@account.dfs.core.windows.net/front", "s3a://bucket/front"]
+    apply_hadoop_conf(spark, both)
+    assert spark._jsc.hadoopConfiguration().get("fs.s3a.bucket.bucket.endpoint.region") == "nowhere-1"
+    with pytest.raises(ValueError, match="portal"):
+        destinations(tenant_document(tenants, "T2"), clouds)
+    with pytest.raises(ValueError, match="azure"):
+        destinations(tenant_document(tenants, "T2"), clouds.filter("destino.azure is null"), "front")
+
+
+def test_jdbc_reader_options():
+    source = mysql_source("db.invalid", 3307, "loja", "reader", "")
+    plain = source.reader_options("SELECT 1;\n")
+    assert plain["query"] == "SELECT 1" and "dbtable" not in plain
+    assert plain["url"].startswith("jdbc:mysql://db.invalid:3307/loja?") and plain["fetchsize"] == "10000"
+    split = source.reader_options("SELECT a FROM t", Split("a", 8, "1", "900"))
+    assert split["dbtable"] == "(SELECT a FROM t) q" and "query" not in split
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
+        "a", "1", "900", "8",
+    )
+    assert bounds_query("SELECT a FROM t;", "a") == "SELECT MIN(q.a) AS lo, MAX(q.a) AS hi FROM (SELECT a FROM t) q"
+    assert "secret" not in repr(JdbcSource("jdbc:x", "u", "secret"))
+
+
+def test_jdbc_split_asks_for_bounds(spark, monkeypatch):
+    """The bounds come from the source; no database is started for this test."""
+    source, seen = JdbcSource("jdbc:none:"), []
+    real = JdbcSource.read
+
+    def read(self, session, query, split=None):
+        if split is None:
+            seen.append(query)
+            return session.sql("SELECT 3 AS lo, 90 AS hi")
+        return real(self, session, query, split)
+
+    monkeypatch.setattr(JdbcSource, "read", read)
+    bounded = source._bounded(spark, "SELECT a FROM t", Split("a", 4))
+    assert (bounded.lower, bounded.upper, bounded.partitions) == ("3", "90", 4)
+    assert seen == [bounds_query("SELECT a FROM t", "a")]
+
+
+def test_catalog_source_accepts_a_trailing_semicolon(spark):
+    assert CatalogSource().read(spark, " SELECT 1 AS a ;\n").first().a == 1
+
+
+def test_catalog_query_reaches_the_scan(spark, sf_dir):
+    spark.read.parquet(f"{sf_dir}/orders.parquet").createOrReplaceTempView("orders")
+    frame = CatalogSource().read(spark, "SELECT o_custkey FROM orders WHERE o_orderkey < 10")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderkey), LessThan(o_orderkey,10)]" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+@pytest.mark.parametrize(
+    "text, aliases, expected",
+    [
+        ("AWS ", True, "s3"), ("amazon", True, "s3"), ("s3", True, "s3"), ("Azure", True, "azure"),
+        ("ambos", True, "ambos"), ("other", True, "ambos"), ("aws", False, "ambos"), ("S3", False, "s3"),
+    ],
+)
+def test_destination_kind(spark, text, aliases, expected):
+    assert spark.range(1).select(destination_kind(F.lit(text), aliases)).first()[0] == expected
+
+
+def test_path_scalars(spark):
+    def value(c):
+        return spark.range(1).select(c).first()[0]
+
+    assert value(without_trailing_slashes(F.lit("a/b//"))) == "a/b"
+    assert value(parent_path(F.lit("file"))) == ""
+    assert value(parent_path(F.lit("a/b/"))) == "a/b"
+    assert value(without_prefix(F.lit("p/d/x"), F.lit("p/d"))) == "x"
+    assert value(without_prefix(F.lit("p/dx/x"), F.lit("p/d"))) == "p/dx/x"
+    assert value(bucket_of(F.lit("bucket/x"))) == "bucket"
+    assert value(int_or_default(F.lit("x"), 3306)) == 3306
+    struct = F.from_json(F.lit('{"a": {"b": null}}'), "a struct<b: string>")
+    assert value(nested(struct, "a", "b", default="d")) == "d"
+    assert value(nested(struct, "a", "b")) is None
