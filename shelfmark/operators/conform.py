@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..columns import quoted
+from ..columns import quoted, reject_case_clash
 from ..contracts import TYPES, Contract
 from ..functions.numbers import double_to_text, in_long_range, is_whole
 
@@ -133,6 +133,8 @@ def conform(df: DataFrame, contract: Contract | None, facts: Profile) -> DataFra
     """
     if not contract:
         return df
+    missing = contract.missing_from(df.columns)
+    reject_case_clash(df.sparkSession, [*df.columns, *missing])
     out = []
     for column in df.schema.fields:
         c, dtype = quoted(column.name), column.dataType
@@ -142,7 +144,6 @@ def conform(df: DataFrame, contract: Contract | None, facts: Profile) -> DataFra
         if kind and can_cast(dtype, kind) and not facts.bad.get(column.name):
             c = cast_to(c, dtype, kind)
         out.append(c.alias(column.name))
-    missing = contract.missing_from(df.columns)
     return df.select(*out, *[default.alias(name) for name, default in missing.items()])
 
 

@@ -92,14 +92,31 @@ def group_specs(specs: Sequence[DatasetSpec]) -> dict[str, list[DatasetSpec]]:
 
 
 def extract(
-    spark: SparkSession, specs: Sequence[DatasetSpec], source: Source | None = None
-) -> dict[str, list[DataFrame]]:
-    """The lazy query results of a batch, per dataset."""
+    spark: SparkSession,
+    specs: Sequence[DatasetSpec],
+    source: Source | None = None,
+    workers: int = DEFAULT_WORKERS,
+) -> tuple[dict[str, list[DataFrame]], dict[str, str]]:
+    """Open a batch of queries side by side: lazy results and errors, per dataset.
+
+    A query that cannot be opened leaves an error and does not stop the others.
+    """
     source = source or CatalogSource()
-    return {
-        dataset: [source.read(spark, spec.query, spec.split) for spec in group]
-        for dataset, group in group_specs(specs).items()
-    }
+
+    def one(spec: DatasetSpec) -> DataFrame | str:
+        try:
+            return source.read(spark, spec.query, spec.split)
+        except Exception as error:
+            return _text(error)
+
+    frames: dict[str, list[DataFrame]] = {}
+    errors: dict[str, str] = {}
+    for spec, found in zip(specs, in_threads(spark, one, specs, max(1, workers))):
+        if isinstance(found, str):
+            errors[spec.dataset] = found
+        else:
+            frames.setdefault(spec.dataset, []).append(found)
+    return frames, errors
 
 
 def row_counts(batch: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
@@ -165,6 +182,8 @@ def run(
         rows, delivered, error, notes = None, None, None, {}
         status = FAILED
         try:
+            if not dataset:
+                raise ValueError("query without a name")
             prepared = build_dataset(
                 spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay, staging
             )
@@ -243,6 +262,6 @@ def run_from_documents(
         source = mysql_source(**connection_settings(document, **(defaults or {})).first().asDict())
     options.setdefault("workers", document.select(workers_setting()).first()[0])
     chosen = select_dataset(queries, dataset).select("name", "query").collect()
-    plain = [DatasetSpec(row["name"], row["query"]) for row in chosen]
+    plain = [DatasetSpec(row["name"] or "", row["query"] or "") for row in chosen]
     specs = [replace(spec, split=(splits or {}).get(spec.dataset)) for spec in plain]
     return run(spark, specs, tenant, [target.root for target in targets], source=source, **options)

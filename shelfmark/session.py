@@ -18,18 +18,14 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.scheduler.mode": "FAIR",
-    "spark.sql.caseSensitive": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
-# Needed while datasets run: names are case-exact, partition values stay text,
-# and large months are cut at run time.
+# Needed while datasets run, so that large months are cut at run time. Nothing
+# here may change what a source query means.
 RUN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.caseSensitive": "true",
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

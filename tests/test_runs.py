@@ -12,6 +12,7 @@ from shelfmark.contracts import Contract, bundled_contracts
 from shelfmark.plans import (
     DatasetSpec,
     build_dataset,
+    extract,
     gate_status,
     publish_gate,
     run,
@@ -164,6 +165,34 @@ def test_a_query_that_changes_between_passes_fails_loudly(spark):
     assert statuses(always)["X"] == "written"
 
 
+def test_names_that_clash_by_case_are_refused_unless_the_session_tells_them_apart(spark):
+    spark.createDataFrame([("2024-01-05",)], "datavenda string").createOrReplaceTempView("lower")
+    spec = DatasetSpec("Vendas", "SELECT DATAVENDA AS datavenda FROM lower")
+    report = run(spark, [spec], "T1", [scratch_path(spark, "case")], as_of=AS_OF)
+    assert "differ only by case" in report.first().error
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        root = scratch_path(spark, "case")
+        exact = DatasetSpec("Vendas", "SELECT datavenda FROM lower")
+        assert run(spark, [exact], "T1", [root], as_of=AS_OF).first().status == "written"
+        back = read_dataset(spark, f"{root}/Vendas").first()
+        assert (back["datavenda"], back["DataVenda"]) == ("2024-01-05", "")
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+
+
+def test_a_query_without_a_name_fails_alone(spark, small):
+    root = scratch_path(spark, "nameless")
+    report = run(spark, [DatasetSpec(" ", small), DatasetSpec("Vendas", small)], "T1", [root], as_of=AS_OF)
+    assert statuses(report) == {"": "failed", "Vendas": "written", "Atualizacao": "skipped"}
+
+
+def test_extract_keeps_going_past_a_bad_query(spark, small):
+    frames, errors = extract(spark, [DatasetSpec("a", "SELECT nope FROM small"), DatasetSpec("b c", small)])
+    assert list(frames) == ["bc"] and frames["bc"][0].count() == 3
+    assert list(errors) == ["a"] and "nope" in errors["a"]
+
+
 def test_same_named_queries_add_up(spark, small):
     root = scratch_path(spark, "sum")
     run(spark, [DatasetSpec("Ven das", small), DatasetSpec("Vendas", small)], "T1", [root], as_of=AS_OF)
