@@ -113,6 +113,11 @@ def conform_dataset(df: DataFrame, contract: Contract | None) -> DataFrame:
     return conform(df, contract, facts)
 
 
+def is_repeatable(df: DataFrame) -> bool:
+    """Whether Spark holds the query to give the same rows each time it runs."""
+    return df._jdf.queryExecution().analyzed().deterministic()
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Land rows as flat Parquet in the shared scratch folder and read them back.
 
@@ -160,12 +165,13 @@ def build_dataset(
     """Extract and conform the queries of one dataset.
 
     The rows are staged when they go to several roots (``copies``), when several
-    queries feed the dataset, and always for a database, which is asked only
-    once. Otherwise the profile runs the query for the few columns it needs and
+    queries feed the dataset, when the query calls the likes of ``rand()``, and
+    always for a database, which is asked only once. Otherwise the profile runs the query for the few columns it needs and
     the write runs it in full; that costs less than landing every column first,
     and ``conform`` fails the write if the two runs disagree. With no open checks
     the write is the only pass and ``rows`` is unknown until then.
-    ``staging="always"`` stages everything, for queries that are not repeatable.
+    ``staging="always"`` stages everything, for queries whose rows depend on when
+    they run in ways Spark cannot see.
     """
     if staging not in ("auto", "always"):
         raise ValueError(f"unknown staging {staging!r}")
@@ -187,7 +193,7 @@ def build_dataset(
     def land(spec: DatasetSpec) -> tuple[DataFrame, Profile]:
         found = source.read(spark, spec.query, spec.split)
         layouts.add(tuple(partition_cols(spec.date_column, found.columns)))
-        if read_once:
+        if read_once or not is_repeatable(found):
             path = scratch_path(spark, "stage")
             staged.append(path)
             plain = normalize(clustered(found, spec), spec.time_cols, spec.timestamps_too)

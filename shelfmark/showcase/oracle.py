@@ -143,8 +143,8 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
         SELECT 'unknown', tenant, dataset FROM ({_DOCUMENTS}) AS d
     """,
     "conn_defaults": """
-        SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE 'db.invalid' END AS host,
-               CAST(CASE WHEN c_custkey % 4 IN (0, 1) THEN 3307 ELSE c_custkey END AS INTEGER) AS port,
+        SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name ELSE 'db.invalid' END AS host,
+               CAST(CASE WHEN c_acctbal >= 0 AND c_acctbal < 5000 THEN c_custkey ELSE 3307 END AS INTEGER) AS port,
                lower(c_mktsegment) AS "database", 'reader' AS "user", CAST(NULL AS VARCHAR) AS password
         FROM customer
     """,
@@ -160,7 +160,7 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
     """,
     "decimal_to_double": """
         SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS price,
-               CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS gaps
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS gaps
         FROM orders
     """,
     "time_of_day": f"""
@@ -225,11 +225,7 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
         SELECT CAST(o_orderkey AS VARCHAR) AS CodigoVenda, CAST(o_custkey AS VARCHAR) AS CodigoCliente,
                CAST(o_orderdate AS VARCHAR) AS DataVenda, o_totalprice AS VlrBruto, '' AS CodigoLoja,
                strftime(o_orderdate, '%Y') AS Ano, strftime(o_orderdate, '%m') AS Mes
-        FROM orders WHERE o_orderkey % 2 = 0
-        UNION ALL
-        SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), CAST(o_orderdate AS VARCHAR),
-               o_totalprice, '', strftime(o_orderdate, '%Y'), strftime(o_orderdate, '%m')
-        FROM orders WHERE o_orderkey % 2 = 1
+        FROM orders
     """,
     "partitions_reloaded": f"""
         SELECT DISTINCT '{TENANT_ID}' AS idEmpresa, strftime(o_orderdate, '%Y') AS Ano,

@@ -159,8 +159,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     connection = F.struct(
-        F.when(key % 3 != 0, F.col("c_name")).alias("host"),
-        F.when(key % 4 == 1, "x").when(key % 4 != 0, key.cast("string")).alias("porta"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("host"),
+        F.when(F.col("c_acctbal") < 0, "x").when(F.col("c_acctbal") < 5000, key.cast("string")).alias("porta"),
         F.lower("c_mktsegment").alias("nomeOuCaminhoBanco"),
     )
     documents = customer.select(
@@ -212,7 +212,7 @@ def decimal_to_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = orders.select(
         "o_orderkey",
         F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
-        F.when(F.col("o_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("gaps"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("gaps"),
     )
     return normalize(source)
 
@@ -358,12 +358,12 @@ def conform_without_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries whose names agree without spaces: their rows add up."""
     load_tables(spark, sf_dir, "orders")
-    half = """
+    source = """
         SELECT o_orderkey AS CodigoVenda, o_custkey AS CodigoCliente, o_orderdate AS DataVenda,
                o_totalprice AS VlrBruto
-        FROM orders WHERE o_orderkey % 2 = {}
+        FROM orders WHERE o_orderdate {} TIMESTAMP '1998-01-01 00:00:00'
     """
-    specs = [DatasetSpec("Ven das", half.format(0)), DatasetSpec("Vendas", half.format(1))]
+    specs = [DatasetSpec("Ven das", source.format("<")), DatasetSpec("Vendas", source.format(">="))]
     built = build_dataset(spark, specs, CatalogSource(), bundled_contracts()["Vendas"], SAMPLE_TENANT, AS_OF)
     return built.frame.select("CodigoVenda", "CodigoCliente", "DataVenda", "VlrBruto", "CodigoLoja", YEAR, MONTH)
 
