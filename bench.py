@@ -19,7 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from shelfmark.columns import MONTH, PARTITION_KEYS, TENANT, YEAR  # noqa: E402
+from shelfmark.columns import MONTH, PARTITION_KEYS, YEAR  # noqa: E402
 from shelfmark.contracts import bundled_contracts  # noqa: E402
 from shelfmark.operators import (  # noqa: E402
     cluster_by_month,

@@ -5,7 +5,6 @@ from .clock import (
     refresh_text_at,
     time_of_day_from_interval,
     time_of_day_from_text,
-    time_of_day_from_timestamp,
 )
 from .documents import nested
 from .numbers import double_to_text, in_long_range, int_or_default, is_whole
@@ -24,5 +23,5 @@ __all__ = [
     "bucket_of", "destination_kind", "double_to_text", "first_segment", "in_long_range",
     "int_or_default", "is_whole", "nested", "object_path", "parent_path", "refresh_text",
     "refresh_text_at", "time_of_day_from_interval", "time_of_day_from_text",
-    "time_of_day_from_timestamp", "without_prefix", "without_spaces", "without_trailing_slashes",
+    "without_prefix", "without_spaces", "without_trailing_slashes",
 ]

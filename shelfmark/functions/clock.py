@@ -17,7 +17,10 @@ _CLOCK = r"(\d{2}:\d{2}:\d{2})"
 
 
 def time_of_day_from_text(c: Column) -> Column:
-    """First ``hh:mm:ss`` in the text, midnight when there is none."""
+    """First ``hh:mm:ss`` in the text, midnight when there is none.
+
+    Timestamps work too, through their text, which no daylight-saving gap shifts.
+    """
     found = F.regexp_extract(c.cast("string"), _CLOCK, 1)
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(MIDNIGHT))
 
@@ -36,11 +39,6 @@ def time_of_day_from_interval(c: Column) -> Column:
     return F.coalesce(F.concat(sign, clock, micros), F.lit(MIDNIGHT))
 
 
-def time_of_day_from_timestamp(c: Column) -> Column:
-    """Clock part of a timestamp; JDBC hands TIME columns over as timestamps."""
-    return F.coalesce(F.date_format(c, "HH:mm:ss"), F.lit(MIDNIGHT))
-
-
 def refresh_text(utc: Column) -> Column:
     """A UTC wall-clock timestamp (without zone) as local refresh-time text."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(REFRESH_ZONE), utc).cast("string")

@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..columns import MONTH, REFRESHED_AT, TENANT, TENANT_COPY, YEAR, put_columns, quoted
-from ..functions.clock import (
-    refresh_text_at,
-    time_of_day_from_interval,
-    time_of_day_from_text,
-    time_of_day_from_timestamp,
-)
+from ..functions.clock import refresh_text_at, time_of_day_from_interval, time_of_day_from_text
 from ..functions.numbers import double_to_text
 
 _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
@@ -24,10 +19,10 @@ _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 def _time_of_day(c: Column, dtype: T.DataType, timestamps_too: bool) -> Column:
     if isinstance(dtype, T.DayTimeIntervalType):
         return time_of_day_from_interval(c)
-    if isinstance(dtype, _TIMESTAMPS):
-        return time_of_day_from_timestamp(c) if timestamps_too else c
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return c
+    if isinstance(dtype, _TIMESTAMPS) and not timestamps_too:
+        return c
     return time_of_day_from_text(c)
 
 
@@ -52,8 +47,8 @@ def normalize(
     """Bring source types to the few the conformer works on.
 
     Decimals and floats become double, NaN becomes null, integers become bigint,
-    and the ``time_cols`` become ``hh:mm:ss`` text. ``timestamps_too=False``
-    leaves a time column alone when it arrives as a full timestamp.
+    and the ``time_cols`` become ``hh:mm:ss`` text. JDBC hands TIME columns over
+    as timestamps; ``timestamps_too=False`` leaves those alone.
     """
     out = []
     for field in df.schema.fields:

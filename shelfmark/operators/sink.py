@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import MONTH, TENANT, YEAR, quoted
+from ..functions.text import first_segment
 from ..storage import glob_paths
 from .partitions import escape_value, partition_inventory, partition_plan, reloaded_partitions
 
@@ -56,15 +57,26 @@ def write_partitioned(df: DataFrame, root: str, cols: Sequence[str]) -> None:
     )
 
 
-def other_layout(spark: SparkSession, root: str, cols: Sequence[str], tenant: str | None = None) -> list[str]:
-    """Tenant directories below ``root`` laid out differently from ``cols``.
+def tenants_laid_out_otherwise(
+    spark: SparkSession, df: DataFrame, root: str, cols: Sequence[str], tenant: str | None = None
+) -> list[str]:
+    """Tenants of ``df`` that ``root`` holds in the other layout; at most five.
 
-    Lists directory entries one level below the tenant, never the whole tree.
+    For one known tenant this lists a single directory. For several it compares
+    the inventory with the tenants in the data, and reads the data only when
+    some tenant is laid out differently.
     """
-    entry = "*.parquet" if len(cols) > 1 else f"{YEAR}=*"
-    folder = f"{TENANT}=" + ("*" if tenant is None else escape_value(tenant))
-    found = glob_paths(spark, f"{root.rstrip('/')}/{folder}/{entry}")
-    return sorted({path.rsplit("/", 2)[-2] for path in found})
+    if tenant is not None:
+        entry = "*.parquet" if len(cols) > 1 else f"{YEAR}=*"
+        folder = f"{TENANT}={escape_value(tenant)}"
+        return [folder] if glob_paths(spark, f"{root.rstrip('/')}/{folder}/{entry}") else []
+    is_dated = F.col("path").contains(f"/{YEAR}=")
+    other = partition_inventory(spark, root).filter(~is_dated if len(cols) > 1 else is_dated)
+    folders = other.select(first_segment(F.col("path")).alias("path")).distinct()
+    if folders.isEmpty():
+        return []
+    mine = reloaded_partitions(df, cols[:1]).select("path")
+    return [row.path for row in folders.join(mine, "path", "left_semi").limit(5).collect()]
 
 
 def overwrite_partitions(
@@ -88,11 +100,7 @@ def overwrite_partitions(
     if dry_run:
         return partition_plan(partition_inventory(spark, root, tenant), reloaded_partitions(df, cols))
     if on_layout_change == "error":
-        others = other_layout(spark, root, cols, tenant)
-        if others and tenant is None:
-            folders = spark.createDataFrame([(name,) for name in others], "path string")
-            mine = reloaded_partitions(df, cols[:1])
-            others = [row.path for row in folders.join(mine, "path", "left_semi").limit(5).collect()]
+        others = tenants_laid_out_otherwise(spark, df, root, cols, tenant)
         if others:
             raise LayoutChange(f"{root}: {', '.join(others)} would change between tenant and month layout")
     write_partitioned(df, root, cols)

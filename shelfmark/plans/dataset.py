@@ -11,7 +11,6 @@ from typing import Protocol, TypeVar
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..columns import quoted
@@ -166,10 +165,11 @@ def build_dataset(
 
     The rows are staged when they go to several roots (``copies``), when several
     queries feed the dataset, when the query calls the likes of ``rand()``, and
-    always for a database, which is asked only once. Otherwise the profile runs the query for the few columns it needs and
-    the write runs it in full; that costs less than landing every column first,
-    and ``conform`` fails the write if the two runs disagree. With no open checks
-    the write is the only pass and ``rows`` is unknown until then.
+    always for a database, which is asked only once. Otherwise the profile runs
+    the query for the few columns it needs and the write runs it in full; that
+    costs less than landing every column first, and ``conform`` fails the write
+    if the two runs disagree. With no open checks the write is the only pass and
+    ``rows`` is unknown until then.
     ``staging="always"`` stages everything, for queries whose rows depend on when
     they run in ways Spark cannot see.
     """

@@ -13,7 +13,6 @@ from ..contracts import Contract, bundled_contracts
 from ..functions import (
     bucket_of,
     destination_kind,
-    double_to_text,
     first_segment,
     int_or_default,
     nested,
@@ -27,7 +26,6 @@ from ..functions import (
 )
 from ..operators import (
     cluster_for_write,
-    conform,
     normalize,
     overwrite_partitions,
     partition_inventory,

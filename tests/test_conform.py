@@ -23,7 +23,7 @@ from shelfmark.operators import (
     with_audit,
     with_partition_keys,
 )
-from shelfmark.plans import conform_dataset
+from shelfmark.plans import conform_dataset, refresh_rows
 
 
 def column(spark, values, kind):
@@ -207,6 +207,21 @@ def test_time_column(spark, value, kind, expected):
     assert normalize(source).first()[0] == expected
 
 
+def test_no_daylight_saving_gap_shifts_a_text(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = datetime(2024, 3, 10, 2, 30)
+        source = spark.createDataFrame([(gap, gap)], "DataVenda timestamp_ntz, HoraVenda timestamp_ntz")
+        row = with_partition_keys(normalize(source), "DataVenda").first()
+        assert (row.DataVenda, row.HoraVenda) == ("2024-03-10 02:30:00", "02:30:00")
+        rows = spark.createDataFrame([("T", gap)], "tenant string, refreshed_at timestamp_ntz")
+        assert refresh_rows(rows).first().DataHoraAtualizacao == "09/03/2024 23:30:00"
+        hour = spark.sql("SELECT INTERVAL '02:30:00' HOUR TO SECOND AS HoraVenda")
+        assert normalize(hour).first()[0] == "02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_time_column_kept_as_timestamp_on_request(spark):
     source = spark.createDataFrame([(datetime(2024, 1, 5, 6),)], "HoraVenda timestamp_ntz")
     assert normalize(source, timestamps_too=False).dtypes == [("HoraVenda", "timestamp_ntz")]

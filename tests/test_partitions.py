@@ -147,7 +147,8 @@ def test_levels_of_dated_reloads(spark):
 
 
 def test_summary_labels(spark):
-    frame = spark.createDataFrame([("Mes", "b/"), ("Mes", "a"), ("Mes", "b"), ("idEmpresa", "x")], "level string, path string")
+    rows = [("Mes", "b/"), ("Mes", "a"), ("Mes", "b"), ("idEmpresa", "x")]
+    frame = spark.createDataFrame(rows, "level string, path string")
     assert {row.level: (row.partitions, row.label) for row in plan_summary(frame).collect()} == {
         "Mes": (2, "Mes: a ... b (2 partições)"), "idEmpresa": (1, "idEmpresa: x (1 partição)"),
     }

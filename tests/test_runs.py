@@ -323,7 +323,8 @@ def test_run_from_documents(spark, small, tmp_path, monkeypatch):
     tenant = {
         "_id": "T1", "TipoDestino": "s3", "portal": "shop",
         "parametrizacaoIntegracao": {
-            "workers": 2, "consultas": [{"name": "Ven das", "query": small}, {"name": "Extra", "query": "SELECT 1 AS a"}],
+            "workers": 2,
+            "consultas": [{"name": "Ven das", "query": small}, {"name": "Extra", "query": "SELECT 1 AS a"}],
         },
     }
     (tmp_path / "t.json").write_text(json.dumps([tenant]))

@@ -71,7 +71,9 @@ def test_other_tenants_and_months_survive(spark):
 
 
 row_lists = st.lists(
-    st.tuples(st.sampled_from("AB"), st.sampled_from(["2023", "2024"]), st.sampled_from(["01", "02"]), st.integers(0, 9)),
+    st.tuples(
+        st.sampled_from("AB"), st.sampled_from(["2023", "2024"]), st.sampled_from(["01", "02"]), st.integers(0, 9)
+    ),
     min_size=1, max_size=8,
 )
 
@@ -116,7 +118,8 @@ def test_one_bad_root_does_not_stop_the_other(spark, tmp_path):
 
 def hot_month(spark):
     """240,000 rows of which two thirds fall into one month."""
-    day = F.when(F.col("id") % 3 < 2, "2024-01-05").otherwise(F.concat(F.lit("2023-0"), F.col("id") % 9 + 1, F.lit("-01")))
+    other = F.concat(F.lit("2023-0"), F.col("id") % 9 + 1, F.lit("-01"))
+    day = F.when(F.col("id") % 3 < 2, "2024-01-05").otherwise(other)
     return spark.range(0, 240_000, 1, 16).select(day.alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
 
 
