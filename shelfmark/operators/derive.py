@@ -34,7 +34,7 @@ def _plain_type(c: Column, dtype: T.DataType) -> Column:
         return c.cast("double")
     if isinstance(dtype, T.IntegralType):
         return c.cast("bigint")
-    if isinstance(dtype, T.NullType):
+    if isinstance(dtype, (T.NullType, T.TimeType)):  # Parquet holds neither
         return c.cast("string")
     return c
 

@@ -205,6 +205,32 @@ def test_extract_keeps_going_past_a_bad_query(spark, small):
     assert list(errors) == ["a"] and "nope" in errors["a"]
 
 
+EVERY_TYPE = """
+    SELECT TIME'10:20:30.5' AS t, INTERVAL '1 02:03:04' DAY TO SECOND AS i, INTERVAL '2' MONTH AS m, X'0a' AS b,
+           NULL AS v, array(1, 2) AS a, map('k', 1) AS mp, named_struct('z', 1.5D) AS st,
+           CAST('x' AS CHAR(3)) AS ch, CAST('y' AS VARCHAR(4)) AS vc, TIMESTAMP'2024-01-05 10:00:00' AS ts,
+           DATE'2024-01-05' AS d, CAST(1.5 AS FLOAT) AS f, CAST(3 AS TINYINT) AS ti,
+           CAST(2.50 AS DECIMAL(5, 2)) AS de, true AS bo
+"""
+
+
+@pytest.mark.parametrize("staging", ["auto", "always"])
+def test_every_source_type_can_be_delivered(spark, staging):
+    root = scratch_path(spark, "types")
+    contract = {"X": Contract({"t": "string", "ch": "int64", "bo": "string"})}
+    report = run(spark, [DatasetSpec("X", EVERY_TYPE)], "T1", [root], contract, staging=staging)
+    assert report.first().status == "written" and report.first().notes == "ch: 1 values are no int64"
+    back = read_dataset(spark, f"{root}/X")
+    kinds = {name: kind for name, kind in back.dtypes if name not in ("idEmp", "idEmpresa", "DataHoraAtualizacao")}
+    assert kinds == {
+        "t": "string", "i": "interval day to second", "m": "interval month", "b": "binary", "v": "string",
+        "a": "array<int>", "mp": "map<string,int>", "st": "struct<z:double>", "ch": "string", "vc": "string",
+        "ts": "timestamp", "d": "date", "f": "double", "ti": "bigint", "de": "double", "bo": "string",
+    }
+    row = back.select("t", "v", "f", "de", "bo").first()
+    assert (row.t, row.v, row.f, row.de, row.bo) == ("10:20:30.5", None, 1.5, 2.5, "true")
+
+
 def test_same_named_queries_add_up(spark, small):
     root = scratch_path(spark, "sum")
     run(spark, [DatasetSpec("Ven das", small), DatasetSpec("Vendas", small)], "T1", [root], as_of=AS_OF)
