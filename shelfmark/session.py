@@ -58,13 +58,14 @@ _local_scratch: str | None = None
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
+    """A new, unused path in the shared folder named by ``spark.checkpoint.dir``
+    or, failing that, set as the checkpoint folder of the context.
 
     Executors on other hosts must see it, so a machine-local folder is used only
     when Spark itself runs in local mode and nothing is configured.
     """
     global _local_scratch
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
