@@ -32,12 +32,12 @@ def partition_cols(date_col: str | None, columns: Sequence[str]) -> list[str]:
 def cluster_for_write(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition together without making one task per key.
 
-    Adaptive execution cuts a month that is larger than the advisory size into
-    several tasks and packs small months together, so a month holding a third of
-    all rows still spreads out. A tenant-only layout has a single directory per
-    task already and needs no shuffle.
+    Adaptive execution cuts a partition that is larger than the advisory size
+    into several tasks and packs small ones together, so one holding a third of
+    all rows still spreads out. Data of one tenant without months is a single
+    partition and needs no clustering.
     """
-    return df.hint("rebalance", *[quoted(name) for name in cols]) if len(cols) > 1 else df
+    return df.hint("rebalance", *[quoted(name) for name in cols])
 
 
 def write_partitioned(df: DataFrame, root: str, cols: Sequence[str]) -> None:

@@ -464,7 +464,7 @@ def replace_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = load_table(spark, sf_dir, "customer")
     frame = customer.select("c_custkey", "c_acctbal", F.col("c_mktsegment").alias(TENANT))
     root = scratch_path(spark, "customers")
-    write_partitioned(frame, root, [TENANT])
+    write_partitioned(cluster_for_write(frame, [TENANT]), root, [TENANT])
     building = frame.filter(F.col(TENANT) == "BUILDING").withColumn("c_acctbal", F.lit(0.0))
     overwrite_partitions(building, root, [TENANT])
     return read_dataset(spark, root, frame.schema)

@@ -34,8 +34,13 @@ def query_text(query: str) -> str:
     return query.strip().rstrip(";").rstrip()
 
 
+def _subquery(query: str) -> str:
+    """The query in parentheses; on lines of its own, so it may end in a comment."""
+    return f"(\n{query_text(query)}\n) q"
+
+
 def bounds_query(query: str, column: str) -> str:
-    return f"SELECT MIN(q.{column}) AS lo, MAX(q.{column}) AS hi FROM ({query_text(query)}) q"
+    return f"SELECT MIN(q.{column}) AS lo, MAX(q.{column}) AS hi FROM {_subquery(query)}"
 
 
 class CatalogSource:
@@ -57,7 +62,6 @@ class JdbcSource:
     options: dict[str, str] = field(default_factory=dict)
 
     def reader_options(self, query: str, split: Split | None = None) -> dict[str, str]:
-        text = query_text(query)
         options = {
             "url": self.url,
             "fetchsize": str(self.fetch_size),
@@ -67,10 +71,10 @@ class JdbcSource:
             if getattr(self, key) is not None:
                 options[key] = getattr(self, key)
         if split is None:
-            options["query"] = text
+            options["query"] = query_text(query) + "\n"
         else:
             options |= {
-                "dbtable": f"({text}) q",
+                "dbtable": _subquery(query),
                 "partitionColumn": split.column,
                 "lowerBound": split.lower,
                 "upperBound": split.upper,

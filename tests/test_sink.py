@@ -145,7 +145,13 @@ def test_small_months_are_not_scattered(spark):
     assert read_dataset(spark, root).count() == 240_000
 
 
+def test_many_tenants_are_not_scattered(spark):
+    root = scratch_path(spark, "tenants")
+    many = spark.range(0, 2000, 1, 8).select((F.col("id") % 20).cast("string").alias("idEmpresa"), "id")
+    write_partitioned(cluster_for_write(many, ["idEmpresa"]), root, ["idEmpresa"])
+    assert len(glob.glob(f"{root}/*/*.parquet")) == 20
+
+
 def test_undated_data_is_not_shuffled(spark):
-    frame_ = spark.range(5).select(F.lit("T").alias("idEmpresa"))
-    assert cluster_for_write(frame_, ["idEmpresa"]) is frame_
-    assert cluster_by_month(frame_, "absent") is frame_
+    undated = spark.range(5).select(F.lit("T").alias("idEmpresa"))
+    assert cluster_by_month(undated, "absent") is undated

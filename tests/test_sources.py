@@ -118,14 +118,15 @@ def test_destinations(spark, tenants, clouds):
 def test_jdbc_reader_options():
     source = mysql_source("db.invalid", 3307, "loja", "reader", "")
     plain = source.reader_options("SELECT 1;\n")
-    assert plain["query"] == "SELECT 1" and "dbtable" not in plain
+    assert plain["query"] == "SELECT 1\n" and "dbtable" not in plain
     assert plain["url"].startswith("jdbc:mysql://db.invalid:3307/loja?") and plain["fetchsize"] == "10000"
     split = source.reader_options("SELECT a FROM t", Split("a", 8, "1", "900"))
-    assert split["dbtable"] == "(SELECT a FROM t) q" and "query" not in split
+    assert split["dbtable"] == "(\nSELECT a FROM t\n) q" and "query" not in split
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
         "a", "1", "900", "8",
     )
-    assert bounds_query("SELECT a FROM t;", "a") == "SELECT MIN(q.a) AS lo, MAX(q.a) AS hi FROM (SELECT a FROM t) q"
+    bounds = "SELECT MIN(q.a) AS lo, MAX(q.a) AS hi FROM (\nSELECT a FROM t -- all\n) q"
+    assert bounds_query("SELECT a FROM t -- all", "a") == bounds
     assert "secret" not in repr(JdbcSource("jdbc:x", "u", "secret"))
 
 
