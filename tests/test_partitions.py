@@ -159,3 +159,18 @@ def test_dry_run_writes_nothing(spark, odd_values):
     plan = overwrite_partitions(odd_values, root, KEYS, dry_run=True)
     assert {row.action for row in plan.collect()} == {"add"}
     assert partition_inventory(spark, root).count() == 0
+
+
+def test_inventory_of_an_empty_root_is_empty(spark, tmp_path):
+    (tmp_path / "idEmpresa=X" / "Ano=2024").mkdir(parents=True)
+    assert partition_inventory(spark, str(tmp_path)).count() == 0
+    assert partition_inventory(spark, str(tmp_path), "X").count() == 0
+
+
+def test_inventory_ignores_unfinished_writes(spark, tmp_path):
+    done, open_ = tmp_path / "idEmpresa=X", tmp_path / ".spark-staging-1" / "idEmpresa=Y"
+    for folder in (done, open_):
+        folder.mkdir(parents=True)
+        (folder / "part.parquet").write_bytes(b"x")
+    (done / "_SUCCESS").write_bytes(b"")
+    assert listed(partition_inventory(spark, str(tmp_path))) == ["idEmpresa=X"]
