@@ -91,8 +91,10 @@ def overwrite_partitions(
 
     ``dry_run`` writes nothing and returns the replacement plan. An undated
     reload over months would drop the tenant's whole history, so a change of
-    layout is an error unless ``on_layout_change="replace"``. ``tenant`` says
-    that all rows belong to that tenant, which narrows the look-ups.
+    layout is an error unless ``on_layout_change="replace"``. Months written over
+    undated rows then leave those rows in place, as no reloaded month covers
+    them, and the tenant has to be read folder by folder. ``tenant`` says that
+    all rows belong to that tenant, which narrows the look-ups.
     """
     spark = df.sparkSession
     if on_layout_change not in ("error", "replace"):

@@ -103,6 +103,9 @@ def test_layout_change_is_an_error_by_default(spark):
     with pytest.raises(LayoutChange, match="idEmpresa=1 "):
         overwrite_partitions(dated.filter("idEmpresa = '1'"), root, KEYS)
     overwrite_partitions(dated.filter("idEmpresa = '12'"), root, KEYS)
+    overwrite_partitions(dated.filter("idEmpresa = '1'"), root, KEYS, on_layout_change="replace")
+    found = {row.path for row in partition_inventory(spark, root, "1").collect()}
+    assert found == {"idEmpresa=1", "idEmpresa=1/Ano=2024/Mes=01"}
     with pytest.raises(ValueError, match="on_layout_change"):
         overwrite_partitions(dated, root, KEYS, on_layout_change="maybe")
 
