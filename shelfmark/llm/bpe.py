@@ -36,7 +36,7 @@ WORD_END = "</w>"
 #: Latin text, where Python's Unicode tables agree with any vocabulary file's.
 PLAIN_BELOW = "ɐ"
 #: Entries of one generation of remembered words; two generations are held.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 
 # The pattern of the vocabulary's pre-tokeniser.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -106,7 +106,7 @@ class Vocabulary:
         self.length, self.shorter = [0] * size, [-1] * size
         self.automaton = ahocorasick.Automaton()
         for s, i in ids.items():
-            self.automaton.add_word(s, (i, len(s)))
+            self.automaton.add_word(s, i)
             self.length[i] = len(s)
             self.shorter[i] = next((ids[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in ids), -1)
         self.automaton.make_automaton()
@@ -136,9 +136,6 @@ class Vocabulary:
         Of equal merges the left one comes first.
         """
         key = (left, right)
-        known = self.compatible.get(key)
-        if known is not None:
-            return known
         limit, good = 2 * len(self.joint) + 2, True
         while True:
             across = self.joint.get((left, right))
@@ -161,26 +158,32 @@ class Vocabulary:
         """Ids of one piece, given in the vocabulary's letters for bytes."""
         data = piece.encode()
         symbols = data[:-1].decode("latin-1") + chr(data[-1] + 256)
-        n = len(symbols)
+        n, length, known = len(symbols), self.length, self.compatible
         longest = [-1] * n
-        for end, (token, length) in self.automaton.iter(symbols):
-            longest[end - length + 1] = token
+        for end, token in self.automaton.iter(symbols):
+            longest[end - length[token] + 1] = token
         found: list[int] = []
         dead = bytearray(n + 1)
         at, token = 0, longest[0]
         while at < n:
-            end = at + self.length[token]
-            if not dead[end] and (not found or self.fits(found[-1], token)):
-                found.append(token)
-                at = end
-                if at < n:
-                    token = longest[at]
-                continue
+            end = at + length[token]
+            if not dead[end]:
+                fits = True
+                if found:
+                    fits = known.get((found[-1], token))
+                    if fits is None:
+                        fits = self.fits(found[-1], token)
+                if fits:
+                    found.append(token)
+                    at = end
+                    if at < n:
+                        token = longest[at]
+                    continue
             token = self.shorter[token]
             while token < 0:
                 dead[at] = 1
                 token = found.pop()
-                at -= self.length[token]
+                at -= length[token]
                 token = self.shorter[token]
         return array("I", found).tobytes()
 
