@@ -36,7 +36,7 @@ WORD_END = "</w>"
 #: Latin text, where Python's Unicode tables agree with any vocabulary file's.
 PLAIN_BELOW = "ɐ"
 #: Entries of one generation of remembered words; two generations are held.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 # The pattern of the vocabulary's pre-tokeniser.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -87,7 +87,6 @@ class Vocabulary:
         self.odd_space = regex.compile("[\x1c-\x1f]")
         self.letters = byte_letters()
         self._matching(model)
-        self._offsets()
         self.piece_ids = Memory(self._piece)
         self.word_ids = Memory(self._word)
         self.compatible: dict[tuple[int, int], bool] = {}
@@ -122,12 +121,6 @@ class Vocabulary:
             self.joint[vocab[a], vocab[b]] = rank
             self.due[i], self.left[i], self.right[i] = rank, vocab[a], vocab[b]
 
-    def _offsets(self) -> None:
-        texts = [(self.text_of.get(i, "") + " ").encode() for i in range(max(self.text_of) + 1)]
-        self.buffer = np.frombuffer(b"".join(texts), np.uint8)
-        self.widths = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.widths)])[:-1]
-
     def fits(self, left: int, right: int) -> bool:
         """Whether merging the texts of both tokens gives this very pair.
 
@@ -220,6 +213,19 @@ class Vocabulary:
         words = text.split() if not self.odd_space.search(text) else [w for w in regex.split(r"\s+", text) if w]
         return b"".join(map(self.word_ids.__getitem__, words))
 
+
+class TokenTexts:
+    """Token texts, each with a blank, in one buffer with a table of offsets."""
+
+    def __init__(self, content: bytes):
+        spec = json.loads(content)
+        text_of = {i: t for t, i in spec["model"]["vocab"].items()}
+        text_of |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+        texts = [(text_of.get(i, "") + " ").encode() for i in range(max(text_of) + 1)]
+        self.buffer = np.frombuffer(b"".join(texts), np.uint8)
+        self.widths = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.widths)])[:-1]
+
     def decode(self, ids: bytes) -> bytes:
         """Token texts with blanks between them, in UTF-8."""
         if not ids:
@@ -233,10 +239,15 @@ class Vocabulary:
 
 
 @lru_cache(maxsize=2)
-def _vocabulary(content: bytes) -> Vocabulary:
+def vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
 
 
+@lru_cache(maxsize=2)
+def token_texts(content: bytes) -> TokenTexts:
+    return TokenTexts(content)
+
+
 def ship(df: DataFrame, tokenizer_path: str):
     """Broadcast a vocabulary file (about 2 MB, whatever the data's size)."""
     with open(tokenizer_path, "rb") as file:
@@ -248,7 +259,7 @@ def bpe_encode(df: DataFrame, tokenizer_path: str, *keys: str, text: str = "text
     shared = ship(df, tokenizer_path)
 
     def row(value: str) -> tuple:
-        return (_vocabulary(shared.value).encode(value),)
+        return (vocabulary(shared.value).encode(value),)
 
     return map_texts(df, list(keys), text, "ids binary", row, lambda found: len(found[0]))
 
@@ -263,10 +274,10 @@ def bpe_decode(df: DataFrame, tokenizer_path: str, *keys: str, ids: str = "ids")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vocabulary = _vocabulary(shared.value)
+            texts = token_texts(shared.value)
             start, held, out = 0, 0, []
             for at, value in enumerate(batch.column(place)):
-                out.append(vocabulary.decode(value.as_py() or b""))
+                out.append(texts.decode(value.as_py() or b""))
                 held += len(out[-1])
                 if held >= FLUSH_BYTES or at == batch.num_rows - 1:
                     kept = [batch.column(k).slice(start, len(out)) for k in range(len(keys))]

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import token_digests
 from .common import table
+from .quality import judge_quality
+from .toxicity import judge_toxicity
 
 
 def tokenizer_path() -> str:
@@ -16,3 +18,11 @@ def tokenizer_path() -> str:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
