@@ -30,10 +30,11 @@ from .labelled import labelled_sample, remainder
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 #: Bound on the labelled documents a model is fitted on.
-SAMPLE = 6_000
-#: Bound on the words that have a weight.
+SAMPLE = 4_000
+#: Bound on the words and beginnings that have a weight.
 WORDS = 50_000
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+BEGINNINGS = (4, 5, 6)
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -42,9 +43,14 @@ def plain(word: str) -> str:
     return EDGE.sub("", word.lower())
 
 
+def signs(word: str) -> list[str]:
+    """What counts of a word: itself and how it begins, as insults are inflected."""
+    return [word] + [word[:n] + "*" for n in BEGINNINGS if len(word) > n] if word else []
+
+
 @dataclass
 class ToxicityModel:
-    """Log-odds of a sentence: ``base`` and a weight for each of its words."""
+    """Log-odds of a sentence: ``base`` and the weights of its words' signs."""
 
     weights: dict[str, float]
     base: float
@@ -58,7 +64,7 @@ class ToxicityModel:
         if found is None:
             if len(self._memory) >= 200_000:
                 self._memory.clear()
-            found = self._memory[word] = self.weights.get(plain(word), 0.0)
+            found = self._memory[word] = sum(self.weights.get(s, 0.0) for s in signs(plain(word)))
         return found
 
     def sentences(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
@@ -80,23 +86,22 @@ class ToxicityModel:
             return self.fixed, *spans[0], self.fixed
         worst = int(odds.argmax())
         none = np.logaddexp(0, odds).sum()  # minus log of the chance that no sentence is toxic
-        return float(-np.expm1(-none)), *spans[worst], float(1 / (1 + np.exp(-odds[worst])))
+        return float(-np.expm1(-none)), *spans[worst], float(1 / (1 + np.exp(-np.clip(odds[worst], -60, 60))))
 
 
 def bag(text: str) -> list[str]:
-    """Distinct plain words of each sentence, blanks between them."""
+    """Distinct signs of each sentence, blanks between them."""
     out = []
     for match in SENTENCE.finditer(text):
-        words = {plain(w) for w in match.group().split()} - {""}
-        out.append(" ".join(sorted(words)))
+        out.append(" ".join(sorted({s for w in match.group().split() for s in signs(plain(w))})))
     return [s for s in out if s]
 
 
-def fit_bags(bags: list[list[str]], labels: np.ndarray, words: int = WORDS, rounds: int = 150) -> ToxicityModel:
+def fit_bags(bags: list[list[str]], labels: np.ndarray, words: int = WORDS, rounds: int = 200) -> ToxicityModel:
     """Weights by proximal gradient steps on the noisy-or likelihood.
 
-    A word needs three documents of label 1. Small weights are drawn to zero, as
-    almost all words say nothing.
+    A sign needs three documents of label 1. Small weights are drawn to zero, as
+    almost all signs say nothing.
     """
     kept = [i for i, b in enumerate(bags) if b]
     bags, labels = [bags[i] for i in kept], labels[kept].astype(float)
@@ -124,14 +129,13 @@ def fit_bags(bags: list[list[str]], labels: np.ndarray, words: int = WORDS, roun
     weights[-1] = np.log(max(ones, 1) / len(owner))  # as if every toxic document had one toxic sentence
     squares = np.full(len(weights), 1e-8)
     momentum = np.zeros(len(weights))
-    importance = np.where(labels == 1, min(4.0, zeros / ones), 1.0)
-    step, pull = 0.3, 0.6
+    step, pull = 0.3, 0.05
     for _ in range(rounds):
         odds = weights[-1] + np.bincount(rows, weights[columns], len(owner))
         calm = np.bincount(owner, np.logaddexp(0, odds), len(bags))
         # Derivative of the log-likelihood by ``calm``: toxic documents want more.
-        slope = importance * np.where(labels == 1, 1 / np.expm1(np.clip(calm, 1e-9, 500)), -1.0)
-        by_sentence = slope[owner] / (1 + np.exp(-odds))
+        slope = np.where(labels == 1, 1 / np.expm1(np.clip(calm, 1e-9, 500)), -1.0)
+        by_sentence = slope[owner] / (1 + np.exp(-np.clip(odds, -60, 60)))
         gradient = np.append(np.bincount(columns, by_sentence[rows], len(vocabulary)), by_sentence.sum())
         momentum = 0.9 * momentum + 0.1 * gradient
         squares = 0.99 * squares + 0.01 * gradient**2
