@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import token_digests
 from .common import table
+from .near_dup import near_duplicates
 from .quality import judge_quality
 from .toxicity import judge_toxicity
 
@@ -26,3 +27,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

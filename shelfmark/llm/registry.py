@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries
+from . import oracle, queries
 
 LLM_QUERIES = {name: query for name, query in vars(queries).items() if name.startswith("op")}
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {"op9_near_dup": oracle.NEAR_DUP}
