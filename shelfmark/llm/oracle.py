@@ -24,3 +24,14 @@ reach AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r) AS component_id, s.doc_id = min(r) AS kept
 FROM sets s JOIN reach ON reach.v = s.doc_id GROUP BY s.doc_id, s.s
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size,
+         sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE size >= 100 GROUP BY digest)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON f.digest = p.digest AND p.size >= 100
+"""

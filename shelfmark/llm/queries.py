@@ -7,8 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import token_digests
 from .common import table
 from .near_dup import near_duplicates
+from .order_minhash import fingerprints
+from .packing import pack_documents
+from .pii import pii_report
 from .quality import judge_quality
 from .toxicity import judge_toxicity
+from .warc import round_trip
 
 
 def tokenizer_path() -> str:
@@ -31,3 +35,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(spark, table(spark, sf_dir, "pages"))

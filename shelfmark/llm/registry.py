@@ -5,4 +5,4 @@ from __future__ import annotations
 from . import oracle, queries
 
 LLM_QUERIES = {name: query for name, query in vars(queries).items() if name.startswith("op")}
-LLM_ORACLE: dict[str, str] = {"op9_near_dup": oracle.NEAR_DUP}
+LLM_ORACLE: dict[str, str] = {"op7_warc": oracle.WARC, "op9_near_dup": oracle.NEAR_DUP}

@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+import xxhash
+
+from shelfmark.llm import order_minhash
+from shelfmark.llm.common import table
+from shelfmark.llm.order_minhash import EMPTY, K, SLOTS, fingerprints
+
+MASK = (1 << 64) - 1
+HIGH = MASK ^ ((1 << 24) - 1)
+
+
+def chained(*parts):
+    seed = 42
+    for part in parts:
+        seed = xxhash.xxh64_intdigest(part, seed)
+    return seed
+
+
+def number(x, width):
+    return (x & MASK).to_bytes(8, "little")[:width]
+
+
+def brute_slots(text):
+    """Two least occurrence-numbered k-mers of each slot, in text order."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    if not words:
+        return [EMPTY] * SLOTS
+    seen, elements = {}, []
+    for i in range(max(len(words) - K, 0) + 1):
+        kmer = [(words[i + k] if i + k < len(words) else "").encode() for k in range(K)]
+        hashed = chained(*kmer) & HIGH
+        times = seen[hashed] = seen.get(hashed, -1) + 1
+        if times:
+            hashed = chained(number(hashed, 8), number(times, 4)) & HIGH
+        elements.append((hashed, i))
+    out = []
+    for slot in range(SLOTS):
+        own = sorted(e for e in elements if e[0] >> 58 == slot)[:2]
+        own.sort(key=lambda e: e[1])
+        out.append(f"{chained(*[number(h, 8) for h, _ in own]) & 0xFFFF:04x}" if own else EMPTY)
+    return out
+
+
+def brute_likeness(one, other):
+    known = [(a, b) for a, b in zip(one, other) if a != EMPTY or b != EMPTY]
+    return sum(a == b for a, b in known) / len(known) if known else 1.0
+
+
+def brute_force(rows):
+    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    out = []
+    for i, (d, text) in enumerate(rows):
+        follower = rows[(i + 1) % len(rows)][1]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + follower[:cut]
+        a, b, c = brute_slots(text), brute_slots(edited), brute_slots(follower)
+        out.append((d, len(text), hashlib.sha256(edited.encode()).hexdigest(), "".join(a), "".join(b), brute_likeness(a, b), brute_likeness(a, c)))
+    return sorted(out, key=str)
+
+
+def found(docs):
+    return sorted(map(tuple, fingerprints(docs).collect()), key=str)
+
+
+@pytest.mark.parametrize("rows", [17, 2_000])
+def test_sample_table_against_brute_force(spark, sf_dir, monkeypatch, rows):
+    monkeypatch.setattr(order_minhash, "RANGE_ROWS", rows)
+    docs = table(spark, sf_dir, "documents")
+    assert found(docs) == brute_force([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_edges(documents, monkeypatch):
+    monkeypatch.setattr(order_minhash, "RANGE_ROWS", 2)
+    rows = [(5, None), (9, ""), (-3, " \n "), (12, "one"), (13, "a b c a b c a b c " * 40), (40, "x" * 3000), (41, "é😀 ü w" * 9), (7, "same same"), (7, "same same"), (None, "no id")]
+    docs = documents(rows, "1 AS slots").selectExpr("*", "2 AS range", "3 AS guest", "4 AS next")
+    assert found(docs) == brute_force(rows)
+    assert found(documents(rows[:1])) == brute_force(rows[:1])
+    assert found(documents([(None, "a"), (None, "b c d e")])) == brute_force([(None, "a"), (None, "b c d e")])
+    assert found(documents([])) == []
+
+
+def test_order_matters(documents, spark):
+    words = [f"w{i}" for i in range(200)]
+    swapped = words[100:] + words[:100]
+    result = {r.doc_id: r for r in fingerprints(documents([(1, " ".join(words)), (2, " ".join(swapped))])).collect()}
+    assert result[1].near_next < 0.8
+
+
+def test_no_python_on_executors(spark, sf_dir):
+    plan = fingerprints(table(spark, sf_dir, "documents"))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert plan.count("Exchange hashpartitioning") == 1
