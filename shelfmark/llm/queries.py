@@ -11,7 +11,9 @@ from .order_minhash import fingerprints
 from .packing import pack_documents
 from .pii import pii_report
 from .quality import judge_quality
+from .quality_rules import apply_rules
 from .toxicity import judge_toxicity
+from .url_filter import judge_urls
 from .warc import round_trip
 
 
@@ -51,3 +53,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import re
+
+from shelfmark.llm.common import table
+from shelfmark.llm.url_filter import LOWER, RULES, UPPER, judge_urls, lexical, train_urls, with_rule
+
+
+def brute(url, rules=RULES):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        path = re.match(r"[^?#]*", rest[len(host) :]).group()
+        host = host.translate(str.maketrans(UPPER, LOWER))
+    best = None
+    for rule in rules:
+        verdict, pattern = rule.split(" ", 1)
+        name, _, rest = pattern.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            if best is None or len(pattern) > len(best[1]):
+                best = (verdict, pattern)
+    return host, path, *(reversed(best) if best else (None, None))
+
+
+EDGES = [
+    None, "", "no scheme", "http://", "HTTP://A.ORG", "x://Sub.Example.ORG/es/1?q", "http://example.org/en/12#f", "http://notexample.org/es/",
+    "http://a.com/de/x", "http://com/fr/", "http://b.com/fr?x=1", "http://É.org/", "a://b.org/x://c.com/de/", "http://u:p@h.org:80/es/", "//h.org/",
+    "http://x.net/" + "9" * 50_000,
+]
+
+
+def test_rules_against_brute_force(spark, sf_dir):
+    urls = EDGES + [r.url for r in table(spark, sf_dir, "pages").collect()]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").selectExpr("*", "1 AS host", "2 AS score", "3 AS f_length")
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages).collect()}
+    assert len(found) == len(urls)
+    for i, url in enumerate(urls):
+        host, path, rule, verdict = brute(url)
+        assert found[i][:3] == (host, path, rule)
+        assert found[i][3] == verdict if verdict else found[i][3] in ("allow", "block")
+
+
+def test_trees_learn_what_urls_look_like(spark):
+    good = [f"http://site{i}.org/page/{i}" for i in range(300)]
+    bad = [f"http://example.org/en/1{i}?id={i * 7919}&ref={i}&x=1" for i in range(300)]
+    new = [f"http://other{i}.net/about" for i in range(20)] + [f"http://other{i}.net/q?id={i * 104729}&ref=3&x=2" for i in range(20)]
+    urls = good + bad + new
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = {r.page_id: r.verdict for r in judge_urls(pages).collect()}
+    assert [found[600 + i] for i in range(40)] == ["allow"] * 20 + ["block"] * 20
+
+
+def test_without_labelled_urls(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x"), (None, None)], "page_id bigint, url string")
+    assert [r.verdict for r in judge_urls(pages).collect()] == ["allow"] * 3
+    assert judge_urls(pages.filter("page_id = 7")).count() == 0
+    assert train_urls(with_rule(pages, [])).overall == 0.5
+
+
+def test_features_are_never_null(spark):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(EDGES)], "page_id bigint, url string")
+    for row in lexical(with_rule(pages, RULES)).collect():
+        assert all(v is not None for k, v in row.asDict().items() if k.startswith("f_"))

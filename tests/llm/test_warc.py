@@ -77,13 +77,13 @@ def test_stored_members_inside_a_record_are_not_records():
     packer = zlib.compressobj(0, zlib.DEFLATED, 31)
     outer = packer.compress(head + inner + b"\r\n\r\n") + packer.flush()
     data = outer + record(6, "http://next/", b"q", None)
-    got = [parsed(d)[0] for d in members(pa.PythonFile(io.BytesIO(data)), len(data), 0, len(data))]
+    got = [parsed(d)[0] for d in members(pa.PythonFile(io.BytesIO(data), mode="r"), len(data), 0, len(data))]
     assert [f["WARC-Type"] for f in got] == ["resource", "response"]
 
 
 def test_broken_archives_are_noticed():
     data = record(6, "http://next/", b"q" * 500, None)
-    assert list(members(pa.PythonFile(io.BytesIO(data[:-30])), len(data) - 30, 0, len(data))) == []
+    assert list(members(pa.PythonFile(io.BytesIO(data[:-30]), mode="r"), len(data) - 30, 0, len(data))) == []
     with pytest.raises(ValueError):
         parsed(b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc")
     assert warc.place("file:///tmp/x")[1] == "/tmp/x"
