@@ -12,12 +12,13 @@ screened by the sketches and confirmed on full sets.
 What keeps hot groups in bounds:
 
 * equal sets are one class and join as one document;
-* a large node first confirms its members against one pivot, the member most
-  like the node's typical sketch, in chunks over many tasks. Members known to be
-  of one component need no comparison with each other: nodes of such members
-  only end there, and where the pivot has linked at least half, only the
-  others meet the rest, block by block;
-* what is still large after ``DEPTH`` levels is compared block by block, so no
+* in a large node, the members near a pivot (the one most like the node's typical
+  sketch) form a cluster. A cluster is found once for all trees and compared
+  exhaustively in blocks over many tasks, each block by one matrix product on
+  full sets. Its members need no further comparison with each other, and those
+  closest to the pivot none with members far from it (Jaccard distance is a
+  metric), so only the others branch on;
+* what is still large after ``DEPTH`` levels is compared in blocks as well, so no
   pair is given up;
 * tasks emit links of a spanning forest, not all pairs of a group.
 
@@ -47,6 +48,11 @@ WIDTH = 5
 TOKENS, TREES, LEAF, DEPTH = 64, 8, 64, 4
 #: Further tokens on which a large node branches.
 BRANCHES = 2
+#: Documents of a block; nodes above ``VAST`` branch before clusters are sought.
+BLOCK, VAST = 256, 50_000
+#: Equal tokens with a pivot from which a member is near, and beyond which it
+#: cannot be linked with one that is not: a similarity of 0.25, and 0.15 + 0.25 more.
+NEAR, CORE = 16, 42
 
 _seed = np.random.default_rng(20240229)
 FACTORS = _seed.integers(1, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,13 +172,13 @@ class Forest:
 def likely_groups(nodes: DataFrame, least: int) -> DataFrame:
     """(key, doc_id): documents of one small node that the screen holds together.
 
-    ``nodes`` has node, doc_id, label, side, sketch. Documents of one label are
-    known to hang together, and only pairs that include side 1 count.
+    ``nodes`` has node, doc_id, label, sketch. Documents of one label are
+    compared elsewhere.
     Groups with the same members get the same key, from whichever tree.
     """
 
     def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, doc, label, side = (rows[c].to_numpy() for c in ("node", "doc_id", "label", "side"))
+        node, doc, label = (rows[c].to_numpy() for c in ("node", "doc_id", "label"))
         sketch = sketches(rows["sketch"].combine_chunks())
         keys, docs = [], []
 
@@ -188,15 +194,11 @@ def likely_groups(nodes: DataFrame, least: int) -> DataFrame:
                 if label[start] != label[start + 1] and (sketch[start] == sketch[start + 1]).sum() >= least:
                     emit(doc[start:end])
                 continue
-            part, labels, sides = sketch[start:end], label[start:end], side[start:end]
+            part, labels = sketch[start:end], label[start:end]
             forest = Forest(list(range(size)))
             touched = np.zeros(size, bool)
             for i in range(size - 1):
-                near = np.flatnonzero(
-                    ((part[i + 1 :] == part[i]).sum(axis=1) >= least)
-                    & (labels[i + 1 :] != labels[i])
-                    & ((sides[i + 1 :] | sides[i]) == 1)
-                )
+                near = np.flatnonzero(((part[i + 1 :] == part[i]).sum(axis=1) >= least) & (labels[i + 1 :] != labels[i]))
                 for j in near + i + 1:
                     forest.join(i, int(j))
                     touched[i] = touched[j] = True
@@ -211,38 +213,52 @@ def likely_groups(nodes: DataFrame, least: int) -> DataFrame:
     return by_run(nodes, "node", handle, "key bigint, doc_id bigint")
 
 
+def linked_pairs(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Places i < j of the sets that reach the threshold, by exact counts."""
+    sizes = np.array([len(s) for s in sets])
+    if len(sets) == 2:
+        shared = np.array([[0, len(np.intersect1d(*sets, assume_unique=True))], [0, 0]])
+    else:
+        # Who has what, for the shingles that two sets have, some at a time.
+        values, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        kept = np.cumsum(times > 1) - 1
+        owner, column = np.repeat(np.arange(len(sets)), sizes), np.where(times[number] > 1, kept[number], -1)
+        owner, column = owner[column >= 0], column[column >= 0]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        for low in range(0, int((times > 1).sum()), 8192):
+            cut = slice(*np.searchsorted(column, [low, low + 8192]))
+            part = np.zeros((len(sets), 8192), np.float32)
+            part[owner[cut], column[cut] - low] = 1
+            shared += part @ part.T
+        shared = np.triu(shared.round().astype(np.int64), 1)
+    both = sizes[:, None] + sizes[None, :]
+    return zip(*(found.tolist() for found in np.nonzero((100 * shared >= percent * (both - shared)) & (shared > 0))))
+
+
 def confirm(groups: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(a, b): links of a spanning forest of each group, confirmed on full sets.
 
-    ``groups`` has key, doc_id and pivot. With a pivot, all are compared with it
-    alone. A group has at most a few hundred documents.
+    ``groups`` has key and doc_id. A group has at most some hundred documents.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = groups.join(texts, "doc_id").select("key", "doc_id", "pivot", "text")
-
-    def linked(one: np.ndarray, other: np.ndarray) -> bool:
-        small, large = sorted((len(one), len(other)))
-        if 100 * small < percent * large or not small:
-            return False
-        shared = len(np.intersect1d(one, other, assume_unique=True))
-        return 100 * shared >= percent * (small + large - shared)
+    # The groups grow with the table, so they are never broadcast.
+    rows = groups.join(texts.hint("merge"), "doc_id").select("key", "doc_id", "text")
 
     def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, doc = rows["key"].to_numpy(), rows["doc_id"].to_numpy()
-        pivot, text = rows["pivot"], rows["text"]
+        key, doc, text = rows["key"].to_numpy(), rows["doc_id"].to_numpy(), rows["text"]
         a, b = [], []
         for start, end in runs(key):
             order = start + np.argsort(doc[start:end], kind="stable")
             ids = doc[order].tolist()
             sets = [shingles(text[int(i)].as_py()) for i in order]
             forest = Forest(ids)
-            centre = pivot[start].as_py()
-            for i in range(len(ids)) if centre is None else [k for k, d in enumerate(ids) if d == centre]:
-                for j in range(i + 1 if centre is None else 0, len(ids)):
-                    if forest.root(i) != forest.root(j) and linked(sets[i], sets[j]):
-                        forest.join(i, j)
-                        a.append(min(ids[i], ids[j]))
-                        b.append(max(ids[i], ids[j]))
+            for i, j in linked_pairs(sets, percent):
+                if forest.root(i) != forest.root(j):
+                    forest.join(i, j)
+                    a.append(ids[i])
+                    b.append(ids[j])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return by_run(rows, "key", handle, "a bigint, b bigint")
@@ -312,32 +328,13 @@ def children(members: DataFrame) -> DataFrame:
     return columns.mapInArrow(run, "node bigint, doc_id bigint, label bigint")
 
 
-def blocks(members: DataFrame) -> DataFrame:
-    """Small nodes in which every open member of a large one meets every other.
-
-    ``members`` has node, doc_id, label, sketch, n and side (1: open). Open
-    members are dealt into blocks of half a leaf, all members likewise; a new
-    node is a block of open ones with a block of all.
-    """
-    counted = members.groupBy("node").agg(F.sum("side").alias("open"))
-    dealt = (
-        members.join(counted.filter("open > 0"), "node")
-        .withColumn("rows", F.ceil(F.col("open") / (LEAF // 2)))
-        .withColumn("columns", F.ceil(F.col("n") / (LEAF // 2)))
-        .withColumn("row", F.when(F.col("side") == 1, F.pmod(F.xxhash64("doc_id", "node"), F.col("rows"))))
-        .withColumn("column", F.pmod(F.xxhash64("node", "doc_id"), F.col("columns")))
-    )
-    across = dealt.select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows") - 1)).alias("row"), "column", "node", "doc_id", "label", "sketch",
-        F.lit(0).alias("side"),
-    )
-    along = dealt.filter("side = 1").select(
-        "row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("columns") - 1)).alias("column"), "node", "doc_id", "label", "sketch",
-        F.lit(1).alias("side"),
-    )
-    return across.unionByName(along).select(
-        F.xxhash64("node", "row", "column").alias("node"), "doc_id", "label", "side", "sketch"
-    )
+def blocks(clusters: DataFrame) -> DataFrame:
+    """(key, doc_id): pairs of blocks of each cluster, (pivot, doc_id), so that
+    every member meets every other."""
+    counted = clusters.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = clusters.join(counted, "pivot").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select(F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "doc_id")
 
 
 def find_links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -348,7 +345,7 @@ def find_links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     least = screen(percent)
     rows = reps.select(F.explode("roots").alias("node"), "doc_id", F.col("doc_id").alias("label"))
     by_doc = reps.select("doc_id", "sketch")
-    links, groups, hot_docs = [], [], None
+    groups, clusters = None, None
     for level in range(DEPTH + 1):
         sizes = materialize(
             rows.groupBy("node")
@@ -358,49 +355,25 @@ def find_links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             "nodes",
         )
         small = rows.join(sizes.filter(F.col("n") <= LEAF), "node").join(by_doc, "doc_id")
-        groups.append(likely_groups(small.select("node", "doc_id", "label", F.lit(1).alias("side"), "sketch"), least))
-        large = sizes.filter(F.col("n") > LEAF)
-        if large.isEmpty():
+        likely = likely_groups(small.select("node", "doc_id", "label", "sketch"), least)
+        groups = likely if groups is None else groups.union(likely)
+        if sizes.filter(F.col("n") > LEAF).isEmpty():
             break
-        members = materialize(rows.join(large, "node").join(by_doc, "doc_id"), "members")
-        if hot_docs is None:
-            hot_docs = materialize(docs.select("doc_id", "text").join(members.select("doc_id").distinct(), "doc_id"), "hot-texts")
-        found = pivots(members.select("node", "doc_id", "sketch", "n"))
-        near = with_agreement(members.join(found, "node").select("node", "doc_id", "n", "pivot", "sketch", "pivot_sketch"), "pivot_sketch")
-        pairs = near.filter((F.col("agree") >= least) & (F.col("doc_id") != F.col("pivot")))
-        chunk = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / LEAF))
-        pairs = pairs.groupBy("pivot", "doc_id").agg(F.max("n").alias("n")).withColumn("key", F.xxhash64("pivot", "n", chunk))
-        stars = materialize(pairs.select("key", "pivot", "doc_id"), "stars")
-        stars = stars.union(stars.select("key", "pivot", F.col("pivot").alias("doc_id")).distinct())
-        star_links = materialize(confirm(stars, hot_docs, percent), "star-links")
-        links.append(star_links)
-        ends = star_links.select(F.col("a").alias("doc_id"), F.col("b").alias("pivot"))
-        ends = ends.union(ends.select("pivot", "doc_id")).distinct().withColumn("linked", F.lit(1))
-        known = members.join(found.select("node", "pivot"), "node").join(ends, ["doc_id", "pivot"], "left")
-        linked = (F.col("doc_id") == F.col("pivot")) | F.col("linked").isNotNull()
-        known = materialize(
-            known.select(
-                "node", "doc_id", F.when(linked, F.col("pivot")).otherwise(F.col("label")).alias("label"), "sketch", "n",
-                (~linked).cast("int").alias("side"),
-            ),
-            "known",
-        )
+        members = materialize(rows.join(sizes.filter(F.col("n") > LEAF), "node").join(by_doc, "doc_id"), "members")
         if level == DEPTH:
-            groups.append(likely_groups(blocks(known.withColumn("side", F.lit(1))), least))
-            break
-        dense = known.groupBy("node").agg((F.sum("side") * 2 <= F.count("*")).alias("dense"))
-        known = materialize(known.join(dense, "node"), "known")
-        groups.append(likely_groups(blocks(known.filter("dense").drop("dense")), least))
-        rows = children(known.filter("not dense"))
-    everything = groups[0]
-    for more in groups[1:]:
-        everything = everything.union(more)
-    distinct = everything.distinct().withColumn("pivot", F.lit(None).cast("bigint"))
-    links.append(confirm(distinct, docs, percent))
-    found = links[0]
-    for more in links[1:]:
-        found = found.union(more)
-    return found
+            near = members.select(F.col("node").alias("pivot"), "doc_id")
+        else:
+            vast, large = members.filter(F.col("n") > VAST), members.filter(F.col("n") <= VAST)
+            seen = large.join(pivots(large), "node").select("node", "doc_id", "label", "sketch", "pivot", "pivot_sketch")
+            known = materialize(with_agreement(seen, "pivot_sketch").drop("pivot_sketch"), "agreements")
+            label = F.when(F.col("agree") >= NEAR, F.col("pivot")).otherwise(F.col("label"))
+            onward = known.filter(F.col("agree") < CORE).select("node", "doc_id", label.alias("label"), "sketch")
+            rows = materialize(children(onward.union(vast.select("node", "doc_id", "label", "sketch"))), "children")
+            near = known.filter(F.col("agree") >= NEAR).select("pivot", "doc_id")
+        clusters = near if clusters is None else clusters.union(near)
+    if clusters is not None:
+        groups = groups.union(blocks(materialize(clusters.distinct(), "clusters")))
+    return confirm(groups.distinct(), docs, percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
