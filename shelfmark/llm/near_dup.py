@@ -389,6 +389,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .filter("class_id < last")
         .drop("last")
     )
+    # Written first, so that the join below deals out both sides by itself and
+    # adaptive execution can split a class with very many copies.
+    classes = materialize(classes, "equal-sets")
     classed = materialize(
         described.join(classes, ["k1", "k2"], "left").withColumn(
             "class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))

@@ -225,12 +225,11 @@ def find_pii(docs: DataFrame, model: PiiModel) -> DataFrame:
     ``found`` has the base spans and the added ones, by kind, then start.
     """
     rows = with_candidates(docs)
-    base = F.flatten(
-        F.array(*[
-            F.transform(f"base.{kind}", lambda s, k=i: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-            for i, kind in enumerate(KINDS)
-        ])
-    )
+
+    def numbered(i: int) -> Column:
+        return F.transform(f"base.{KINDS[i]}", lambda s: F.struct(F.lit(i).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
+    base = F.flatten(F.array(*[numbered(i) for i in range(len(KINDS))]))
     rows = rows.withColumn("base_spans", F.array_sort(base))
     overlaps = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     fresh = F.filter("candidates", lambda c: ~c["holds"] & ~F.exists("base_spans", lambda b: overlaps(b, c)))
