@@ -10,8 +10,8 @@ Fitting takes at most ``sample`` labelled documents (words from executors, then
 gradient steps over their sparse counts in the driver); scoring takes every
 document in the tasks of the scan, with a model of at most ``words`` weights.
 
-Edge cases: null and empty texts have no sentence and score 0; if no document
-with label 1 (or none with 0) can be learnt from, the model is constant. Rows
+Edge cases: null and empty texts have no sentence and score 0; unless documents
+of both labels can be learnt from, nothing is known and every score is 0. Rows
 are scored one by one, so repeated rows repeat their score and extra columns do
 not matter.
 """
@@ -106,7 +106,7 @@ def fit_bags(bags: list[list[str]], labels: np.ndarray, words: int = WORDS, roun
     kept = [i for i, b in enumerate(bags) if b]
     bags, labels = [bags[i] for i in kept], labels[kept].astype(float)
     if len(labels) == 0 or labels.min() == labels.max():
-        return ToxicityModel({}, 0.0, float(labels[0]) if len(labels) else 0.5)
+        return ToxicityModel({}, 0.0, 0.0)
     seen: dict[str, list[int]] = {}
     for b, label in zip(bags, labels):
         for word in set(" ".join(b).split()):

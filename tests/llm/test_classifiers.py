@@ -102,8 +102,8 @@ def test_dual_descent_reaches_the_hinge_optimum():
 
 
 def test_constant_models():
-    assert fit_bags([["a"]], np.array([1])).judge("a b")[0] == 1.0
-    assert fit_bags([], np.array([])).judge("a")[0] == 0.5
+    assert fit_bags([["a"]], np.array([1])).judge("a b")[0] == 0.0
+    assert fit_bags([], np.array([])).judge("a")[0] == 0.0
     assert quality.fit_rows([], np.array([], int), 8).score("a") == 0.5
 
 
