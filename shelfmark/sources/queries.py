@@ -105,13 +105,10 @@ def connection_settings(
     def setting(key: str, default: str | None) -> Column:
         return nested(F.col("parametrizacaoIntegracao"), "conexaoBanco", key, default=default)
 
-    try:
-        default_port = int(port) if port else DEFAULT_PORT
-    except (TypeError, ValueError):
-        default_port = DEFAULT_PORT
+    fallback = int_or_default(F.lit(None if port is None else str(port)), DEFAULT_PORT)
     return tenants.select(
         setting("host", host).alias("host"),
-        int_or_default(setting("porta", None), default_port).alias("port"),
+        F.coalesce(int_or_default(setting("porta", None), None), fallback).alias("port"),
         setting("nomeOuCaminhoBanco", database).alias("database"),
         setting("usuario", user).alias("user"),
         setting("senha", password).alias("password"),
