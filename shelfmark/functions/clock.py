@@ -8,11 +8,10 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Zone and format of the refresh time, default time of day.
+# Zone and format of the refresh time, default and form of a time of day.
 REFRESH_ZONE = "America/Sao_Paulo"
 REFRESH_STRFTIME = "%d/%m/%Y %H:%M:%S"
 MIDNIGHT = "00:00:00"
-
 _CLOCK = r"(\d{2}:\d{2}:\d{2})"
 
 

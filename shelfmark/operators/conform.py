@@ -8,9 +8,10 @@ the columns where the answer is open; ``conform`` is then a single projection.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,7 @@ _NUMBER_TEXT = {
     T.DoubleType(): r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$",
 }
 
+_FLOATS = (T.DoubleType, T.FloatType)
 _DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -48,17 +50,21 @@ def can_cast(source: T.DataType, kind: str) -> bool:
     if isinstance(source, (T.StringType, T.NullType)):
         return True
     if isinstance(target, (T.LongType, T.DoubleType)):
-        return isinstance(source, (T.LongType, T.DoubleType, T.BooleanType))
+        return isinstance(source, (T.NumericType, T.BooleanType))
     return isinstance(source, _DATES)
 
 
+def _has_fractions(source: T.DataType) -> bool:
+    return isinstance(source, _FLOATS) or (isinstance(source, T.DecimalType) and source.scale > 0)
+
+
 def cast_to(c: Column, source: T.DataType, kind: str, strict: bool = True) -> Column:
     """``c`` as the contract type. ``strict`` fails on a bad value, else null."""
     target = TYPES[kind]
     if source == target and kind != "timestamp":
         return c
-    if isinstance(source, T.DoubleType) and isinstance(target, T.StringType):
-        return double_to_text(c)
+    if isinstance(target, T.StringType) and _has_fractions(source):
+        return double_to_text(c.cast("double"))
     out = c.cast(target) if strict else c.try_cast(target)
     if kind == "timestamp":
         out = F.date_trunc("millisecond", out).cast(target)
@@ -68,8 +74,10 @@ def cast_to(c: Column, source: T.DataType, kind: str, strict: bool = True) -> Co
 def _bad(c: Column, source: T.DataType, kind: str) -> Column | None:
     """Test for a value the cast cannot take; None when every value fits."""
     target = TYPES[kind]
-    if isinstance(source, T.DoubleType) and isinstance(target, T.LongType):
+    if isinstance(source, _FLOATS) and isinstance(target, T.LongType):
         return ~in_long_range(c)
+    if isinstance(source, T.DecimalType) and isinstance(target, T.LongType):
+        return c.try_cast("bigint").isNull()
     if isinstance(source, T.BinaryType):
         return ~F.is_valid_utf8(c.cast("string"))
     if not isinstance(source, T.StringType) or isinstance(target, T.StringType):
@@ -86,7 +94,7 @@ def checks(df: DataFrame, contract: Contract | None) -> tuple[dict[str, Column],
         return whole, bad
     for column in df.schema.fields:
         c, kind = quoted(column.name), contract.type_of(column.name)
-        is_double = isinstance(column.dataType, T.DoubleType)
+        is_double = isinstance(column.dataType, _FLOATS)
         # Declared float64 or int64 comes out the same with or without the test.
         if is_double and kind not in ("float64", "int64"):
             whole[column.name] = F.coalesce(F.bool_and(is_whole(c)), F.lit(True))
@@ -100,9 +108,25 @@ def checks(df: DataFrame, contract: Contract | None) -> tuple[dict[str, Column],
 def profile(df: DataFrame, contract: Contract | None) -> Profile:
     """Run the open checks and the row count in one aggregation over ``df``."""
     whole, bad = checks(df, contract)
-    row = df.agg(F.count(F.lit(1)), *whole.values(), *bad.values()).first()
-    split = 1 + len(whole)
-    return Profile(row[0], dict(zip(whole, row[1:split])), dict(zip(bad, row[split:])))
+    return _facts(df.agg(F.count(F.lit(1)), *whole.values(), *bad.values()).first(), whole, bad)
+
+
+def _facts(values: Sequence, whole: Iterable[str], bad: Iterable[str]) -> Profile:
+    found = iter(values)
+    return Profile(next(found), dict(zip(whole, found)), dict(zip(bad, found)))
+
+
+def observed_profile(df: DataFrame, contract: Contract | None) -> tuple[DataFrame, Callable[[], Profile]]:
+    """``df`` observed, and what returns its profile once all of it has been written.
+
+    The facts come from the tasks that write, so they hold for exactly the rows
+    that landed and cost no pass of their own.
+    """
+    whole, bad = checks(df, contract)
+    seen = Observation()
+    answers = [F.count(F.lit(1)), *whole.values(), *bad.values()]
+    observed = df.observe(seen, *[answer.alias(f"fact{i}") for i, answer in enumerate(answers)])
+    return observed, lambda: _facts([seen.get[f"fact{i}"] for i in range(len(answers))], whole, bad)
 
 
 def profile_frame(df: DataFrame, contract: Contract) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -43,12 +43,15 @@ def normalize(
     df: DataFrame,
     time_cols: Sequence[str] = ("HoraVenda",),
     timestamps_too: bool = True,
+    exact: Collection[str] = (),
 ) -> DataFrame:
     """Bring source types to the few the conformer works on.
 
     Decimals and floats become double, NaN becomes null, integers become bigint,
     and the ``time_cols`` become ``hh:mm:ss`` text. JDBC hands TIME columns over
-    as timestamps; ``timestamps_too=False`` leaves those alone.
+    as timestamps; ``timestamps_too=False`` leaves those alone. Columns in ``exact``
+    keep a decimal without fraction digits as it is, since a double would round
+    keys above 2^53.
     """
     out = []
     for field in df.schema.fields:
@@ -56,7 +59,7 @@ def normalize(
         if field.name in time_cols:
             new = _time_of_day(c, field.dataType, timestamps_too)
             c = _plain_type(new, field.dataType) if new is c else new
-        else:
+        elif not (field.name in exact and isinstance(field.dataType, T.DecimalType) and field.dataType.scale == 0):
             c = _plain_type(c, field.dataType)
         out.append(c.alias(field.name))
     return df.select(*out)
@@ -123,8 +126,12 @@ def cluster_by_month(
     """
     if date_col is None or date_col not in df.columns:
         return df
-    _, year, month = _date_text_and_keys(quoted(date_col), df.schema[date_col].dataType, mode, date_format)
-    keyed = df.select("*", year.alias("cluster_year"), month.alias("cluster_month"))
-    return keyed.hint("rebalance", F.col("cluster_year"), F.col("cluster_month")).select(
-        *[quoted(name) for name in df.columns]
-    )
+    c, dtype = quoted(date_col), df.schema[date_col].dataType
+    if isinstance(dtype, (T.DateType, *_TIMESTAMPS)) and not date_format:
+        # Four bytes travel with a row instead of two texts.
+        keys = {"cluster_month": F.year(c) * 12 + F.month(c)}
+    else:
+        _, year, month = _date_text_and_keys(c, dtype, mode, date_format)
+        keys = {"cluster_year": year, "cluster_month": month}
+    keyed = df.select("*", *[key.alias(name) for name, key in keys.items()])
+    return keyed.hint("rebalance", *map(F.col, keys)).select(*[quoted(name) for name in df.columns])

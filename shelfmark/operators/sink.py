@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..columns import MONTH, TENANT, YEAR, quoted
 from ..functions.text import first_segment
-from ..storage import glob_paths
+from ..storage import glob_paths, literal
 from .partitions import escape_value, partition_inventory, partition_plan, reloaded_partitions
 
 # Parquet layout of delivered files.
@@ -59,8 +59,8 @@ def write_partitioned(df: DataFrame, root: str, cols: Sequence[str]) -> None:
 
 def tenants_laid_out_otherwise(
     spark: SparkSession, df: DataFrame, root: str, cols: Sequence[str], tenant: str | None = None
-) -> list[str]:
-    """Tenants of ``df`` that ``root`` holds in the other layout; at most five.
+) -> tuple[int, list[str]]:
+    """How many tenants of ``df`` the ``root`` holds in the other layout, and some.
 
     For one known tenant this lists a single directory. For several it compares
     the inventory with the tenants in the data, and reads the data only when
@@ -69,14 +69,18 @@ def tenants_laid_out_otherwise(
     if tenant is not None:
         entry = "*.parquet" if len(cols) > 1 else f"{YEAR}=*"
         folder = f"{TENANT}={escape_value(tenant)}"
-        return [folder] if glob_paths(spark, f"{root.rstrip('/')}/{folder}/{entry}") else []
+        found = glob_paths(spark, f"{literal(root.rstrip('/'))}/{folder}/{entry}")
+        return (1, [folder]) if found else (0, [])
     is_dated = F.col("path").contains(f"/{YEAR}=")
     other = partition_inventory(spark, root).filter(~is_dated if len(cols) > 1 else is_dated)
     folders = other.select(first_segment(F.col("path")).alias("path")).distinct()
     if folders.isEmpty():
-        return []
+        return 0, []
     mine = reloaded_partitions(df, cols[:1]).select("path")
-    return [row.path for row in folders.join(mine, "path", "left_semi").limit(5).collect()]
+    clash = folders.join(mine, "path", "left_semi")
+    # Named examples are for the message; the decision rests on the whole count.
+    row = clash.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first"), F.max("path").alias("last")).first()
+    return row.n, sorted({row.first, row.last} - {None})
 
 
 def overwrite_partitions(
@@ -102,8 +106,10 @@ def overwrite_partitions(
     if dry_run:
         return partition_plan(partition_inventory(spark, root, tenant), reloaded_partitions(df, cols))
     if on_layout_change == "error":
-        others = tenants_laid_out_otherwise(spark, df, root, cols, tenant)
-        if others:
-            raise LayoutChange(f"{root}: {', '.join(others)} would change between tenant and month layout")
+        clashes, examples = tenants_laid_out_otherwise(spark, df, root, cols, tenant)
+        # Nothing to write changes nothing, whatever its columns.
+        if clashes and not df.isEmpty():
+            named = ", ".join(examples)
+            raise LayoutChange(f"{root}: {named} (of {clashes} in all) would change between tenant and month layout")
     write_partitioned(df, root, cols)
     return None

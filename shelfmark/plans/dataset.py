@@ -3,24 +3,25 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 from typing import Protocol, TypeVar
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..columns import quoted
 from ..contracts import Contract
 from ..functions.numbers import double_to_text
-from ..operators.conform import Profile, checks, conform, kept_columns, profile
+from ..operators.conform import Profile, can_cast, checks, conform, kept_columns, observed_profile, profile
 from ..operators.derive import cluster_by_month, normalize, with_audit, with_partition_keys
 from ..operators.sink import partition_cols
 from ..session import scratch_path
-from ..sources.queries import CatalogSource, Split
+from ..sources.queries import CatalogSource, JdbcSource, MonthSplit, Split
 from ..storage import delete_tree
 
 # Datasets kept by month, with the column that dates their rows.
@@ -41,7 +42,7 @@ Result = TypeVar("Result")
 
 
 class Source(Protocol):
-    def read(self, spark: SparkSession, query: str, split: Split | None = None) -> DataFrame: ...
+    def read(self, spark: SparkSession, query: str, split: Split | MonthSplit | None = None) -> DataFrame: ...
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ class DatasetSpec:
     timestamps_too: bool = True
     key_mode: str = "positional"
     date_format: str | None = None
-    split: Split | None = None
+    split: Split | MonthSplit | None = None
 
     @property
     def dataset(self) -> str:
@@ -95,13 +96,17 @@ def with_retry(action: Callable[[], Result], attempts: int = 5, delay: float = 5
     raise ValueError("attempts must be at least 1")
 
 
-def prepare(df: DataFrame, spec: DatasetSpec, tenant: str, as_of: datetime | None = None) -> DataFrame:
-    """Everything before the contract: plain types, audit columns, partition keys."""
-    return _derive(normalize(df, spec.time_cols, spec.timestamps_too), spec, tenant, as_of)
-
-
-def _derive(plain: DataFrame, spec: DatasetSpec, tenant: str, as_of: datetime | None) -> DataFrame:
-    audited = with_audit(plain, tenant, as_of)
+def prepare(
+    df: DataFrame,
+    spec: DatasetSpec,
+    tenant: str,
+    as_of: datetime | None = None,
+    contract: Contract | None = None,
+) -> DataFrame:
+    """Everything before the cast to the contract: plain types, audit columns, partition keys."""
+    kinds = contract.columns if contract else {}
+    exact = {name for name, kind in kinds.items() if kind in ("string", "int64")}
+    audited = with_audit(normalize(df, spec.time_cols, spec.timestamps_too, exact), tenant, as_of)
     return with_partition_keys(audited, spec.date_column, spec.key_mode, spec.date_format)
 
 
@@ -120,15 +125,18 @@ def is_repeatable(df: DataFrame) -> bool:
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Land rows as flat Parquet in the shared scratch folder and read them back.
 
-    The source is read once, and profile and every destination then see the
-    same rows; the profile scan reads only the columns it asks about.
+    The source is read once, and every destination then sees the same rows.
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
-    """Rows of all parts; a column typed differently is widened, else made text."""
+    """Rows of all parts; a column typed differently is widened, else made text.
+
+    An integer that its column's doubles cannot hold exactly fails the read,
+    with the column's name.
+    """
     kinds: dict[str, set[T.DataType]] = {}
     for part in parts:
         for column in part.schema.fields:
@@ -140,7 +148,7 @@ def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
         for column in part.schema.fields:
             c, found = quoted(column.name), kinds[column.name]
             if len(found) > 1 and found <= numeric:
-                c = c.cast("double")
+                c = _exact_double(c, column)
             elif len(found) > 1:
                 c = double_to_text(c) if isinstance(column.dataType, T.DoubleType) else c.cast("string")
             out.append(c.alias(column.name))
@@ -149,6 +157,36 @@ def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(aligned, parts))
 
 
+def _exact_double(c: Column, column: T.StructField) -> Column:
+    if isinstance(column.dataType, T.DoubleType):
+        return c
+    wide = c.cast("double")
+    rounded = F.raise_error(F.lit(f"column {column.name} has integers that its doubles would round"))
+    return F.when(c.isNull() | (wide.try_cast("bigint") == c), wide).otherwise(rounded)
+
+
+def stay_double(facts: Profile, df: DataFrame, contract: Contract | None, delivered: Mapping[str, T.DataType]) -> Profile:
+    """``facts`` under which no column that was delivered as double turns bigint."""
+    kinds = contract.columns if contract else {}
+    kept = {
+        f.name: False
+        for f in df.schema.fields
+        if facts.whole.get(f.name)
+        and isinstance(delivered.get(f.name), T.DoubleType)
+        and not can_cast(f.dataType, kinds.get(f.name, ""))
+    }
+    return replace(facts, whole=facts.whole | kept)
+
+
+def type_changes(df: DataFrame, delivered: Mapping[str, T.DataType]) -> list[str]:
+    """Columns of ``df`` whose type is not the one delivered before."""
+    return [
+        f"{f.name} from {delivered[f.name].simpleString()} to {f.dataType.simpleString()}"
+        for f in df.schema.fields
+        if f.name in delivered and delivered[f.name].simpleString() != f.dataType.simpleString()
+    ]
+
+
 def build_dataset(
     spark: SparkSession,
     specs: Sequence[DatasetSpec],
@@ -159,22 +197,28 @@ def build_dataset(
     copies: int = 1,
     attempts: int = 5,
     delay: float = 5.0,
-    staging: str = "auto",
+    staging: str = "always",
+    delivered: Mapping[str, T.DataType] | None = None,
 ) -> Prepared:
     """Extract and conform the queries of one dataset.
 
-    The rows are staged when they go to several roots (``copies``), when several
-    queries feed the dataset, when the query calls the likes of ``rand()``, and
-    always for a database, which is asked only once. Otherwise the profile runs
-    the query for the few columns it needs and the write runs it in full; that
-    costs less than landing every column first, and ``conform`` fails the write
-    if the two runs disagree. With no open checks the write is the only pass and
-    ``rows`` is unknown until then.
-    ``staging="always"`` stages everything, for queries whose rows depend on when
-    they run in ways Spark cannot see.
+    Each query runs once, inside the retry: its rows land in the shared scratch
+    folder, and the profile is observed by the tasks that land them. Roots then
+    read the landed rows.
+
+    ``staging="auto"`` spares the landing where a single catalog query that Spark
+    holds to be deterministic goes to one root: the profile then runs the query
+    for the few columns it needs and the write runs it in full. That is for plain
+    scans; a query that means something else each time (``current_timestamp()``,
+    ``LIMIT`` without order) may then be profiled on other rows than are written.
+    ``rows`` is None in that case, and is counted by the write.
+
+    ``delivered`` are the column types at the destination: what is double there
+    stays double, even when this load happens to be whole.
     """
     if staging not in ("auto", "always"):
         raise ValueError(f"unknown staging {staging!r}")
+    delivered = delivered or {}
     read_once = (
         staging == "always" or copies > 1 or len(specs) > 1 or not isinstance(source, CatalogSource)
     )
@@ -185,7 +229,7 @@ def build_dataset(
     rows: int | None = 0
 
     def ready(found: DataFrame, spec: DatasetSpec) -> DataFrame:
-        return prepare(found, spec, tenant, as_of)
+        return prepare(found, spec, tenant, as_of, contract)
 
     def clustered(found: DataFrame, spec: DatasetSpec) -> DataFrame:
         return cluster_by_month(found, spec.date_column, spec.key_mode, spec.date_format)
@@ -196,18 +240,21 @@ def build_dataset(
         if read_once or not is_repeatable(found):
             path = scratch_path(spark, "stage")
             staged.append(path)
-            plain = normalize(clustered(found, spec), spec.time_cols, spec.timestamps_too)
-            frame = _derive(stage(plain, path), spec, tenant, as_of)
-            return frame, profile(frame, contract)
+            observed, facts = observed_profile(ready(clustered(found, spec), spec), contract)
+            frame = stage(observed, path)
+            return frame, facts()
         unclustered = ready(found, spec)
         facts = profile(unclustered, contract) if any(checks(unclustered, contract)) else Profile()
-        return ready(clustered(found, spec), spec), facts
+        return ready(clustered(found, spec), spec), replace(facts, rows=None)
 
     try:
         for spec in specs:
             frame, facts = with_retry(lambda: land(spec), attempts, delay)
             rows = None if rows is None or facts.rows is None else rows + facts.rows
+            facts = stay_double(facts, frame, contract, delivered)
             notes |= kept_columns(frame, contract, facts)
+            if isinstance(source, JdbcSource) and spec.split is None:
+                notes["(query)"] = "read by a single task; name a split"
             parts.append(conform(frame, contract, facts))
         if len(layouts) > 1:
             raise ValueError(f"queries of {specs[0].dataset} disagree on the date column")

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ..columns import TENANT
 from ..contracts import Contract, bundled_contracts
+from ..operators.partitions import escape_value
 from ..operators.sink import overwrite_partitions
 from ..session import RUN_CONF, session_conf
 from ..sources.clouds import apply_hadoop_conf, destinations, read_clouds
-from ..sources.queries import CatalogSource, Split, connection_settings, mysql_source
+from ..sources.listing import delivered_types
+from ..sources.queries import CatalogSource, MonthSplit, Split, connection_settings, mysql_source
 from ..sources.registry import (
     DEFAULT_WORKERS,
     RegistryError,
@@ -28,7 +30,7 @@ from ..sources.registry import (
     tenant_document,
     workers as workers_setting,
 )
-from .dataset import DatasetSpec, Prepared, Source, build_dataset, discard
+from .dataset import DatasetSpec, Prepared, Source, build_dataset, discard, type_changes
 from .report import (
     EMPTY,
     FAILED,
@@ -43,6 +45,11 @@ from .report import (
 
 REFRESH_TABLE = "Atualizacao"
 
+
+class TypeChange(ValueError):
+    """A column comes with another type than the months delivered before."""
+
+
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
@@ -80,7 +87,8 @@ def in_threads(spark: SparkSession, task: Callable[[Item], Result], items: Itera
 
 
 def _text(error: BaseException) -> str:
-    return f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}"
+    """The whole text, as the cause of a failed job stands far below its first line."""
+    return f"{type(error).__name__}: {str(error).strip()}"
 
 
 def group_specs(specs: Sequence[DatasetSpec]) -> dict[str, list[DatasetSpec]]:
@@ -159,14 +167,22 @@ def run(
     attempts: int = 5,
     delay: float = 5.0,
     on_layout_change: str = "error",
-    staging: str = "auto",
+    staging: str = "always",
+    on_type_change: str = "error",
 ) -> DataFrame:
     """Extract, conform and deliver every dataset, then maybe the refresh table.
 
     ``roots`` are the portal folders; a dataset lands in ``root/dataset``. The
     report has a row per dataset and a last one for the refresh table, which is
     skipped unless the gate opens. ``as_of`` fixes the clock.
+
+    A dataset kept by month must keep its column types, or its months cannot be
+    read together. A column delivered as double stays one; any other change of
+    type is an error, unless ``on_type_change="allow"`` lets every load choose
+    its types by its own values.
     """
+    if on_type_change not in ("error", "allow"):
+        raise ValueError(f"unknown on_type_change {on_type_change!r}")
     if not specs:
         raise ValueError("no queries configured")
     if not roots:
@@ -184,12 +200,19 @@ def run(
         try:
             if not dataset:
                 raise ValueError("query without a name")
+            paths = [f"{root.rstrip('/')}/{dataset}" for root in roots]
+            before = {}
+            if on_type_change == "error":
+                for path in reversed(paths):
+                    before |= delivered_types(spark, f"{path}/{TENANT}={escape_value(tenant)}")
             prepared = build_dataset(
-                spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay, staging
+                spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay, staging, before
             )
             try:
                 notes = prepared.notes
-                paths = [f"{root.rstrip('/')}/{dataset}" for root in roots]
+                changed = type_changes(prepared.frame, before) if len(prepared.cols) > 1 else []
+                if changed and prepared.rows != 0 and not prepared.frame.isEmpty():
+                    raise TypeChange("; ".join(changed))
                 rows, errors = _deliver(prepared, paths, tenant, on_layout_change)
             finally:
                 discard(spark, prepared.staged)
@@ -242,7 +265,7 @@ def run_from_documents(
     source: Source | None = None,
     default_portal: str | None = None,
     defaults: Mapping[str, object] | None = None,
-    splits: Mapping[str, Split] | None = None,
+    splits: Mapping[str, Split | MonthSplit] | None = None,
     **options: object,
 ) -> DataFrame:
     """A run configured by the tenant and cloud documents.
@@ -250,7 +273,8 @@ def run_from_documents(
     ``dataset`` limits the run to one query name; an unknown name runs them all.
     ``defaults`` are connection fields the tenant document may leave out;
     ``source`` replaces the configured database; ``splits`` names, per dataset,
-    the column by which the database is read in parallel.
+    the column by which the database is read in parallel. Datasets with a date
+    column are read by month without being named.
     """
     document = tenant_document(read_tenants(spark, tenants_path), tenant)
     queries = dataset_queries(document)
@@ -263,5 +287,10 @@ def run_from_documents(
     options.setdefault("workers", document.select(workers_setting()).first()[0])
     chosen = select_dataset(queries, dataset).select("name", "query").collect()
     plain = [DatasetSpec(row["name"] or "", row["query"] or "") for row in chosen]
-    specs = [replace(spec, split=(splits or {}).get(spec.dataset)) for spec in plain]
+
+    def split(spec: DatasetSpec) -> Split | MonthSplit | None:
+        by_month = MonthSplit(spec.date_column) if spec.date_column else None
+        return (splits or {}).get(spec.dataset, by_month)
+
+    specs = [replace(spec, split=split(spec)) for spec in plain]
     return run(spark, specs, tenant, [target.root for target in targets], source=source, **options)

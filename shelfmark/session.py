@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from .storage import delete_tree
+
 # What a delivery cluster should start with. The two sizes steer how many files
 # a rebalanced write produces: one file per advisory-sized slice of a partition.
 RECOMMENDED_CONF = {
@@ -38,23 +41,39 @@ def build_session(app_name: str = "shelfmark", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_lock = threading.Lock()
+#: (session, key, value) of settings in force: blocks that use it, value before.
+_in_force: dict[tuple[int, str, str], tuple[int, str | None]] = {}
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Set SQL settings for a block and put the old ones back afterwards."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
+    """Set SQL settings for a block and put the old ones back afterwards.
+
+    Of blocks that overlap in time with the same setting the last one to end puts
+    the old value back.
+    """
+    with _lock:
+        for key, value in settings.items():
+            users, before = _in_force.get((id(spark), key, value), (0, spark.conf.get(key, None)))
+            _in_force[id(spark), key, value] = users + 1, before
+            spark.conf.set(key, value)
     try:
         yield
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        with _lock:
+            for key, value in settings.items():
+                users, before = _in_force.pop((id(spark), key, value))
+                if users > 1:
+                    _in_force[id(spark), key, value] = users - 1, before
+                elif before is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, before)
 
 
 _local_scratch: str | None = None
+_scratch_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -72,4 +91,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="shelfmark-")
         base = _local_scratch
-    return f"{base.rstrip('/')}/shelfmark/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/shelfmark/{label}-{uuid.uuid4().hex}"
+    _scratch_made.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this process put into the scratch folder; call it when no frame
+    that reads from there is needed any more."""
+    while _scratch_made:
+        delete_tree(spark, _scratch_made.pop())

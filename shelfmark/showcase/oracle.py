@@ -160,7 +160,8 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
     """,
     "decimal_to_double": """
         SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS price,
-               CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS gaps
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS gaps,
+               CAST(o_orderkey + 9007199254740992 AS VARCHAR) AS wide_key
         FROM orders
     """,
     "time_of_day": f"""
@@ -224,6 +225,7 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
     "union_same_name": """
         SELECT CAST(o_orderkey AS VARCHAR) AS CodigoVenda, CAST(o_custkey AS VARCHAR) AS CodigoCliente,
                CAST(o_orderdate AS VARCHAR) AS DataVenda, o_totalprice AS VlrBruto, '' AS CodigoLoja,
+               o_orderkey + 9007199254740992 AS Longo,
                strftime(o_orderdate, '%Y') AS Ano, strftime(o_orderdate, '%m') AS Mes
         FROM orders
     """,
@@ -265,6 +267,17 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
         FROM customer
     """,
     "skip_empty": _MONTHLY,
+    "skip_empty_other_layout": _MONTHLY,
+    "rows_reported_landed": """
+        SELECT dataset, 'written' AS status, n > 0 AS agree
+        FROM (SELECT count(*) AS n FROM orders) AS o, (VALUES ('Pedidos'), ('Momento'), ('Alguns')) AS d(dataset)
+    """,
+    "read_after_two_months": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS CodigoVenda,
+               CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_totalprice ELSE floor(o_totalprice) END AS Preco,
+               strftime(o_orderdate, '%Y') AS Ano, strftime(o_orderdate, '%m') AS Mes
+        FROM orders
+    """,
     "fan_out": """
         SELECT c_custkey, c_name, c_mktsegment AS idEmpresa, root
         FROM customer, (VALUES ('a'), ('b')) AS r(root)

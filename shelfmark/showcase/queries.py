@@ -69,6 +69,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(2024, 1, 15, 12)
 SAMPLE_TENANT = "T0001"
+#: From here on a double holds no odd number.
+ABOVE_DOUBLES = 2**53
 BROKEN = DatasetSpec("Quebrada", "SELECT no_such_column FROM orders")
 QUERIES: dict[str, Query] = {}
 
@@ -211,8 +213,10 @@ def decimal_to_double(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("gaps"),
+        (F.col("o_orderkey").cast("decimal(19,0)") + F.lit(ABOVE_DOUBLES)).cast("decimal(20,0)").alias("wide_key"),
     )
-    return normalize(source)
+    contract = Contract({"wide_key": "string"})
+    return conform_dataset(normalize(source, exact={"wide_key"}), contract)
 
 
 @query("time_of_day")
@@ -356,14 +360,14 @@ def conform_without_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries whose names agree without spaces: their rows add up."""
     load_tables(spark, sf_dir, "orders")
-    source = """
+    source = f"""
         SELECT o_orderkey AS CodigoVenda, o_custkey AS CodigoCliente, o_orderdate AS DataVenda,
-               o_totalprice AS VlrBruto
-        FROM orders WHERE o_orderdate {} TIMESTAMP '1998-01-01 00:00:00'
+               o_totalprice AS VlrBruto, o_orderkey + {ABOVE_DOUBLES} AS Longo
+        FROM orders WHERE o_orderdate {{}} TIMESTAMP '1998-01-01 00:00:00'
     """
     specs = [DatasetSpec("Ven das", source.format("<")), DatasetSpec("Vendas", source.format(">="))]
     built = build_dataset(spark, specs, CatalogSource(), bundled_contracts()["Vendas"], SAMPLE_TENANT, AS_OF)
-    return built.frame.select("CodigoVenda", "CodigoCliente", "DataVenda", "VlrBruto", "CodigoLoja", YEAR, MONTH)
+    return built.frame.select("CodigoVenda", "CodigoCliente", "DataVenda", "VlrBruto", "CodigoLoja", "Longo", YEAR, MONTH)
 
 
 # Partitions
@@ -478,6 +482,52 @@ def skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, root, orders.schema)
 
 
+@query("skip_empty_other_layout")
+def skip_empty_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty reload without its date column leaves the months alone."""
+    orders, root = _delivered_orders(spark, sf_dir)
+    nothing = orders.filter("o_totalprice < 0").drop(YEAR, MONTH)
+    overwrite_partitions(nothing, root, [TENANT], tenant="F")
+    return read_dataset(spark, root, orders.schema)
+
+
+@query("rows_reported_landed")
+def reported_and_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reported and landed rows, of queries whose rows may differ each time too."""
+    load_tables(spark, sf_dir, "orders", "customer")
+    share = "pmod(xxhash64(o_orderkey, current_timestamp()), 10) < 5"
+    specs = [
+        DatasetSpec("Pedidos", "SELECT o_orderkey, o_orderdate AS d FROM orders", date_col="d"),
+        DatasetSpec("Momento", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {share}"),
+        DatasetSpec("Alguns", "SELECT c_custkey, c_acctbal FROM customer LIMIT 100"),
+    ]
+    root = scratch_path(spark, "landed")
+    contracts = {spec.dataset: Contract({"other": "string"}) for spec in specs}
+    report = run(spark, specs, SAMPLE_TENANT, [root], contracts, as_of=AS_OF).filter("dataset <> 'Atualizacao'")
+    landed = None
+    for spec in specs:
+        count = read_dataset(spark, f"{root}/{spec.dataset}").agg(F.count(F.lit(1)).alias("landed"))
+        part = count.select(F.lit(spec.dataset).alias("dataset"), "landed")
+        landed = part if landed is None else landed.union(part)
+    both = report.join(landed, "dataset")
+    return both.select("dataset", "status", (F.col("rows") == F.col("landed")).alias("agree"))
+
+
+@query("read_after_two_months")
+def read_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with fractions in its first load and none in the second keeps its type."""
+    load_tables(spark, sf_dir, "orders")
+    root = scratch_path(spark, "two-loads")
+    parts = {"<": "o_totalprice", ">=": "floor(o_totalprice)"}
+    for when, price in parts.items():
+        text = f"""
+            SELECT o_orderkey AS CodigoVenda, o_orderdate AS DataVenda, CAST({price} AS DOUBLE) AS Preco
+            FROM orders WHERE o_orderdate {when} TIMESTAMP '1998-01-01 00:00:00'
+        """
+        run(spark, [DatasetSpec("Vendas", text)], SAMPLE_TENANT, [root], as_of=AS_OF)
+    return read_dataset(spark, f"{root}/Vendas").select("CodigoVenda", "Preco", YEAR, MONTH)
+
+
 @query("fan_out")
 def deliver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dataset fanned out to two roots, both read back."""

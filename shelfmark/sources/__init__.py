@@ -2,7 +2,7 @@
 
 from .clouds import Destination, apply_hadoop_conf, destinations, read_clouds
 from .listing import list_objects, read_dataset
-from .queries import CatalogSource, JdbcSource, Split, connection_settings, mysql_source
+from .queries import CatalogSource, JdbcSource, MonthSplit, Split, connection_settings, mysql_source
 from .registry import (
     RegistryError,
     dataset_queries,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..columns import PARTITION_KEYS
-from ..storage import path_exists
+from ..storage import glob_paths, literal, path_exists
 
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
@@ -22,7 +22,7 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(literal(root))
         .select("path", "length")
         .coalesce(4 * spark.sparkContext.defaultParallelism)
     )
@@ -34,8 +34,22 @@ def read_dataset(spark: SparkSession, root: str, schema: T.StructType | None = N
     Spark would otherwise turn tenant ``0012`` into 12 and month ``01`` into 1.
     Pass the schema when it is known; it saves the footer look-up.
     """
-    found = schema or spark.read.parquet(root).schema
+    found = schema or spark.read.parquet(literal(root)).schema
     text = [
         T.StructField(f.name, T.StringType()) if f.name in PARTITION_KEYS else f for f in found.fields
     ]
-    return spark.read.schema(T.StructType(text)).parquet(root)
+    return spark.read.schema(T.StructType(text)).parquet(literal(root))
+
+
+def delivered_types(spark: SparkSession, folder: str) -> dict[str, T.DataType]:
+    """Column types in the last month of a tenant's folder; empty without months.
+
+    Lists the month folders and one of them, and opens one footer. A tenant kept
+    without months has no history that a reload would have to agree with.
+    """
+    months = glob_paths(spark, f"{literal(folder)}/{PARTITION_KEYS[1]}=*/{PARTITION_KEYS[2]}=*")
+    for month in sorted(months, reverse=True):
+        files = glob_paths(spark, f"{literal(month)}/*.parquet")
+        if files:
+            return {f.name: f.dataType for f in spark.read.parquet(literal(files[0])).schema.fields}
+    return {}

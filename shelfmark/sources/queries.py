@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.documents import nested
 from ..functions.numbers import int_or_default
 
 DEFAULT_PORT = 3306
 
-# MySQL behaviour the datasets rely on: TINYINT(1) stays a number, and rows are
-# streamed in fetch-size blocks instead of being buffered whole.
-MYSQL_URL_OPTIONS = "useCursorFetch=true&tinyInt1isBit=false"
+# MySQL behaviour the datasets rely on: TINYINT(1) stays a number, a zero date is
+# null, and rows are streamed in fetch-size blocks instead of being buffered whole.
+MYSQL_URL_OPTIONS = "useCursorFetch=true&tinyInt1isBit=false&zeroDateTimeBehavior=CONVERT_TO_NULL"
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,40 @@ class Split:
     upper: str | None = None
 
 
+@dataclass(frozen=True)
+class MonthSplit:
+    """Parallel database read by months of a date or timestamp column.
+
+    The database is asked once for the first and last day. Where the query lacks
+    the column, or it is no date, one task reads the query.
+    """
+
+    column: str
+
+
+def month_predicates(column: str, first: date | None, last: date | None) -> list[str]:
+    """Conditions of which exactly one holds for every row: nulls, then months.
+
+    The first and last month are open, so a row that arrives outside the bounds
+    while the query runs still has its place.
+    """
+    c, nulls = f"q.{column}", f"q.{column} IS NULL"
+    if first is None:
+        return [nulls, f"{c} IS NOT NULL"]
+    starts = [f"{c} >= '{day.isoformat()}'" for day in _month_starts(first, last)]
+    ends = [start.replace(">=", "<") for start in starts]
+    if not starts:
+        return [nulls, f"{c} IS NOT NULL"]
+    inner = [f"{low} AND {high}" for low, high in zip(starts, ends[1:])]
+    return [nulls, ends[0], *inner, starts[-1]]
+
+
+def _month_starts(first: date, last: date) -> Iterator[date]:
+    """First days of the months after the one of ``first``, up to that of ``last``."""
+    for month in range(first.year * 12 + first.month, last.year * 12 + last.month):
+        yield date(month // 12, month % 12 + 1, 1)
+
+
 def query_text(query: str) -> str:
     return query.strip().rstrip(";").rstrip()
 
@@ -46,13 +83,17 @@ def bounds_query(query: str, column: str) -> str:
 class CatalogSource:
     """Tables and views known to the Spark session."""
 
-    def read(self, spark: SparkSession, query: str, split: Split | None = None) -> DataFrame:
+    def read(self, spark: SparkSession, query: str, split: Split | MonthSplit | None = None) -> DataFrame:
         return spark.sql(query_text(query))
 
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A database. One task reads a query unless a ``Split`` spreads it."""
+    """A database. One task reads a query unless a split spreads it.
+
+    A query is run once for its rows, and with a split whose bounds are open once
+    more for the smallest and largest value of its column.
+    """
 
     url: str
     user: str | None = None
@@ -82,11 +123,24 @@ class JdbcSource:
             }
         return options | self.options
 
-    def read(self, spark: SparkSession, query: str, split: Split | None = None) -> DataFrame:
+    def read(self, spark: SparkSession, query: str, split: Split | MonthSplit | None = None) -> DataFrame:
+        if isinstance(split, MonthSplit):
+            return self._by_month(spark, query, split.column)
         if split is not None and split.lower is None:
             split = self._bounded(spark, query, split)
         return spark.read.format("jdbc").options(**self.reader_options(query, split)).load()
 
+    def _by_month(self, spark: SparkSession, query: str, column: str) -> DataFrame:
+        whole = self.read(spark, query)
+        dates = (T.DateType, T.TimestampType, T.TimestampNTZType)
+        if column not in whole.columns or not isinstance(whole.schema[column].dataType, dates):
+            return whole
+        row = self.read(spark, bounds_query(query, column)).select(F.col("lo").cast("date"), F.col("hi").cast("date")).first()
+        options = self.reader_options(query)
+        options.pop("query")
+        url = options.pop("url")
+        return spark.read.jdbc(url, _subquery(query), predicates=month_predicates(column, *row), properties=options)
+
     def _bounded(self, spark: SparkSession, query: str, split: Split) -> Split | None:
         row = self.read(spark, bounds_query(query, split.column)).first()
         return None if row[0] is None else replace(split, lower=str(row[0]), upper=str(row[1]))

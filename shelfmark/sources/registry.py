@@ -34,12 +34,14 @@ def read_tenants(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 
 def tenant_document(tenants: DataFrame, tenant: str) -> DataFrame:
-    """The one document of a tenant; an error when absent or without settings."""
-    found = tenants.filter(F.col("_id") == tenant).limit(1)
-    row = found.select(F.col("parametrizacaoIntegracao").isNotNull()).first()
-    if row is None:
+    """The one document of a tenant; an error when absent, repeated or without settings."""
+    found = tenants.filter(F.col("_id") == tenant)
+    rows = found.select(F.col("parametrizacaoIntegracao").isNotNull()).take(2)
+    if not rows:
         raise RegistryError(f"tenant {tenant!r} not found")
-    if not row[0]:
+    if len(rows) > 1:
+        raise RegistryError(f"tenant {tenant!r} has several documents")
+    if not rows[0][0]:
         raise RegistryError(f"tenant {tenant!r} has no parametrizacaoIntegracao")
     return found
 

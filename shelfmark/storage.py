@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def literal(path: str) -> str:
+    """A path as a pattern that matches only itself."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Directory entries that match; lists only the levels the pattern names."""
     fs, hadoop_path = _open(spark, pattern)

@@ -305,3 +305,13 @@ def test_contracts_from_json(spark, tmp_path):
     contracts = load_contracts(spark, str(file))
     assert list(contracts["X"].columns.items()) == [("b", "int64"), ("a", "string")]
     assert not contracts["Y"] and contracts["X"].type_of("c") is None
+
+
+def test_conform_takes_every_numeric_type(spark):
+    source = spark.sql("SELECT 1 AS i, 2.50BD AS d, CAST(1.5 AS FLOAT) AS f, CAST('12' AS DECIMAL(20,0)) AS k")
+    kinds = {"i": "int64", "d": "float64", "f": "string", "k": "int64"}
+    out = conform_dataset(source, Contract(kinds))
+    assert out.dtypes == [("i", "bigint"), ("d", "double"), ("f", "string"), ("k", "bigint")]
+    assert tuple(out.first()) == (1, 2.5, "1.5", 12)
+    wide = conform_dataset(spark.sql("SELECT CAST('99999999999999999999' AS DECIMAL(20,0)) AS k"), Contract({"k": "int64"}))
+    assert wide.dtypes == [("k", "decimal(20,0)")]

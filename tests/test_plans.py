@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.contracts import Contract, bundled_contracts
 from shelfmark.operators import checks, partition_plan, reloaded_partitions, retain_reloaded
 from shelfmark.plans import DatasetSpec, build_dataset, prepare
+from shelfmark.plans.dataset import discard
 from shelfmark.sources import CatalogSource
 
 
@@ -43,7 +44,7 @@ def test_profile_reads_only_the_open_columns(spark, lineitem):
 
 def test_a_dated_dataset_shuffles_once_and_carries_source_columns(spark, lineitem):
     spec = DatasetSpec("Vendas", SALES)
-    built = build_dataset(spark, [spec], CatalogSource(), bundled_contracts()["Vendas"], "T1")
+    built = build_dataset(spark, [spec], CatalogSource(), bundled_contracts()["Vendas"], "T1", staging="auto")
     plan = plan_of(built.frame)
     assert plan.count("Exchange") == 1 and "REBALANCE_PARTITIONS_BY_COL" in plan
     below = plan[plan.index("Exchange"):]
@@ -53,12 +54,21 @@ def test_a_dated_dataset_shuffles_once_and_carries_source_columns(spark, lineite
 
 def test_an_undated_dataset_does_not_shuffle(spark, lineitem):
     spec = DatasetSpec("Fornecedores", "SELECT l_suppkey AS CodigoFornecedor FROM lineitem")
-    built = build_dataset(spark, [spec], CatalogSource(), bundled_contracts()["Fornecedores"], "T1")
+    built = build_dataset(spark, [spec], CatalogSource(), bundled_contracts()["Fornecedores"], "T1", staging="auto")
     plan = plan_of(built.frame)
     assert "Exchange" not in plan
     assert read_columns(plan) == [{"l_suppkey"}]
 
 
+def test_a_staged_dataset_is_profiled_where_it_lands(spark, lineitem, monkeypatch):
+    """No pass over landed rows but the one of each root."""
+    monkeypatch.setattr("shelfmark.plans.dataset.profile", lambda *_: pytest.fail("a second pass"))
+    spec = DatasetSpec("Vendas", SALES)
+    built = build_dataset(spark, [spec], CatalogSource(), bundled_contracts()["Vendas"], "T1")
+    assert built.rows == lineitem.count() and "Exchange" not in plan_of(built.frame)
+    discard(spark, built.staged)
+
+
 def test_reloaded_partitions_read_only_the_date(spark, lineitem):
     frame = prepare(CatalogSource().read(spark, SALES), DatasetSpec("Vendas", SALES), "T1")
     plan = plan_of(reloaded_partitions(frame, ["idEmpresa", "Ano", "Mes"]))

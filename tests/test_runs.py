@@ -22,6 +22,7 @@ from shelfmark.plans import (
     with_retry,
     written,
 )
+from shelfmark.operators import partition_inventory
 from shelfmark.plans.dataset import discard, is_connection_error
 from shelfmark.plans.report import REPORT_SCHEMA
 from shelfmark.session import scratch_path
@@ -135,9 +136,9 @@ def test_dataset_without_open_checks_is_counted_by_its_write(spark, small):
     contract = {"Plain": Contract({"DataVenda": "string"})}
     root = scratch_path(spark, "direct")
     query = f"SELECT DataVenda FROM ({small})"
-    built = build_dataset(spark, [DatasetSpec("Plain", query)], CatalogSource(), contract["Plain"], "T1")
+    built = build_dataset(spark, [DatasetSpec("Plain", query)], CatalogSource(), contract["Plain"], "T1", staging="auto")
     assert built.rows is None
-    report = run(spark, [DatasetSpec("Plain", query)], "T1", [root], contracts=contract, as_of=AS_OF)
+    report = run(spark, [DatasetSpec("Plain", query)], "T1", [root], contract, as_of=AS_OF, staging="auto")
     assert (report.first().status, report.first().rows) == ("written", 3)
 
 
@@ -158,11 +159,11 @@ def test_staging_does_not_change_the_result(spark, small, staging):
 def test_a_random_query_is_staged(spark):
     query = "SELECT IF(rand() < 0.5, 1.0D, 1.5D) AS c FROM range(30)"
     contract = Contract({"other": "string"})
-    built = build_dataset(spark, [DatasetSpec("X", query)], CatalogSource(), contract, "T1")
+    built = build_dataset(spark, [DatasetSpec("X", query)], CatalogSource(), contract, "T1", staging="auto")
     assert len(built.staged) == 1 and built.rows == 30
     assert built.frame.select("c").collect() == built.frame.select("c").collect()
     discard(spark, built.staged)
-    plain = build_dataset(spark, [DatasetSpec("X", "SELECT 1.5D AS c")], CatalogSource(), contract, "T1")
+    plain = build_dataset(spark, [DatasetSpec("X", "SELECT 1.5D AS c")], CatalogSource(), contract, "T1", staging="auto")
     assert plain.staged == []
 
 
@@ -173,7 +174,8 @@ def test_a_table_that_changes_between_passes_fails_the_dataset(spark, monkeypatc
     monkeypatch.setattr("shelfmark.plans.dataset.profile", lambda df, contract: Profile(1, {"c": True}))
     contract = {"X": Contract({"other": "string"})}
     root = scratch_path(spark, "changing")
-    row = run(spark, [DatasetSpec("X", "SELECT id + 0.5D AS c FROM range(3)")], "T1", [root], contract).first()
+    spec = DatasetSpec("X", "SELECT id + 0.5D AS c FROM range(3)")
+    row = run(spark, [spec], "T1", [root], contract, staging="auto").first()
     assert row.status == "failed" and not path_exists(spark, f"{root}/X/idEmpresa=T1")
 
 
@@ -269,6 +271,92 @@ def test_undated_sales_over_months_are_refused(spark, small):
     assert back.count() == 3 and {row.Ano for row in back.select("Ano").collect()} == {""}
 
 
+def test_an_empty_reload_in_another_layout_is_empty(spark, small):
+    root = scratch_path(spark, "empty-layout")
+    run(spark, [DatasetSpec("Vendas", small)], "T1", [root], as_of=AS_OF)
+    for staging in ("auto", "always"):
+        undated = DatasetSpec("Vendas", "SELECT Quantidade FROM small WHERE 1 = 0")
+        row = run(spark, [undated], "T1", [root], as_of=AS_OF, staging=staging).first()
+        assert (row.status, row.rows, row.error) == ("empty", 0, None)
+    assert read_dataset(spark, f"{root}/Vendas").count() == 3
+
+
+@pytest.mark.parametrize("name", ["gl[ob]", "a{b}", "a*", "q?", "b\\c"])
+def test_layout_change_is_seen_below_any_root(spark, small, name):
+    root = f"{scratch_path(spark, 'odd')}/{name}"
+    run(spark, [DatasetSpec("Vendas", small)], "T1", [root], as_of=AS_OF)
+    refused = run(spark, [DatasetSpec("Vendas", "SELECT Quantidade FROM small")], "T1", [root], as_of=AS_OF).first()
+    assert refused.status == "failed" and "LayoutChange" in refused.error
+    assert read_dataset(spark, f"{root}/Vendas").count() == 3
+    assert partition_inventory(spark, f"{root}/Vendas").count() == 3
+
+
+def month(number, value):
+    return DatasetSpec("Vendas", f"SELECT '2024-0{number}-05' AS DataVenda, {value} AS Extra")
+
+
+def test_a_delivered_double_stays_double(spark):
+    root = scratch_path(spark, "types")
+    for number, value in ((1, "1.5D"), (2, "2.0D")):
+        assert run(spark, [month(number, value)], "T1", [root], as_of=AS_OF).first().status == "written"
+    back = read_dataset(spark, f"{root}/Vendas")
+    assert dict(back.dtypes)["Extra"] == "double" and {row.Extra for row in back.collect()} == {1.5, 2.0}
+
+
+@pytest.mark.parametrize("column, first, second", [("Extra", "1.0D", "1.5D"), ("Extra", "1", "'x'")])
+def test_another_type_than_delivered_is_an_error(spark, column, first, second):
+    root = scratch_path(spark, "types")
+    run(spark, [month(1, first)], "T1", [root], as_of=AS_OF)
+    for staging in ("auto", "always"):
+        row = run(spark, [month(2, second)], "T1", [root], as_of=AS_OF, staging=staging).first()
+        assert row.status == "failed" and "TypeChange" in row.error and column in row.error
+    assert read_dataset(spark, f"{root}/Vendas").count() == 1
+    assert run(spark, [month(2, second)], "T1", [root], as_of=AS_OF, on_type_change="allow").first().status == "written"
+
+
+def test_a_declared_column_that_stops_casting_is_an_error(spark):
+    root = scratch_path(spark, "purchase")
+    specs = [DatasetSpec("Compras", f"SELECT '2024-0{n}-05' AS DataEmissaoNF, '{kind}' AS TipoCompra")
+             for n, kind in ((1, "1"), (2, "x"))]
+    found = [run(spark, [spec], "T1", [root], as_of=AS_OF).first() for spec in specs]
+    assert [row.status for row in found] == ["written", "failed"] and "TipoCompra" in found[1].error
+
+
+def test_union_of_parts_does_not_round_integers(spark):
+    parts = [spark.sql("SELECT 9007199254740993 AS n"), spark.sql("SELECT 1.5D AS n")]
+    with pytest.raises(Exception, match="column n has integers"):
+        union_parts(parts).collect()
+    exact = [spark.sql("SELECT 9007199254740992 AS n"), spark.sql("SELECT 1.5D AS n")]
+    assert sorted(row.n for row in union_parts(exact).collect()) == [1.5, 9007199254740992.0]
+
+
+def test_keys_of_unsigned_columns_stay_exact(spark):
+    query = "SELECT CAST('9007199254740993' AS DECIMAL(20,0)) AS k, CAST('9007199254740993' AS DECIMAL(20,0)) AS n, " \
+            "CAST('18446744073709551615' AS DECIMAL(20,0)) AS big"
+    contract = Contract({"k": "string", "n": "int64", "big": "string"})
+    built = build_dataset(spark, [DatasetSpec("X", query)], CatalogSource(), contract, "T1", AS_OF)
+    row = built.frame.first()
+    assert (row.k, row.n, row.big) == ("9007199254740993", 9007199254740993, "18446744073709551615")
+    discard(spark, built.staged)
+
+
+def test_a_failure_while_the_query_runs_is_retried(spark):
+    """The query opens; its first execution loses the connection."""
+
+    class Flaky:
+        opened = 0
+
+        def read(self, session, query, split=None):
+            self.opened += 1
+            bad = "raise_error('java.net.SocketException: reset')" if self.opened == 1 else "'x'"
+            return session.sql(f"SELECT IF(id >= 0, {bad}, 'y') AS c FROM range(3)")
+
+    source = Flaky()
+    built = build_dataset(spark, [DatasetSpec("X", "q")], source, Contract({"c": "string"}), "T1", delay=0)
+    assert source.opened == 2 and built.rows == 3
+    discard(spark, built.staged)
+
+
 def test_notes_name_columns_left_alone(spark):
     spec = DatasetSpec("X", "SELECT 'abc' AS n, 1 AS id")
     report = run(spark, [spec], "T1", [scratch_path(spark, "x")], {"X": Contract({"n": "int64"})})

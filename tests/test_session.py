@@ -46,3 +46,15 @@ def test_file_helpers(spark, tmp_path):
     delete_tree(spark, f"{root}/a=1")
     assert not path_exists(spark, f"{root}/a=1")
     delete_tree(spark, f"{root}/a=1")
+
+
+def test_overlapping_blocks_share_a_setting(spark):
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    first, second = session_conf(spark, {key: "false"}), session_conf(spark, {key: "false"})
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "false"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == before

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from shelfmark.sources import (
     tenant_document,
     workers,
 )
-from shelfmark.sources.queries import bounds_query
+from shelfmark.sources.queries import bounds_query, month_predicates
 
 TENANTS = [
     {
@@ -147,6 +148,21 @@ def test_jdbc_split_asks_for_bounds(spark, monkeypatch):
     assert seen == [bounds_query("SELECT a FROM t", "a")]
 
 
+def test_months_of_a_database_query_are_complete_and_disjoint(spark):
+    days = spark.sql("SELECT explode(sequence(date'2023-10-20', date'2024-03-02')) AS d UNION ALL SELECT NULL")
+    days.createOrReplaceTempView("days_read")
+    for first, last in ((date(2023, 11, 5), date(2024, 2, 3)), (date(2024, 1, 1), date(2024, 1, 9)), (None, None)):
+        held = [f"CAST({p} AS INT)" for p in month_predicates("d", first, last)]
+        total = " + ".join(f"coalesce({p}, 0)" for p in held)
+        assert [tuple(r) for r in spark.sql(f"SELECT DISTINCT {total} FROM days_read q").collect()] == [(1,)]
+    assert len(month_predicates("d", date(2023, 11, 5), date(2024, 2, 3))) == 5
+
+
+def test_repeated_tenant_documents_are_refused(spark, tenants):
+    with pytest.raises(RegistryError, match="several"):
+        tenant_document(tenants.union(tenants), tenants.first()._id)
+
+
 def test_catalog_source_accepts_a_trailing_semicolon(spark):
     assert CatalogSource().read(spark, " SELECT 1 AS a ;\n").first().a == 1
 
