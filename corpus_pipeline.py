@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import near_dup, packing, pii, quality_rules, toxicity
@@ -61,10 +61,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return kept
     number = fresh(docs, "number")
     again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi")
-    order = [F.col("text").asc_nulls_first()]
-    from pyspark.sql.window import Window
-
-    first = again.withColumn(number, F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).filter(F.col(number) == 1)
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+    first = again.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1)
     rest = kept.filter("doc_id is null").union(
         kept.filter("doc_id is not null").join(repeated.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     )
