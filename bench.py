@@ -32,7 +32,7 @@ from shelfmark.operators import (  # noqa: E402
 )
 from shelfmark.plans import DatasetSpec, build_dataset, fan_out, prepare, run  # noqa: E402
 from shelfmark.plans.dataset import discard  # noqa: E402
-from shelfmark.session import build_session, scratch_path  # noqa: E402
+from shelfmark.session import build_session, clean_scratch, scratch_path  # noqa: E402
 from shelfmark.showcase.sources import DATASET_SQL, SPECS, load_tables  # noqa: E402
 from shelfmark.sources import CatalogSource, list_objects  # noqa: E402
 
@@ -142,3 +142,4 @@ if __name__ == "__main__":
     )
     session.sparkContext.setLogLevel("ERROR")
     print(json.dumps(main(session)))
+    clean_scratch(session)
