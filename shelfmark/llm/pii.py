@@ -2,8 +2,12 @@
 
 Per kind (email, ip, card, phone) two patterns run over a text. The base pattern
 with its validity rule gives spans that are always kept. A wider generator
-proposes all that might be of the kind, valid or not; proposals overlap freely,
-within a kind and across kinds. Boosted trees see a proposal's format (length,
+proposes all that might be of the kind, valid or not. For ip, card and phone it
+finds whole runs of digit groups, of any length, and proposes every stretch of a
+run from the begin of one group to the end of another that is within ``STRETCH``,
+so proposals overlap within a kind as well as across kinds, and a number beside
+other numbers is a proposal of its own. Emails have one proposal at a place.
+Boosted trees see a proposal's format (length,
 digits, groups, separators, repeated characters) and context (characters before
 and after, what the text just before says), but not the validity rules, so a
 mistyped card number looks like a card. They are fitted to tell proposals that
@@ -46,14 +50,20 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
-#: Wider generators. What they find need not be valid.
+#: Wider generators: emails, and the runs of digit groups of the other kinds.
+#: What they find need not be valid.
 GENERATORS = {
     "email": r"(?<![^\x00-\x20\"'<>(),;:])[^\x00-\x20@\"'<>(),;:]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[^\x00-\x20@\"'<>(),;:]{3,255}+",
-    "ip": r"(?<![0-9])[0-9]{1,9}+(?:[.,][0-9]{1,9}+){2,9}+",
-    "card": r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){7,29}+",
-    "phone": r"(?:\+|00|\()?[0-9](?:[\x20()./-]{0,3}[0-9]){5,19}+",
+    "ip": r"(?<![0-9])[0-9]++(?:[.,][0-9]++){2,}+",
+    "card": r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){7,}+",
+    "phone": r"(?:\+|00|\()?[0-9](?:[\x20()./-]{0,3}[0-9]){5,}+",
 }
 
+#: A group of a run, and the least and the most that a stretch of one has: groups
+#: of an ip, digits of a card or phone.
+GROUPS = {"ip": r"[0-9]++", "card": r"[0-9]++", "phone": r"[+(]?[0-9]++"}
+STRETCH = {"ip": (3, 10), "card": (8, 30), "phone": (6, 20)}
+
 #: Bound on the documents whose candidates the trees and thresholds come from.
 SAMPLE = 20_000
 ROUNDS, DEPTH = 12, 3
@@ -143,30 +153,74 @@ def _features(kind: str, match: Column, before: Column, after: Column) -> list[C
     return [c.cast("double") for c in plain]
 
 
-def proposals(text: Column, kind: str, base: Column) -> Column:
-    """Candidates of a kind: place, format and context features, and whether a
-    base span of the kind lies within."""
+def overlaps(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
-    def described(spans_of_kind: Column) -> Column:
-        def one(span: Column) -> Column:
-            before = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1, F.least(span["start"], F.lit(CONTEXT)))
-            after = F.substring(text, span["end"] + 1, F.lit(2))
-            holds = F.exists(base, lambda b: (b["start"] >= span["start"]) & (b["end"] <= span["end"]))
-            return F.struct(
-                F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), holds.alias("holds"),
-                F.array(*_features(kind, span["match"], before, after)).alias("features"),
-            )
 
-        return F.transform(spans_of_kind, one)
+def stretches(run: Column, kind: str) -> Column:
+    """array<struct<start, end, match>>: the stretches of a run of digit groups."""
+    least, most = STRETCH[kind]
+
+    def of(groups: Column) -> Column:
+        def ending(end: Column, begin: Column) -> Column:
+            match = F.substring(run["match"], begin["start"] + 1, end["end"] - begin["start"])
+            return F.struct((run["start"] + begin["start"]).alias("start"), (run["start"] + end["end"]).alias("end"), match.alias("match"))
+
+        def beginning(begin: Column, i: Column) -> Column:
+            if kind == "ip":
+                return F.transform(F.slice(groups, i + least, most - least + 1), lambda end: ending(end, begin))
+            # No stretch has more groups than digits.
+            all_of_it = F.transform(F.slice(groups, i + 1, most), lambda end: ending(end, begin))
+            return F.filter(all_of_it, lambda c: F.length(F.translate(c["match"], " ()./-+", "")).between(least, most))
+
+        return F.flatten(F.transform(groups, beginning))
+
+    return let(spans(run["match"], GROUPS[kind]), of)
+
+
+def proposals(text: Column, kind: str, taken: Column | None = None) -> Column:
+    """array<struct<start, end, match>>: all that might be of a kind, or of it what
+    overlaps none of the spans ``taken``."""
+    found = spans(text, GENERATORS[kind])
+
+    def free(run: Column) -> Column:
+        whole = F.array(run) if kind == "email" else stretches(run, kind)
+        if taken is None:
+            return whole
+        near = F.filter(taken, lambda b: overlaps(b, run))
+        return let(near, lambda few: F.filter(whole, lambda c: ~F.exists(few, lambda b: overlaps(b, c))))
+
+    return F.flatten(F.transform(found, free))
+
 
-    return described(spans(text, GENERATORS[kind]))
+def described(text: Column, kind: str, span: Column) -> Column:
+    """Format and context features of a proposal."""
+    before = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1, F.least(span["start"], F.lit(CONTEXT)))
+    after = F.substring(text, span["end"] + 1, F.lit(2))
+    return F.array(*_features(kind, span["match"], before, after))
+
+
+def with_base(docs: DataFrame) -> DataFrame:
+    """Rows with ``base``, a field for each kind."""
+    return docs.withColumn("base", F.struct(*[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS]))
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """Rows with ``base`` (a field for each kind) and ``candidates``."""
+    """Rows with ``base`` and ``candidates``: place, format and context features,
+    and whether a base span of the kind lies within."""
     text = F.col("text")
-    found = docs.withColumn("base", F.struct(*[base_spans(text, kind).alias(kind) for kind in KINDS]))
-    return found.withColumn("candidates", F.flatten(F.array(*[proposals(text, kind, F.col(f"base.{kind}")) for kind in KINDS])))
+
+    def of(kind: str) -> Column:
+        def one(span: Column) -> Column:
+            holds = F.exists(f"base.{kind}", lambda b: (b["start"] >= span["start"]) & (b["end"] <= span["end"]))
+            return F.struct(
+                F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), holds.alias("holds"),
+                described(text, kind, span).alias("features"),
+            )
+
+        return F.transform(proposals(text, kind), one)
+
+    return with_base(docs).withColumn("candidates", F.flatten(F.array(*map(of, KINDS))))
 
 
 @dataclass(frozen=True)
@@ -224,24 +278,24 @@ def find_pii(docs: DataFrame, model: PiiModel) -> DataFrame:
 
     ``found`` has the base spans and the added ones, by kind, then start.
     """
-    rows = with_candidates(docs)
+    rows = with_base(docs)
 
     def numbered(i: int) -> Column:
         return F.transform(f"base.{KINDS[i]}", lambda s: F.struct(F.lit(i).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     base = F.flatten(F.array(*[numbered(i) for i in range(len(KINDS))]))
     rows = rows.withColumn("base_spans", F.array_sort(base))
-    overlaps = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    fresh = F.filter("candidates", lambda c: ~c["holds"] & ~F.exists("base_spans", lambda b: overlaps(b, c)))
-    scored = F.transform(
-        fresh,
-        lambda c: F.struct(
-            (-model.score(c["features"])).alias("minus"), c["start"].alias("start"), c["end"].alias("end"),
-            F.array_position(F.array(*map(F.lit, KINDS)), c["kind"]).cast("int").alias("number"),
-        ),
-    )
+
+    def scored(i: int) -> Column:
+        def one(c: Column) -> Column:
+            minus = -let(described(F.col("text"), KINDS[i], c), model.score)
+            return F.struct(minus.alias("minus"), c["start"].alias("start"), c["end"].alias("end"), F.lit(i + 1).alias("number"))
+
+        return F.transform(proposals(F.col("text"), KINDS[i], F.col("base_spans")), one)
+
+    fresh = F.flatten(F.array(*map(scored, range(len(KINDS)))))
     limits = F.array(*[F.lit(model.thresholds[kind]) for kind in KINDS])
-    likely = F.array_sort(F.filter(scored, lambda c: -c["minus"] >= F.get(limits, c["number"] - 1)))
+    likely = F.array_sort(F.filter(fresh, lambda c: -c["minus"] >= F.get(limits, c["number"] - 1)))
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
     added = F.aggregate(
         likely, none,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import pii
 from shelfmark.llm.common import table
 from shelfmark.llm.pii import KINDS, base_spans, cutoffs, find_pii, lower_bound, pii_report, redact, train_pii, written
+from shelfmark.llm.trees import Split
 
 # The patterns as the contract states them.
 PLAIN = {
@@ -131,3 +132,28 @@ def test_thresholds():
     counts = [("card", 90, 200, 200), ("card", 50, 0, 200), ("ip", 99, 5, 5)]
     assert cutoffs(counts, 0.95) == {"email": 2.0, "ip": 2.0, "card": 0.9, "phone": 2.0}
     assert lower_bound(0, 0) == 0.0 and 0.94 < lower_bound(50, 50) < 1
+
+
+def test_numbers_beside_others_are_proposals(documents):
+    texts = ["order 12 4111 1111 1111 1111", "4111111111111111 4012888888881881", "2024-05-01 4111111111111111", "7" * 40 + " +1 (499) 555-6503", "9.8.192.168.0.1"]
+    found = {}
+    for r in pii.with_candidates(documents(list(enumerate(texts)))).collect():
+        found[r.doc_id] = {(c.kind, texts[r.doc_id][c.start : c.end]) for c in r.candidates}
+    assert ("card", "4111 1111 1111 1111") in found[0]
+    assert {("card", "4111111111111111"), ("card", "4012888888881881")} <= found[1]
+    assert ("card", "4111111111111111") in found[2]
+    assert {("phone", "+1 (499) 555-6503"), ("phone", "(499) 555-6503")} <= found[3]
+    assert ("ip", "192.168.0.1") in found[4]
+    assert not any(sum(c.isdigit() for c in match) > 30 for few in found.values() for kind, match in few if kind == "card")
+
+
+def test_a_card_beside_other_numbers_is_found(spark):
+    """With trees that like cards of sixteen digits."""
+    digits = pii.FEATURES.index("digits")
+    card = Split(digits, 15.5, -5.0, Split(digits, 16.5, 5.0, -5.0))
+    trees = pii.BoostedTrees(((1.0, Split(0, 1.5, -5.0, Split(0, 2.5, card, -5.0))),))
+    texts = [(1, "order 12 4111 1111 1111 1111"), (2, "4111111111111111 4012888888881881"), (3, "2024-05-01 4111111111111111")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    rows = find_pii(docs, pii.PiiModel(trees, dict.fromkeys(KINDS, 0.9))).select("doc_id", "base_spans", written(F.col("found")).alias("line")).collect()
+    assert all(not r.base_spans for r in rows)
+    assert {r.doc_id: r.line for r in rows} == {1: "card:9:28", 2: "card:0:16,card:17:33", 3: "card:11:27"}
