@@ -12,13 +12,14 @@ digits, groups, separators, repeated characters) and context (characters before
 and after, what the text just before says), but not the validity rules, so a
 mistyped card number looks like a card. They are fitted to tell proposals that
 hold a valid span of their kind from the others, on a sample of at most
-``SAMPLE`` documents. A threshold for each kind is calibrated on documents set
-aside: the least score above which the precision's lower confidence bound
+``SAMPLE`` documents. A threshold for each kind is calibrated on all rows that
+the trees were not fitted on: the least score above which the precision's lower confidence bound
 reaches ``PRECISION``; where none does, the kind gets no added spans. Of
 overlapping additions the one with the highest score stays, and none overlaps a
 base span.
 
-Everything is JVM expressions in one pass over the text: no Python, no shuffle.
+Everything is JVM expressions, no Python: one pass over all texts to calibrate, of
+which only counts by kind and percent are shuffled, and one to find spans.
 Places are code points, ends are exclusive.
 
 Edge cases: null and empty texts have no spans; patterns are possessive, so
@@ -64,7 +65,7 @@ GENERATORS = {
 GROUPS = {"ip": r"[0-9]++", "card": r"[0-9]++", "phone": r"[+(]?[0-9]++"}
 STRETCH = {"ip": (3, 10), "card": (8, 30), "phone": (6, 20)}
 
-#: Bound on the documents whose candidates the trees and thresholds come from.
+#: Bound on the documents whose candidates the trees are fitted on.
 SAMPLE = 20_000
 ROUNDS, DEPTH = 12, 3
 PRECISION = 0.95
@@ -255,21 +256,27 @@ def cutoffs(counts: list[tuple[str, int, int, int]], precision: float) -> dict[s
 
 
 def train_pii(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> PiiModel:
-    """Trees and thresholds from the ``sample`` documents with the least id hashes."""
+    """Trees from most of the ``sample`` documents with the least id hashes,
+    thresholds from all other rows, those without doc_id too."""
     chosen = docs.filter("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids
-    texts = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    each = with_candidates(texts).select("doc_id", F.explode("candidates").alias("c"))
-    rows = each.select(
-        (F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(10)) < 4).alias("aside"),
-        F.col("c.kind").alias("kind_name"),
-        F.col("c.holds").cast("int").alias("label"),
-        *[F.get("c.features", F.lit(i)).alias(f"f_{name}") for i, name in enumerate(FEATURES)],
-    )
-    rows = materialize(rows, "pii-candidates")
-    trees = fit_trees(rows.filter("not aside"), [f"f_{name}" for name in FEATURES], "label", ROUNDS, DEPTH)
-    scored = rows.filter("aside").select("kind_name", "label", F.floor(trees.score([F.col(f"f_{n}") for n in FEATURES]) * 100).cast("int").alias("percent"))
-    counts = scored.groupBy("kind_name", "percent").agg(F.sum("label").alias("hits"), F.count("*").alias("n")).collect()
+    fitting = materialize(chosen.filter(F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(10)) >= 4), "pii-fitting")
+    fitting = F.broadcast(fitting)  # at most ``sample`` ids
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def candidates(of: DataFrame) -> DataFrame:
+        return with_candidates(of.select("text")).select(F.explode("candidates").alias("c")).select(
+            F.col("c.kind").alias("kind_name"), F.col("c.holds").cast("int").alias("label"), F.col("c.features").alias("features")
+        )
+
+    fold = texts.join(fitting, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    names = [f"f_{name}" for name in FEATURES]
+    rows = candidates(fold).select("label", *[F.get("features", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    trees = fit_trees(materialize(rows, "pii-candidates"), names, "label", ROUNDS, DEPTH)
+    model = PiiModel(trees, dict.fromkeys(KINDS, 2.0))
+    rest = candidates(texts.join(fitting, "doc_id", "left_anti"))
+    percents = rest.select("kind_name", "label", F.floor(model.score(F.col("features")) * 100).cast("int").alias("percent"))
+    # At most 101 rows for each kind.
+    counts = percents.groupBy("kind_name", "percent").agg(F.sum("label").alias("hits"), F.count("*").alias("n")).collect()
     return PiiModel(trees, cutoffs([(r.kind_name, r.percent, r.hits, r.n) for r in counts], precision))
 
 

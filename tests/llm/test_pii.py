@@ -157,3 +157,13 @@ def test_a_card_beside_other_numbers_is_found(spark):
     rows = find_pii(docs, pii.PiiModel(trees, dict.fromkeys(KINDS, 0.9))).select("doc_id", "base_spans", written(F.col("found")).alias("line")).collect()
     assert all(not r.base_spans for r in rows)
     assert {r.doc_id: r.line for r in rows} == {1: "card:9:28", 2: "card:0:16,card:17:33", 3: "card:11:27"}
+
+
+def test_thresholds_come_from_all_documents(contacts, monkeypatch):
+    """The sample holds too few cards for a threshold, the table enough."""
+    seen = []
+    monkeypatch.setattr(pii, "cutoffs", lambda counts, precision: seen.extend(counts) or cutoffs(counts, precision))
+    repeated = contacts.union(contacts.limit(1).selectExpr("CAST(NULL AS bigint)", "text"))
+    model = train_pii(repeated, sample=60)
+    assert sum(n for kind, _, _, n in seen if kind == "card") > 1_000
+    assert model.thresholds["card"] <= 1
