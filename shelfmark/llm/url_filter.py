@@ -4,13 +4,14 @@ A rule names a host with all its subdomains and the beginning of a path; of the
 rules that fit, the longest decides. Urls that no rule fits are judged by
 gradient-boosted trees on lexical features: lengths, depth, digit share,
 character entropy, counts of parameters and marks, and the share of blocked urls
-under the same host suffixes and first path segment. The trees learn from urls
-whose verdict the rules give, at most ``SAMPLE`` of them; the suffix shares come
-from the same urls and are pulled towards the overall share where few urls
-stand behind them.
+under the same host suffixes and first path segment. The shares come from all
+different urls whose verdict the rules give and are pulled towards the overall
+share where few urls stand behind them; the trees learn from at most ``SAMPLE``
+of these urls.
 
-All expressions run in the JVM. The tables of suffix shares have at most one row
-for each sampled url, so broadcasting them is bounded by ``SAMPLE``.
+All expressions run in the JVM. The tables of suffix shares grow with the input:
+they are written and joined, without a hint, so that adaptive execution can split
+a suffix with very many urls.
 
 Edge cases: a null url or one without ``://`` has an empty host and path, fits
 no rule and is judged by its features; without labelled urls of both kinds the
@@ -120,31 +121,29 @@ FEATURES = [f"f_{n}" for n in LEXICAL] + [f"f_{n}_{w}" for n in STATISTICS for w
 @dataclass
 class UrlModel:
     trees: BoostedTrees
-    #: By statistic: (value, share, count) of the labelled urls, at most SAMPLE rows.
+    #: By statistic: (value, share, count) of the labelled urls, a row for each value.
     shares: dict[str, DataFrame]
     overall: float
 
     def features(self, rows: DataFrame) -> DataFrame:
-        out = lexical(rows)
+        out = rows
         for name, expression in STATISTICS.items():
-            found = F.broadcast(self.shares[name])  # bounded by the sample
-            out = out.withColumn(f"v_{name}", F.expr(expression)).join(found, f"v_{name}", "left")
+            out = out.withColumn(f"v_{name}", F.expr(expression)).join(self.shares[name], f"v_{name}", "left")
             out = out.withColumn(f"f_{name}_share", F.coalesce(f"{name}_share", F.lit(self.overall)))
             out = out.withColumn(f"f_{name}_count", F.coalesce(F.log1p(f"{name}_count"), F.lit(0.0)))
-        return out
+        return lexical(out)  # last, so that the joins move no features
 
     def score(self, rows: DataFrame) -> DataFrame:
         return self.features(rows).withColumn("score", self.trees.score([F.col(name) for name in FEATURES]))
 
 
 def train_urls(ruled: DataFrame, sample: int = SAMPLE) -> UrlModel:
-    """A model from (url, host, path, ruled) rows; the urls with the least hashes."""
+    """A model from (url, host, path, ruled) rows: shares from all labelled urls,
+    trees from the ones with the least hashes."""
     labelled = (
         ruled.filter(F.col("ruled").isNotNull())
         .select("url", "host", "path", (F.col("ruled") == "block").cast("int").alias("label"))
         .distinct()
-        .orderBy(F.xxhash64("url"), "url")
-        .limit(sample)
     )
     labelled = materialize(labelled, "labelled-urls")
     overall = labelled.agg(F.avg("label").alias("share")).first().share
@@ -159,7 +158,8 @@ def train_urls(ruled: DataFrame, sample: int = SAMPLE) -> UrlModel:
             f"urls-by-{name}",
         )
     model = UrlModel(BoostedTrees(()), shares, overall)
-    rows = materialize(model.features(labelled).select("label", *FEATURES), "url-features")
+    chosen = materialize(labelled.orderBy(F.xxhash64("url"), "url").limit(sample), "sampled-urls")
+    rows = materialize(model.features(chosen).select("label", *FEATURES), "url-features")
     model.trees = fit_trees(rows, FEATURES, "label", ROUNDS, DEPTH)
     return model
 

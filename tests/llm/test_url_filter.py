@@ -62,3 +62,13 @@ def test_features_are_never_null(spark):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(EDGES)], "page_id bigint, url string")
     for row in lexical(with_rule(pages, RULES)).collect():
         assert all(v is not None for k, v in row.asDict().items() if k.startswith("f_"))
+
+
+def test_shares_come_from_all_labelled_urls(spark):
+    urls = [f"http://shop.com/de/{i}" for i in range(90)] + [f"http://site{i}.org/page" for i in range(110)] + ["http://shop.com/de/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    model = train_urls(with_rule(pages, RULES), sample=10)
+    assert model.overall == 0.45
+    shop = model.shares["suffix2"].filter("v_suffix2 = 'shop.com'").first()
+    assert shop.suffix2_count == 90 and shop.suffix2_share == (90 + 20 * 0.45) / 110
+    assert model.shares["suffix2"].count() == 111
