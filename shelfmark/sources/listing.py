@@ -12,8 +12,9 @@ from ..storage import glob_paths, literal, path_exists
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """Every Parquet object below ``root`` as ``(path, length)``.
 
-    Spark lists large trees on the executors; file contents are never opened
-    because the content column is not selected. Spark would plan a task per large
+    Spark lists large trees on the executors and gathers the status of every file
+    in the driver; file contents are never opened because the content column is
+    not selected. Spark would plan a task per large
     file, so the tasks are merged down to a few per core.
     """
     if not path_exists(spark, root):
