@@ -12,11 +12,9 @@ from shelfmark.showcase import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
-def database(request):
-    from conftest import TESTDATA
-
+def database(sf_dir):
     connection = duckdb.connect()
-    for file in Path(TESTDATA).glob("*.parquet"):
+    for file in Path(sf_dir).glob("*.parquet"):
         connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return connection
 
