@@ -36,7 +36,9 @@ WORD_END = "</w>"
 #: Latin text, where Python's Unicode tables agree with any vocabulary file's.
 PLAIN_BELOW = "ɐ"
 #: Entries of one generation of remembered words; two generations are held.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+#: Pairs of tokens of which it is remembered whether they are compatible.
+PAIRS = 1_000_000
 
 # The pattern of the vocabulary's pre-tokeniser.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -70,6 +72,20 @@ class Memory(dict):
         return value
 
 
+class Pairs(dict):
+    """Whether two tokens, left * 2^32 + right, are compatible; asked for once."""
+
+    def __init__(self, fits, size: int = PAIRS):
+        super().__init__()
+        self.fits, self.size = fits, size
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= self.size:
+            self.clear()
+        good = self[pair] = self.fits(pair >> 32, pair & 0xFFFFFFFF)
+        return good
+
+
 class Vocabulary:
     """Tables of one byte-level BPE vocabulary with word ends."""
 
@@ -87,9 +103,10 @@ class Vocabulary:
         self.odd_space = regex.compile("[\x1c-\x1f]")
         self.letters = byte_letters()
         self._matching(model)
-        self.piece_ids = Memory(self._piece)
+        # Pieces of plain lower-case letters are words too and remembered there.
+        self.piece_ids = Memory(self._piece, REMEMBERED // 2)
         self.word_ids = Memory(self._word)
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible = Pairs(self.fits)
 
     def _matching(self, model: dict) -> None:
         """A token is spelt in 512 symbols: a byte, or a byte that ends a word."""
@@ -128,57 +145,47 @@ class Vocabulary:
         over the seam that was due before the one just undone breaks the pair.
         Of equal merges the left one comes first.
         """
-        key = (left, right)
-        limit, good = 2 * len(self.joint) + 2, True
+        limit, joint, due = 2 * len(self.joint) + 2, self.joint, self.due
         while True:
-            across = self.joint.get((left, right))
+            across = joint.get((left, right))
             if across is not None and 2 * across < limit:
-                good = False
-                break
-            a, b = self.due[left], self.due[right]
+                return False
+            a, b = due[left], due[right]
             if a < 0 and b < 0:
-                break
+                return True
             if a > b:
                 limit, left = 2 * a, self.right[left]
             else:
                 limit, right = 2 * b + 1, self.left[right]
-        if len(self.compatible) >= 4 * REMEMBERED:
-            self.compatible.clear()
-        self.compatible[key] = good
-        return good
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece, given in the vocabulary's letters for bytes."""
-        data = piece.encode()
-        symbols = data[:-1].decode("latin-1") + chr(data[-1] + 256)
-        n, length, known = len(symbols), self.length, self.compatible
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1")
+        symbols = piece[:-1] + chr(ord(piece[-1]) + 256)
+        n, length, shorter, compatible = len(symbols), self.length, self.shorter, self.compatible
         longest = [-1] * n
         for end, token in self.automaton.iter(symbols):
             longest[end - length[token] + 1] = token
         found: list[int] = []
         dead = bytearray(n + 1)
-        at, token = 0, longest[0]
-        while at < n:
+        at, before, token = 0, -1, longest[0]
+        while True:
             end = at + length[token]
-            if not dead[end]:
-                fits = True
-                if found:
-                    fits = known.get((found[-1], token))
-                    if fits is None:
-                        fits = self.fits(found[-1], token)
-                if fits:
-                    found.append(token)
-                    at = end
-                    if at < n:
-                        token = longest[at]
-                    continue
-            token = self.shorter[token]
-            while token < 0:
-                dead[at] = 1
-                token = found.pop()
-                at -= length[token]
-                token = self.shorter[token]
-        return array("I", found).tobytes()
+            if not dead[end] and (before < 0 or compatible[(before << 32) + token]):
+                found.append(token)
+                if end == n:
+                    return array("I", found).tobytes()
+                at, before, token = end, token, longest[end]
+                continue
+            token = shorter[token]
+            if token < 0:
+                while token < 0:
+                    dead[at] = 1
+                    token = found.pop()
+                    at -= length[token]
+                    token = shorter[token]
+                before = found[-1] if found else -1
 
     @property
     def library(self):
@@ -191,6 +198,8 @@ class Vocabulary:
 
     def _word(self, word: str) -> bytes:
         """Ids of what stands between two white spaces."""
+        if word.isascii() and word.isalpha():
+            return self._piece(word) if word.islower() else self.word_ids[word.lower()]
         if max(word) < PLAIN_BELOW:
             pieces = self.pieces.findall(unicodedata.normalize("NFC", word).lower())
         else:
@@ -200,7 +209,8 @@ class Vocabulary:
                 bytes(byte_of[c] for c in piece).decode()
                 for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)
             ]
-        return b"".join(map(self.piece_ids.__getitem__, pieces))
+        words, others = self.word_ids, self.piece_ids
+        return b"".join([words[p] if p.isascii() and p.isalpha() else others[p] for p in pieces])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
