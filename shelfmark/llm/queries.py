@@ -12,6 +12,7 @@ from .packing import pack_documents
 from .pii import pii_report
 from .quality import judge_quality
 from .quality_rules import apply_rules
+from .token_blocks import token_round_trip
 from .toxicity import judge_toxicity
 from .url_filter import judge_urls
 from .warc import round_trip
@@ -61,3 +62,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
