@@ -10,6 +10,7 @@ from .near_dup import near_duplicates
 from .order_minhash import fingerprints
 from .packing import pack_documents
 from .pii import pii_report
+from .prefix_trie import prefix_trie
 from .quality import judge_quality
 from .quality_rules import apply_rules
 from .token_blocks import token_round_trip
@@ -66,3 +67,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
