@@ -16,6 +16,7 @@ from .quality_rules import apply_rules
 from .token_blocks import token_round_trip
 from .toxicity import judge_toxicity
 from .url_filter import judge_urls
+from .variants import variant_groups
 from .warc import round_trip
 
 
@@ -71,3 +72,7 @@ def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(table(spark, sf_dir, "documents"))

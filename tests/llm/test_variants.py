@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from shelfmark.llm import variants
+from shelfmark.llm.common import table
+from shelfmark.llm.variants import part_hashes, variant_groups
+
+
+def is_near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def neighbours(word, letters):
+    out = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    for i in range(len(word) + 1):
+        for c in letters:
+            out |= {word[:i] + c + word[i:], word[:i] + c + word[i + 1 :]}
+    return out - {word}
+
+
+def brute_force(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(c.lower() if c < "\x80" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    letters = sorted({c for w in words for c in w})
+    near = {w: sorted(words.keys() & neighbours(w, letters)) for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best and words[best] >= 2 * words[w] else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def found(frame):
+    assert frame.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    return sorted(map(tuple, frame.collect()))
+
+
+def test_sample_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    wanted = brute_force(rows)
+    assert len([w for w in wanted if w[1]]) > 20
+    assert found(variant_groups(docs)) == wanted
+
+
+def test_neighbours_are_near():
+    assert all(is_near("hello", w) for w in neighbours("hello", "aeh"))
+    assert not is_near("ab", "ba") and not is_near("hello", "helloxx")
+
+
+def random_words(seed, n, letters, low=5, high=9):
+    draw = random.Random(seed)
+    return ["".join(draw.choice(letters) for _ in range(draw.randint(low, high))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("crowd", [2, 128])
+def test_look_alikes_with_and_without_crowds(spark, documents, monkeypatch, crowd):
+    monkeypatch.setattr(variants, "CROWD", crowd)
+    draw = random.Random(crowd)
+    words = random_words(crowd, 500, "abé")
+    rows = [(k, " ".join(w for w in words for _ in range(draw.choice([1, 1, 1, 2, 5])))) for k in range(3)]
+    assert found(variant_groups(documents(rows))) == brute_force(rows)
+
+
+def test_one_letter_repeated_and_anagrams(spark, documents):
+    words = ["a" * k for k in range(1, 12)] + ["abcde", "abced", "bacde", "edcba", "abcdx", "xbcde", "abcd", "abcdef"]
+    rows = [(5, ". ".join(words * 3)), (6, "-".join(words[::2] * 4))]
+    assert found(variant_groups(documents(rows))) == brute_force(rows)
+
+
+def test_long_chains_of_forms(spark, documents):
+    chain = ["bbbbbbbb"[:k] + "aaaaaaaa"[k:] for k in range(8)]
+    rows = [(2, " ".join(w for k, w in enumerate(chain) for _ in range(3 * 2**k)))]
+    result = {r[0]: r for r in found(variant_groups(documents(rows)))}
+    assert result == {r[0]: r for r in brute_force(rows)}
+    assert result["aaaaaaaa"][2] == chain[-1]
+
+
+def test_edges(spark, documents):
+    rows = [
+        (None, None), (None, "Straße STRAßE straße"), (3, ""), (4, "Été été ÉTÉS étés étés"), (4, "é" * 6 + " " + "É" * 6),
+        (7, "hello " * 50), (7, "hello " * 50), (8, "hellö hellö hellö hullo hullo hullo"), (9, "×÷×÷× " * 4), (10, "x" * 60 + " " + "x" * 61),
+    ] * 3 + [(11, "wordy worda " * 90_000)]
+    frame = documents(rows, "'x' AS word").selectExpr("*", "1 AS n", "2 AS key", "3 AS side")
+    assert found(variant_groups(frame)) == brute_force(rows)
+
+
+def test_empty_table(spark, documents):
+    assert variant_groups(documents([])).collect() == []
+    assert variant_groups(documents([(1, "a few words")])).collect() == []
+
+
+def test_parts_see_letters_and_not_their_order():
+    assert part_hashes("abcab", 3) == part_hashes("baabc", 3)
+    one, two = part_hashes("abcab", 3), part_hashes("abcax", 3)
+    assert any(x == y for x, y in zip(one, two)) and one != two
+    assert all(-(2**63) <= h < 2**63 for h in part_hashes("z" * 5000, 2))
