@@ -6,8 +6,9 @@ encoder walks these matches from left to right and accepts a token when its pair
 with the token before it is compatible, that is, when merging both texts from
 scratch would leave exactly this pair. If no prefix of a match fits, the encoder
 steps back and marks the position as a dead end, so every position is left at
-most once for each token that ends there. Decoding gathers token texts from one
-byte buffer through a table of offsets.
+most once for each token that ends there. The words that a group of texts brings
+anew are matched in one run and walked side by side in flat arrays. Decoding
+gathers token texts from one byte buffer through a table of offsets.
 
 Edge cases: null is the empty text and gives no tokens; any white space, control
 characters and code points of any script follow the vocabulary's normaliser;
@@ -22,6 +23,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -30,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_BYTES, map_texts
+from .common import FLUSH_BYTES, groups_of, map_texts
 
 WORD_END = "</w>"
 #: Latin text, where Python's Unicode tables agree with any vocabulary file's.
@@ -38,7 +40,11 @@ PLAIN_BELOW = "ɐ"
 #: Entries of one generation of remembered words; two generations are held.
 REMEMBERED = 300_000
 #: Pairs of tokens of which it is remembered whether they are compatible.
-PAIRS = 1_000_000
+PAIRS = 1 << 21
+#: Pieces are walked side by side if there are so many, none longer than this.
+ABREAST, SHORT = 32, 64
+#: Stands between pieces that are matched in one run; no token has it.
+GAP = chr(600)
 
 # The pattern of the vocabulary's pre-tokeniser.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -65,25 +71,61 @@ class Memory(dict):
         value = self.older.get(word)
         if value is None:
             value = self.make(word)
+        self.put(word, value)
+        return value
+
+    def put(self, word: str, value: bytes) -> None:
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[word] = value
-        return value
 
+    def knows(self, word: str) -> bool:
+        return word in self or word in self.older
 
-class Pairs(dict):
-    """Whether two tokens, left * 2^32 + right, are compatible; asked for once."""
+
+class Pairs:
+    """Whether two tokens are compatible; asked for once, kept in open addressing."""
 
     def __init__(self, fits, size: int = PAIRS):
-        super().__init__()
         self.fits, self.size = fits, size
-
-    def __missing__(self, pair: int) -> bool:
-        if len(self) >= self.size:
-            self.clear()
-        good = self[pair] = self.fits(pair >> 32, pair & 0xFFFFFFFF)
-        return good
+        self.shift = np.uint64(64 - (2 * size - 1).bit_length())
+        self._empty()
+
+    def _empty(self) -> None:
+        self.used = 0
+        self.keys = np.full(1 << (64 - int(self.shift)), -1, np.int64)
+        self.good = np.zeros(len(self.keys), bool)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left.astype(np.int64) << 32) + right
+        out, cell = np.zeros(len(keys), bool), self._cell(keys)
+        left_over, unknown = np.arange(len(keys)), []
+        while len(left_over):
+            seen = self.keys[cell[left_over]]
+            hit = seen == keys[left_over]
+            out[left_over[hit]] = self.good[cell[left_over[hit]]]
+            unknown.append(left_over[seen < 0])
+            left_over = left_over[~hit & (seen >= 0)]
+            cell[left_over] = (cell[left_over] + 1) % len(self.keys)
+        unknown = np.concatenate(unknown) if unknown else left_over
+        if len(unknown):
+            new, where = np.unique(keys[unknown], return_inverse=True)
+            out[unknown] = np.array([self._ask(int(key)) for key in new])[where]
+        return out
+
+    def _cell(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _ask(self, key: int) -> bool:
+        if self.used >= self.size:
+            self._empty()
+        at = ((key * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
+        while self.keys[at] >= 0:
+            at = (at + 1) % len(self.keys)
+        self.keys[at], self.good[at] = key, self.fits(key >> 32, key & 0xFFFFFFFF)
+        self.used += 1
+        return bool(self.good[at])
 
 
 class Vocabulary:
@@ -106,7 +148,8 @@ class Vocabulary:
         # Pieces of plain lower-case letters are words too and remembered there.
         self.piece_ids = Memory(self._piece, REMEMBERED // 2)
         self.word_ids = Memory(self._word)
-        self.compatible = Pairs(self.fits)
+        self.compatible = lru_cache(PAIRS // 16)(self.fits)
+        self.pairs = Pairs(self.fits)
 
     def _matching(self, model: dict) -> None:
         """A token is spelt in 512 symbols: a byte, or a byte that ends a word."""
@@ -120,12 +163,21 @@ class Vocabulary:
         ids = {spelt(t): i for t, i in model["vocab"].items()}
         size = max(self.text_of) + 1
         self.length, self.shorter = [0] * size, [-1] * size
+        # Tokens of one and two symbols are told by tables, longer ones by the automaton.
+        self.one, self.two = np.full(512, -1), np.full((512, 512), -1, np.int32)
+        self.short: dict[str, int] = {}
         self.automaton = ahocorasick.Automaton()
         for s, i in ids.items():
-            self.automaton.add_word(s, i)
+            if len(s) > 2:
+                self.automaton.add_word(s, i)
+            else:
+                self.short[s] = i
+                table, place = (self.one, ord(s)) if len(s) == 1 else (self.two, (ord(s[0]), ord(s[1])))
+                table[place] = i
             self.length[i] = len(s)
             self.shorter[i] = next((ids[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in ids), -1)
         self.automaton.make_automaton()
+        self.lengths, self.shorter_of = np.array(self.length), np.array(self.shorter)
         # By token: when its merge is due (-1: a single symbol) and its halves.
         self.due, self.left, self.right = [-1] * size, [-1] * size, [-1] * size
         self.joint: dict[tuple[int, int], int] = {}
@@ -158,13 +210,19 @@ class Vocabulary:
             else:
                 limit, right = 2 * b + 1, self.left[right]
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of one piece, given in the vocabulary's letters for bytes."""
+    @staticmethod
+    def _symbols(piece: str) -> str:
         if not piece.isascii():
             piece = piece.encode().decode("latin-1")
-        symbols = piece[:-1] + chr(ord(piece[-1]) + 256)
+        return piece[:-1] + chr(ord(piece[-1]) + 256)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece, given in the vocabulary's letters for bytes."""
+        symbols = self._symbols(piece)
         n, length, shorter, compatible = len(symbols), self.length, self.shorter, self.compatible
-        longest = [-1] * n
+        short = self.short
+        longest = [short.get(symbols[i : i + 2], -1) for i in range(n)]
+        longest = [t if t >= 0 else short.get(s, -1) for t, s in zip(longest, symbols)]
         for end, token in self.automaton.iter(symbols):
             longest[end - length[token] + 1] = token
         found: list[int] = []
@@ -172,7 +230,7 @@ class Vocabulary:
         at, before, token = 0, -1, longest[0]
         while True:
             end = at + length[token]
-            if not dead[end] and (before < 0 or compatible[(before << 32) + token]):
+            if not dead[end] and (before < 0 or compatible(before, token)):
                 found.append(token)
                 if end == n:
                     return array("I", found).tobytes()
@@ -187,6 +245,88 @@ class Vocabulary:
                     token = shorter[token]
                 before = found[-1] if found else -1
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The same for many short pieces: one step of each walk at a time."""
+        symbols = [self._symbols(piece) for piece in pieces]
+        sizes = np.array([len(s) for s in symbols])
+        stop = np.cumsum(sizes + 1) - 1  # where the gap behind a piece is
+        start = stop - sizes
+        text = GAP.join(symbols)
+        longest = self._short_tokens(text + GAP)
+        hits = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        longest[hits[:, 0] - self.lengths[hits[:, 1]] + 1] = hits[:, 1]  # later, and so longer, ones stay
+        stack, dead = np.zeros(len(longest), np.uint32), np.zeros(len(longest), bool)
+        depth = np.zeros(len(pieces), np.int64)
+        piece, at, before, token = np.arange(len(pieces)), start.copy(), np.full(len(pieces), -1), longest[start]
+        while len(piece) >= ABREAST:
+            end = at + self.lengths[token]
+            good = (token >= 0) & ~dead[np.where(token >= 0, end, at)]
+            asked = np.flatnonzero(good & (before >= 0))
+            good[asked] = self.pairs(before[asked], token[asked])
+            back = np.flatnonzero(token < 0)
+            down = np.flatnonzero(~good & (token >= 0))
+            token[down] = self.shorter_of[token[down]]
+            if len(back):
+                dead[at[back]] = True
+                depth[piece[back]] -= 1
+                top = start[piece[back]] + depth[piece[back]]
+                taken = stack[top].astype(np.int64)
+                at[back] -= self.lengths[taken]
+                token[back] = self.shorter_of[taken]
+                before[back] = np.where(depth[piece[back]] > 0, stack[np.maximum(top - 1, 0)], -1)
+            on = np.flatnonzero(good)
+            stack[start[piece[on]] + depth[piece[on]]] = token[on]
+            depth[piece[on]] += 1
+            before[on], at[on] = token[on], end[on]
+            token[on] = longest[np.minimum(end[on], len(longest) - 1)]
+            going = np.ones(len(piece), bool)
+            going[on] = end[on] < stop[piece[on]]
+            piece, at, before, token = piece[going], at[going], before[going], token[going]
+        data = stack.astype("<u4").tobytes()
+        out = [data[4 * s : 4 * (s + d)] for s, d in zip(start.tolist(), depth.tolist())]
+        for left in piece.tolist():
+            out[left] = self._piece(pieces[left])
+        return out
+
+    def _short_tokens(self, text: str) -> np.ndarray:
+        """The longest token of at most two symbols at each place of a text; none at gaps."""
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        known = codes < 512
+        code = np.where(known, codes, 0)
+        longest = np.where(known, self.one[code], -1)
+        pairs = np.where(known[:-1] & known[1:], self.two[code[:-1], code[1:]], -1)
+        longest[:-1] = np.where(pairs >= 0, pairs, longest[:-1])
+        return longest
+
+    def seen(self, column: pa.Array) -> Iterator[str]:
+        """Texts of an Arrow column, learnt group by group before they are given."""
+        for group in groups_of(column):
+            self.learn(group)
+            yield from group
+
+    def learn(self, texts: list[str]) -> None:
+        """Remember the words that are new in some texts."""
+        new: set[str] = set()
+        for text in texts:
+            new.update(text.split())
+        parts = {}
+        for word in new.difference(self.word_ids).difference(self.word_ids.older):
+            if word.isascii():
+                parts[word] = self._split(word.lower())
+            elif max(word) < PLAIN_BELOW:
+                parts[word] = self._split(unicodedata.normalize("NFC", word).lower())
+        pieces = {p for of_word in parts.values() for p in of_word if 0 < len(p) <= SHORT}
+        memory = {True: self.word_ids, False: self.piece_ids}
+        pieces = [p for p in pieces if not memory[p.isascii() and p.isalpha()].knows(p)]
+        if len(pieces) < ABREAST:
+            return
+        for piece, ids in zip(pieces, self._pieces(pieces)):
+            memory[piece.isascii() and piece.isalpha()].put(piece, ids)
+        words, others = self.word_ids, self.piece_ids
+        for word, of_word in parts.items():
+            if not words.knows(word):
+                words.put(word, b"".join([words[p] if p.isascii() and p.isalpha() else others[p] for p in of_word]))
+
     @property
     def library(self):
         """The public tokenizers library: its Unicode tables for rare scripts."""
@@ -196,12 +336,20 @@ class Vocabulary:
             self._library = Tokenizer.from_str(self.content.decode())
         return self._library
 
+    def _split(self, word: str) -> list[str]:
+        """Pieces of a plain word; the pattern is spared for letters and one mark."""
+        if word.isalpha():
+            return [word]
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [word[:-1], word[-1]]
+        return self.pieces.findall(word)
+
     def _word(self, word: str) -> bytes:
         """Ids of what stands between two white spaces."""
         if word.isascii() and word.isalpha():
             return self._piece(word) if word.islower() else self.word_ids[word.lower()]
         if max(word) < PLAIN_BELOW:
-            pieces = self.pieces.findall(unicodedata.normalize("NFC", word).lower())
+            pieces = self._split(unicodedata.normalize("NFC", word).lower())
         else:
             normal = self.library.normalizer.normalize_str(word)
             byte_of = {letter: b for b, letter in enumerate(self.letters)}
@@ -271,7 +419,10 @@ def bpe_encode(df: DataFrame, tokenizer_path: str, *keys: str, text: str = "text
     def row(value: str) -> tuple:
         return (vocabulary(shared.value).encode(value),)
 
-    return map_texts(df, list(keys), text, "ids binary", row, lambda found: len(found[0]))
+    def learn(texts: list[str]) -> None:
+        vocabulary(shared.value).learn(texts)
+
+    return map_texts(df, list(keys), text, "ids binary", row, lambda found: len(found[0]), learn)
 
 
 def bpe_decode(df: DataFrame, tokenizer_path: str, *keys: str, ids: str = "ids") -> DataFrame:

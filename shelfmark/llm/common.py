@@ -13,6 +13,8 @@ from shelfmark.session import scratch_path
 #: An operator hands rows back once this many bytes have gathered, so that its
 #: memory follows the longest text and not the number of rows in a batch.
 FLUSH_BYTES = 8 << 20
+#: Texts are looked at in groups of so many letters, or one by one if longer.
+GROUP_LETTERS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +44,19 @@ def texts_of(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def groups_of(column: pa.Array, letters: int = GROUP_LETTERS) -> Iterator[list[str]]:
+    """Texts of an Arrow column in groups of about ``letters`` letters."""
+    group, held = [], 0
+    for text in texts_of(column):
+        if group and held + len(text) > letters:
+            yield group
+            group, held = [], 0
+        group.append(text)
+        held += len(text)
+    if group:
+        yield group
+
+
 def map_texts(
     df: DataFrame,
     keys: list[str],
@@ -49,11 +64,13 @@ def map_texts(
     outputs: str,
     row: Callable[[str], tuple],
     width: Callable[[tuple], int] = lambda found: 64,
+    prepare: Callable[[list[str]], None] | None = None,
 ) -> DataFrame:
     """``keys`` of each row with what ``row`` makes of its text.
 
     ``outputs`` is the DDL of the new columns. Runs as Arrow batches inside the
-    tasks of the scan: no shuffle, and no more than one text is held decoded.
+    tasks of the scan: no shuffle, and no more than one text, or one group of
+    short ones, is held decoded. ``prepare`` is shown each group before.
     """
     source = df.select(*keys, text)
     schema = source.select(*keys).schema
@@ -62,11 +79,19 @@ def map_texts(
         schema = schema.add(field)
     names = [field.name for field in made]
 
+    def prepared(column: pa.Array) -> Iterator[str]:
+        if prepare is None:
+            yield from texts_of(column)
+            return
+        for group in groups_of(column):
+            prepare(group)
+            yield from group
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = None
         for batch in batches:
             start, held, rows = 0, 0, []
-            for at, value in enumerate(texts_of(batch.column(len(keys)))):
+            for at, value in enumerate(prepared(batch.column(len(keys)))):
                 rows.append(row(value))
                 held += width(rows[-1])
                 if held >= FLUSH_BYTES or at == batch.num_rows - 1:

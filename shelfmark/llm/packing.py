@@ -52,10 +52,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            encode = vocabulary(shared.value).encode
+            words = vocabulary(shared.value)
             rows, piece, start, length, crc = [], [], [], [], []
-            for at, value in enumerate(batch.column(1)):
-                ids = encode(value.as_py() or "") + tail
+            for at, text in enumerate(words.seen(batch.column(1))):
+                ids = words.encode(text) + tail
                 for k, begin in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * begin : 4 * (begin + capacity)]
                     rows.append(at)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from shelfmark.session import scratch_path
 
 from .bpe import ship, vocabulary
-from .common import materialize, texts_of
+from .common import materialize
 from .warc import place
 
 MAGIC = b"PFR1"
@@ -212,7 +212,7 @@ def write_tokens(
             done.append((*first, name, len(writer.ends), writer.ids))
 
         for batch in batches:
-            for doc_id, digest, row, text in zip(batch.column(0), batch.column(2), batch.column(3), texts_of(batch.column(1))):
+            for doc_id, digest, row, text in zip(batch.column(0), batch.column(2), batch.column(3), words.seen(batch.column(1))):
                 if writer is None:
                     name = f"tokens-{uuid.uuid4().hex}.pfr"
                     first = (doc_id.as_py(), digest.as_py(), row.as_py())

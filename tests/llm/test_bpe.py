@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import unicodedata
 from array import array
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from shelfmark.llm.bpe import TokenTexts, Vocabulary, token_digests
+from shelfmark.llm.bpe import Memory, Pairs, TokenTexts, Vocabulary, token_digests
 from shelfmark.llm.common import table
 from shelfmark.llm.queries import tokenizer_path
 
@@ -84,3 +86,25 @@ def test_frames_with_nulls_repeats_and_clashing_names(documents, library):
 
 def test_normal_form_is_checked_against_unicode():
     assert unicodedata.normalize("NFC", "e\u0301") == "é"
+
+
+def test_words_learnt_side_by_side_encode_like_the_library(library):
+    draw = random.Random(4)
+    letters = "abcdeénorst'’ß1,.A"
+    texts = [" ".join("".join(draw.choices(letters, k=draw.randint(1, 12))) for _ in range(300)) for _ in range(6)]
+    texts += EDGES + ["x" * 200 + " " + "ab" * 31 + " " + "a" * 64 + " " + "b" * 65]
+    learner = Vocabulary(LIBRARY[1].content)
+    learner.pairs = Pairs(learner.fits, 64)  # forgets all pairs now and then
+    for text, seen in zip(texts, learner.seen(pa.array(texts))):
+        assert text == seen
+        assert list(array("I", learner.encode(text))) == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeinorst.", min_size=1, max_size=14), min_size=40, max_size=200))
+def test_any_words_learnt_together_encode_like_the_library(words):
+    library, vocabulary = LIBRARY
+    learner = Vocabulary.__new__(Vocabulary)
+    learner.__dict__ |= vocabulary.__dict__ | {"word_ids": Memory(lambda w: learner._word(w)), "piece_ids": Memory(learner._piece)}
+    learner.learn([" ".join(words)])
+    assert list(array("I", learner.encode(" ".join(words)))) == library.encode(" ".join(words), add_special_tokens=False).ids
