@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..columns import MONTH, TENANT, YEAR, quoted
 from ..functions.text import first_segment, parent_path, without_trailing_slashes
+from ..sources.footers import Tree
 from ..sources.listing import list_objects
 
 # How Spark spells partition directories.
@@ -59,21 +60,29 @@ def partitions_of(objects: DataFrame) -> DataFrame:
     """
     objects = objects.filter(F.col("path").contains(f"{TENANT}=") & ~F.col("path").endswith("/"))
     below = F.regexp_extract("path", f"({TENANT}=.*)", 1)
-    paths = objects.select(without_trailing_slashes(parent_path(below)).alias("path"))
-    paths = paths.filter("path <> ''").distinct()
+    return _with_keys(objects.select(without_trailing_slashes(parent_path(below)).alias("path")).distinct())
+
+
+def _with_keys(paths: DataFrame) -> DataFrame:
+    """Partition paths with the key values that they spell."""
 
     def key(name: str) -> Column:
         found = F.regexp_extract("path", f"(?:^|/){name}=([^/]*)", 1)
         return _unescaped(F.nullif(found, F.lit(""))).alias(name)
 
-    return paths.select("path", key(TENANT), key(YEAR), key(MONTH))
+    return paths.filter("path <> ''").select("path", key(TENANT), key(YEAR), key(MONTH))
 
 
 def partition_inventory(spark: SparkSession, root: str, tenant: str | None = None) -> DataFrame:
-    """Partitions present below a dataset root; ``tenant`` narrows the listing."""
+    """Partitions present below a dataset root; ``tenant`` narrows the listing.
+
+    Tasks list the folders of a tenant each, and hand back a row for every
+    partition, whatever number of files it has.
+    """
     if tenant is not None:
         root = f"{root.rstrip('/')}/{TENANT}={escape_value(tenant)}"
-    return partitions_of(list_objects(spark, root))
+    tree = Tree(spark, root)
+    return _with_keys(tree.partitions()) if tree.reachable else partitions_of(list_objects(spark, root))
 
 
 def retain_reloaded(existing: DataFrame, reloaded: DataFrame) -> DataFrame:

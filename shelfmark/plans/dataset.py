@@ -2,27 +2,25 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
-from functools import reduce
 from typing import Protocol, TypeVar
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..columns import quoted
 from ..contracts import Contract
-from ..functions.numbers import double_to_text
 from ..operators.conform import Profile, can_cast, checks, conform, kept_columns, observed_profile, profile
 from ..operators.derive import cluster_by_month, normalize, with_audit, with_partition_keys
 from ..operators.sink import partition_cols
 from ..session import scratch_path
 from ..sources.queries import CatalogSource, JdbcSource, MonthSplit, Split
 from ..storage import delete_tree
+from ..unions import union_parts
 
 # Datasets kept by month, with the column that dates their rows.
 DATE_COLUMNS = {"Vendas": "DataVenda", "Compras": "DataEmissaoNF"}
@@ -69,13 +67,31 @@ class DatasetSpec:
 
 @dataclass
 class Prepared:
-    """A conformed dataset ready to be written, and what it leaves behind."""
+    """A conformed dataset ready to be written, and what it leaves behind.
+
+    ``parts`` are the landed rows of each query with what was learnt of them, from
+    which the frame can be made again.
+    """
 
     frame: DataFrame
     cols: list[str]
     rows: int | None
     notes: dict[str, str] = field(default_factory=dict)
     staged: list[str] = field(default_factory=list)
+    parts: list[Landed] = field(default_factory=list)
+
+
+@dataclass(frozen=True)
+class Landed:
+    """Rows of one query in the shared folder, and their profile."""
+
+    path: str
+    schema: str
+    facts: Profile
+
+    def read(self, spark: SparkSession, contract: Contract | None) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(self.schema))
+        return conform(spark.read.schema(schema).parquet(self.path), contract, self.facts)
 
 
 def is_connection_error(error: BaseException) -> bool:
@@ -131,40 +147,6 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
-    """Rows of all parts; a column typed differently is widened, else made text.
-
-    An integer that its column's doubles cannot hold exactly fails the read,
-    with the column's name.
-    """
-    kinds: dict[str, set[T.DataType]] = {}
-    for part in parts:
-        for column in part.schema.fields:
-            kinds.setdefault(column.name, set()).add(column.dataType)
-    numeric = {T.LongType(), T.DoubleType()}
-
-    def aligned(part: DataFrame) -> DataFrame:
-        out = []
-        for column in part.schema.fields:
-            c, found = quoted(column.name), kinds[column.name]
-            if len(found) > 1 and found <= numeric:
-                c = _exact_double(c, column)
-            elif len(found) > 1:
-                c = double_to_text(c) if isinstance(column.dataType, T.DoubleType) else c.cast("string")
-            out.append(c.alias(column.name))
-        return part.select(*out)
-
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(aligned, parts))
-
-
-def _exact_double(c: Column, column: T.StructField) -> Column:
-    if isinstance(column.dataType, T.DoubleType):
-        return c
-    wide = c.cast("double")
-    rounded = F.raise_error(F.lit(f"column {column.name} has integers that its doubles would round"))
-    return F.when(c.isNull() | (wide.try_cast("bigint") == c), wide).otherwise(rounded)
-
-
 def stay_double(facts: Profile, df: DataFrame, contract: Contract | None, delivered: Mapping[str, T.DataType]) -> Profile:
     """``facts`` under which no column that was delivered as double turns bigint."""
     kinds = contract.columns if contract else {}
@@ -223,6 +205,7 @@ def build_dataset(
         staging == "always" or copies > 1 or len(specs) > 1 or not isinstance(source, CatalogSource)
     )
     staged: list[str] = []
+    landed: list[Landed] = []
     parts: list[DataFrame] = []
     layouts: set[tuple[str, ...]] = set()
     notes: dict[str, str] = {}
@@ -234,7 +217,7 @@ def build_dataset(
     def clustered(found: DataFrame, spec: DatasetSpec) -> DataFrame:
         return cluster_by_month(found, spec.date_column, spec.key_mode, spec.date_format)
 
-    def land(spec: DatasetSpec) -> tuple[DataFrame, Profile]:
+    def land(spec: DatasetSpec) -> tuple[DataFrame, Profile, str | None]:
         found = source.read(spark, spec.query, spec.split)
         layouts.add(tuple(partition_cols(spec.date_column, found.columns)))
         if read_once or not is_repeatable(found):
@@ -242,16 +225,18 @@ def build_dataset(
             staged.append(path)
             observed, facts = observed_profile(ready(clustered(found, spec), spec), contract)
             frame = stage(observed, path)
-            return frame, facts()
+            return frame, facts(), path
         unclustered = ready(found, spec)
         facts = profile(unclustered, contract) if any(checks(unclustered, contract)) else Profile()
-        return ready(clustered(found, spec), spec), replace(facts, rows=None)
+        return ready(clustered(found, spec), spec), replace(facts, rows=None), None
 
     try:
         for spec in specs:
-            frame, facts = with_retry(lambda: land(spec), attempts, delay)
+            frame, facts, path = with_retry(lambda: land(spec), attempts, delay)
             rows = None if rows is None or facts.rows is None else rows + facts.rows
             facts = stay_double(facts, frame, contract, delivered)
+            if path is not None:
+                landed.append(Landed(path, frame.schema.json(), facts))
             notes |= kept_columns(frame, contract, facts)
             if isinstance(source, JdbcSource) and spec.split is None:
                 notes["(query)"] = "read by a single task; name a split"
@@ -262,7 +247,7 @@ def build_dataset(
         discard(spark, staged)
         raise
     frame = parts[0] if len(parts) == 1 else union_parts(parts)
-    return Prepared(frame, list(layouts.pop()), rows, notes, staged)
+    return Prepared(frame, list(layouts.pop()), rows, notes, staged, landed)
 
 
 def discard(spark: SparkSession, staged: Sequence[str]) -> None:

@@ -17,7 +17,7 @@ from ..columns import TENANT
 from ..contracts import Contract, bundled_contracts
 from ..operators.partitions import escape_value
 from ..operators.sink import overwrite_partitions
-from ..session import RUN_CONF, session_conf
+from ..session import RUN_CONF, keep_scratch, session_conf
 from ..sources.clouds import apply_hadoop_conf, destinations, read_clouds
 from ..sources.listing import delivered_types
 from ..sources.queries import CatalogSource, MonthSplit, Split, connection_settings, mysql_source
@@ -31,6 +31,7 @@ from ..sources.registry import (
     workers as workers_setting,
 )
 from .dataset import DatasetSpec, Prepared, Source, build_dataset, discard, type_changes
+from .ledger import announce, complete, ledger_types
 from .report import (
     EMPTY,
     FAILED,
@@ -153,6 +154,36 @@ def _deliver(prepared: Prepared, paths: Sequence[str], tenant: str, on_layout_ch
     return (0 if any(errors.values()) else seen.get.get("rows", 0)), errors
 
 
+def _deliver_by_ledger(
+    prepared: Prepared, paths: Sequence[str], tenant: str, on_layout_change: str
+) -> tuple[int, dict, list[str]]:
+    """Rows, errors by path, and the landed folders that some path still needs."""
+    spark = prepared.frame.sparkSession
+    intents = {intent.path: intent for intent in announce(spark, prepared, paths, tenant, on_layout_change)}
+    landed = [part.path for part in prepared.parts]
+    for path in landed:  # whatever happens from here on, they can be delivered
+        keep_scratch(path)
+    errors = fan_out(prepared.frame, paths, prepared.cols, on_layout_change, tenant)
+    for path, text in errors.items():
+        if text is None:
+            complete(spark, intents[path])
+    return prepared.rows, errors, landed if any(errors.values()) else []
+
+
+def _plans(prepared: Prepared, paths: Sequence[str], tenant: str) -> list[tuple]:
+    """Replacement plans of one tenant's load: a row for each month of the tenant."""
+    if prepared.rows == 0:
+        return []
+    found = []
+    for path in paths:
+        plan = overwrite_partitions(prepared.frame, path, prepared.cols, dry_run=True, tenant=tenant)
+        found += [(path, *row) for row in plan.collect()]
+    return found
+
+
+PLAN_SCHEMA = "root string, tenant string, path string, action string, whole_tenant boolean"
+
+
 def run(
     spark: SparkSession,
     specs: Sequence[DatasetSpec],
@@ -169,6 +200,8 @@ def run(
     on_layout_change: str = "error",
     staging: str = "always",
     on_type_change: str = "error",
+    ledger: bool = False,
+    dry_run: bool = False,
 ) -> DataFrame:
     """Extract, conform and deliver every dataset, then maybe the refresh table.
 
@@ -180,6 +213,13 @@ def run(
     read together. A column delivered as double stays one; any other change of
     type is an error, unless ``on_type_change="allow"`` lets every load choose
     its types by its own values.
+
+    ``ledger`` keeps account of deliveries in the dataset folders. What could not be
+    delivered to a root is then owed to it: its landed rows stay, and ``resume``
+    delivers them later to the roots that lack them.
+
+    ``dry_run`` delivers nothing and gives the replacement plan of every dataset
+    and root instead of the report.
     """
     if on_type_change not in ("error", "allow"):
         raise ValueError(f"unknown on_type_change {on_type_change!r}")
@@ -204,18 +244,28 @@ def run(
             before = {}
             if on_type_change == "error":
                 for path in reversed(paths):
-                    before |= delivered_types(spark, f"{path}/{TENANT}={escape_value(tenant)}")
+                    entered = ledger_types(spark, path, tenant) if ledger else None
+                    in_folders = f"{path}/{TENANT}={escape_value(tenant)}"
+                    before |= delivered_types(spark, in_folders) if entered is None else entered
             prepared = build_dataset(
-                spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay, staging, before
+                spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay,
+                "always" if ledger else staging, before,
             )
+            owed: list[str] = []
             try:
                 notes = prepared.notes
                 changed = type_changes(prepared.frame, before) if len(prepared.cols) > 1 else []
                 if changed and prepared.rows != 0 and not prepared.frame.isEmpty():
                     raise TypeChange("; ".join(changed))
-                rows, errors = _deliver(prepared, paths, tenant, on_layout_change)
+                if dry_run:
+                    return dataset, _plans(prepared, paths, tenant)
+                if ledger and prepared.rows:
+                    owed = [part.path for part in prepared.parts]
+                    rows, errors, owed = _deliver_by_ledger(prepared, paths, tenant, on_layout_change)
+                else:
+                    rows, errors = _deliver(prepared, paths, tenant, on_layout_change)
             finally:
-                discard(spark, prepared.staged)
+                discard(spark, [path for path in prepared.staged if path not in owed])
             failures = [f"{path}: {text}" for path, text in errors.items() if text]
             if failures:
                 delivered, error = False, "; ".join(failures)
@@ -228,6 +278,13 @@ def run(
         noted = "; ".join(f"{name}: {text}" for name, text in notes.items()) or None
         return dataset, status, rows, delivered, error, noted, time.monotonic() - clock
 
+    if dry_run:
+        with session_conf(spark, RUN_CONF):
+            found = in_threads(spark, one, group_specs(specs).items(), max(1, workers))
+        failed = [row for row in found if len(row) > 2]
+        if failed:
+            raise RuntimeError("; ".join(f"{row[0]}: {row[4]}" for row in failed))
+        return spark.createDataFrame([row for _, plans in found for row in plans], PLAN_SCHEMA)
     with session_conf(spark, RUN_CONF):
         rows = in_threads(spark, one, group_specs(specs).items(), max(1, workers))
         report = spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -96,6 +96,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def keep_scratch(path: str) -> None:
+    """Leave a scratch path to whoever needs it later; cleaning passes it over."""
+    if path in _scratch_made:
+        _scratch_made.remove(path)
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete what this process put into the scratch folder; call it when no frame
     that reads from there is needed any more."""
