@@ -278,6 +278,42 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
                strftime(o_orderdate, '%Y') AS Ano, strftime(o_orderdate, '%m') AS Mes
         FROM orders
     """,
+    "read_uneven_history": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS CodigoVenda,
+               CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN o_totalprice
+                    WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN floor(o_totalprice) END AS Preco,
+               strftime(o_orderdate, '%Y') AS Ano, strftime(o_orderdate, '%m') AS Mes
+        FROM orders
+    """,
+    "read_mixed_history": f"""
+        SELECT o_orderkey, CASE WHEN month(o_orderdate) = 5 THEN o_totalprice ELSE floor(o_totalprice) END AS price,
+               CAST(o_custkey AS VARCHAR) AS customer, '{TENANT_ID}' AS idEmpresa,
+               strftime(o_orderdate, '%Y') AS Ano, strftime(o_orderdate, '%m') AS Mes
+        FROM orders
+    """,
+    "ledger_state": f"""
+        SELECT 'idEmpresa={TENANT_ID}/Ano=' || strftime(o_orderdate, '%Y') || '/Mes=' || strftime(o_orderdate, '%m') AS path,
+               'idEmpresa={TENANT_ID}' AS tenant, count(*) AS rows
+        FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0 GROUP BY 1
+    """,
+    "ledger_reconciled": f"""
+        SELECT 'idEmpresa={TENANT_ID}/Ano=' || strftime(o_orderdate, '%Y') || '/Mes=' || strftime(o_orderdate, '%m') AS path,
+               count(*) AS rows_entered, count(*) AS rows_found, 'agrees' AS verdict
+        FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0 GROUP BY 1
+    """,
+    "resume_owed": """
+        SELECT root, c_name AS NomeCliente, count(*) AS landed,
+               CASE WHEN root = 'b' THEN (SELECT count(*) FROM customer) END AS later
+        FROM customer, (VALUES ('a'), ('b')) AS r(root) GROUP BY root, c_name
+    """,
+    "run_plan": f"""
+        SELECT DISTINCT 'Vendas' AS dataset,
+               'idEmpresa={TENANT_ID}/Ano=' || strftime(o_orderdate, '%Y') || '/Mes=' || strftime(o_orderdate, '%m') AS path,
+               CASE WHEN year(o_orderdate) = 1997 THEN 'replace' ELSE 'keep' END AS action, false AS whole_tenant
+        FROM orders
+        UNION ALL
+        SELECT 'Produtos', 'idEmpresa={TENANT_ID}', 'add', false WHERE (SELECT count(*) FROM part) > 0
+    """,
     "fan_out": """
         SELECT c_custkey, c_name, c_mktsegment AS idEmpresa, root
         FROM customer, (VALUES ('a'), ('b')) AS r(root)

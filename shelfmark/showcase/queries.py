@@ -46,9 +46,13 @@ from ..plans import (
     extract,
     fan_out,
     gate_status,
+    ledger_entries,
+    ledger_state,
     prepare,
     publish_gate,
+    reconcile,
     refresh_rows,
+    resume,
     row_counts,
     run,
     run_summary,
@@ -63,6 +67,7 @@ from ..sources import (
     read_tenants,
     select_dataset,
 )
+from ..storage import delete_tree
 from .sources import DATASET_SQL, SPECS, load_table, load_tables, tables_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,6 +533,98 @@ def read_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, f"{root}/Vendas").select("CodigoVenda", "Preco", YEAR, MONTH)
 
 
+@query("read_uneven_history")
+def read_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with fractions at first, absent for two years, and whole at last."""
+    load_tables(spark, sf_dir, "orders")
+    root = scratch_path(spark, "uneven")
+    whole = ", CAST(floor(o_totalprice) AS DOUBLE) AS Preco"
+    spans = [("1900", "1996", ", o_totalprice AS Preco"), ("1996", "1998", ""), ("1998", "2100", whole)]
+    for first, last, price in spans:
+        text = f"""
+            SELECT o_orderkey AS CodigoVenda, o_orderdate AS DataVenda{price} FROM orders
+            WHERE o_orderdate >= TIMESTAMP '{first}-01-01 00:00:00' AND o_orderdate < TIMESTAMP '{last}-01-01 00:00:00'
+        """
+        run(spark, [DatasetSpec("Vendas", text)], SAMPLE_TENANT, [root], as_of=AS_OF)
+    return read_dataset(spark, f"{root}/Vendas").select("CodigoVenda", "Preco", YEAR, MONTH)
+
+
+@query("read_mixed_history")
+def read_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months that were written with types of their own: bigint, double and text."""
+    orders = load_table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "mixed")
+    dated = with_partition_keys(orders, "o_orderdate").withColumn(TENANT, F.lit(SAMPLE_TENANT))
+    price, month = F.col("o_totalprice"), F.col(MONTH)
+    kinds = [
+        (month < "05", F.floor(price), F.col("o_custkey").cast("string")),
+        (month == "05", price, F.col("o_custkey")),
+        (month > "05", F.floor(price), F.col("o_custkey")),
+    ]
+    for when, number, text in kinds:
+        part = dated.filter(when).select("o_orderkey", number.alias("price"), text.alias("customer"), *PARTITION_KEYS)
+        write_partitioned(cluster_for_write(part, PARTITION_KEYS), root, PARTITION_KEYS)
+    return read_dataset(spark, root)
+
+
+def _twice_by_ledger(spark: SparkSession, sf_dir: str, *roots: str) -> None:
+    """Orders by month with a ledger, then the months of 1997 again with half the rows."""
+    load_tables(spark, sf_dir, "orders")
+    text = "SELECT o_orderkey AS CodigoVenda, o_orderdate AS DataVenda, o_totalprice AS VlrBruto FROM orders"
+    half = f"{text} WHERE year(o_orderdate) = 1997 AND o_orderkey % 2 = 0"
+    for query_text in (text, half):
+        run(spark, [DatasetSpec("Vendas", query_text)], SAMPLE_TENANT, roots, as_of=AS_OF, ledger=True)
+
+
+@query("ledger_state")
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says of each partition, without a look at the folders."""
+    root = scratch_path(spark, "ledger")
+    _twice_by_ledger(spark, sf_dir, root)
+    return ledger_state(ledger_entries(spark, f"{root}/Vendas")).select("path", "tenant", "rows")
+
+
+@query("ledger_reconciled")
+def ledger_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows entered beside rows in the footers of the delivered files."""
+    root = scratch_path(spark, "reconciled")
+    _twice_by_ledger(spark, sf_dir, root)
+    return reconcile(spark, f"{root}/Vendas").select("path", "rows_entered", "rows_found", "verdict")
+
+
+@query("resume_owed")
+def resume_owed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two roots one refuses the second load and gets it later; both read back."""
+    roots = {name: scratch_path(spark, f"owed-{name}") for name in ("a", "b")}
+    load_tables(spark, sf_dir, "customer")
+    undated = DatasetSpec("Clientes", "SELECT c_custkey AS CodigoCliente, c_name AS NomeCliente FROM customer")
+    # Months in the way: an undated load is refused there until that is allowed.
+    dated = with_partition_keys(load_table(spark, sf_dir, "orders"), "o_orderdate").withColumn(TENANT, F.lit(SAMPLE_TENANT))
+    write_partitioned(dated, f"{roots['b']}/Clientes", PARTITION_KEYS)
+    run(spark, [undated], SAMPLE_TENANT, list(roots.values()), as_of=AS_OF, ledger=True)
+    delete_tree(spark, f"{roots['b']}/Clientes/{TENANT}={SAMPLE_TENANT}")
+    delivered = resume(spark, list(roots.values())).select("path", "rows", "delivered")
+    out = None
+    for name, root in roots.items():
+        back = read_dataset(spark, f"{root}/Clientes").groupBy("NomeCliente").agg(F.count(F.lit(1)).alias("landed"))
+        later = delivered.filter(F.col("path").startswith(root)).agg(F.sum("rows").alias("later"))
+        part = back.crossJoin(later).select(F.lit(name).alias("root"), "NomeCliente", "landed", "later")
+        out = part if out is None else out.union(part)
+    return out
+
+
+@query("run_plan")
+def run_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dry run of a whole run: months of 1997 over all months, and a dataset that is new."""
+    load_tables(spark, sf_dir, "orders", "part")
+    root = scratch_path(spark, "dry")
+    text = "SELECT o_orderkey AS CodigoVenda, o_orderdate AS DataVenda FROM orders"
+    run(spark, [DatasetSpec("Vendas", text)], SAMPLE_TENANT, [root], as_of=AS_OF)
+    specs = [DatasetSpec("Vendas", f"{text} WHERE year(o_orderdate) = 1997"), DatasetSpec("Produtos", "SELECT p_partkey AS CodigoProduto FROM part")]
+    plans = run(spark, specs, SAMPLE_TENANT, [root], as_of=AS_OF, dry_run=True)
+    return plans.select(F.regexp_extract("root", "([^/]*)$", 1).alias("dataset"), "path", "action", "whole_tenant")
+
+
 @query("fan_out")
 def deliver_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dataset fanned out to two roots, both read back."""
