@@ -298,34 +298,51 @@ class Vocabulary:
         longest[:-1] = np.where(pairs >= 0, pairs, longest[:-1])
         return longest
 
-    def seen(self, column: pa.Array) -> Iterator[str]:
-        """Texts of an Arrow column, learnt group by group before they are given."""
+    def encoded(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of the texts of an Arrow column, encoded group by group."""
         for group in groups_of(column):
-            self.learn(group)
-            yield from group
-
-    def learn(self, texts: list[str]) -> None:
-        """Remember the words that are new in some texts."""
-        new: set[str] = set()
-        for text in texts:
-            new.update(text.split())
+            yield from self.encode_group(group)
+
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; every word of the group is looked up once."""
+        split = [None if "<|" in text or self.odd_space.search(text) else text.split() for text in texts]
+        found: dict[str, bytes] = {}
+        new, get, older = [], self.word_ids.get, self.word_ids.older.get
+        for word in set().union(*[words for words in split if words]):
+            ids = get(word) or older(word)
+            if ids is None:
+                new.append(word)
+            else:
+                found[word] = ids
+        self._learn(new, found)
+        ids_of = found.__getitem__
+        return [self.encode(t) if words is None else b"".join(map(ids_of, words)) for t, words in zip(texts, split)]
+
+    def _learn(self, new: list[str], found: dict[str, bytes]) -> None:
+        """Remember new words, and put their ids into ``found``."""
         parts = {}
-        for word in new.difference(self.word_ids).difference(self.word_ids.older):
+        for word in new:
             if word.isascii():
                 parts[word] = self._split(word.lower())
             elif max(word) < PLAIN_BELOW:
                 parts[word] = self._split(unicodedata.normalize("NFC", word).lower())
-        pieces = {p for of_word in parts.values() for p in of_word if 0 < len(p) <= SHORT}
-        memory = {True: self.word_ids, False: self.piece_ids}
-        pieces = [p for p in pieces if not memory[p.isascii() and p.isalpha()].knows(p)]
-        if len(pieces) < ABREAST:
-            return
-        for piece, ids in zip(pieces, self._pieces(pieces)):
-            memory[piece.isascii() and piece.isalpha()].put(piece, ids)
         words, others = self.word_ids, self.piece_ids
-        for word, of_word in parts.items():
-            if not words.knows(word):
-                words.put(word, b"".join([words[p] if p.isascii() and p.isalpha() else others[p] for p in of_word]))
+        unknown = set()
+        for of_word in parts.values():
+            for piece in of_word:
+                if len(piece) <= SHORT and not (words if piece.isascii() and piece.isalpha() else others).knows(piece):
+                    unknown.add(piece)
+        pieces = list(unknown)
+        if len(pieces) >= ABREAST:
+            for piece, ids in zip(pieces, self._pieces(pieces)):
+                (words if piece.isascii() and piece.isalpha() else others).put(piece, ids)
+        for word in new:
+            of_word = parts.get(word)
+            if of_word is None or len(of_word) == 1 and of_word[0] == word:
+                found[word] = words[word]
+            else:
+                ids = found[word] = b"".join([words[p] if p.isascii() and p.isalpha() else others[p] for p in of_word])
+                words.put(word, ids)
 
     @property
     def library(self):
@@ -416,13 +433,10 @@ def bpe_encode(df: DataFrame, tokenizer_path: str, *keys: str, text: str = "text
     """``keys`` and ``ids``: little-endian unsigned 32-bit token ids of ``text``."""
     shared = ship(df, tokenizer_path)
 
-    def row(value: str) -> tuple:
-        return (vocabulary(shared.value).encode(value),)
-
-    def learn(texts: list[str]) -> None:
-        vocabulary(shared.value).learn(texts)
+    def rows(texts: list[str]) -> list[tuple]:
+        return [(ids,) for ids in vocabulary(shared.value).encode_group(texts)]
 
-    return map_texts(df, list(keys), text, "ids binary", row, lambda found: len(found[0]), learn)
+    return map_texts(df, list(keys), text, "ids binary", None, lambda found: len(found[0]), rows)
 
 
 def bpe_decode(df: DataFrame, tokenizer_path: str, *keys: str, ids: str = "ids") -> DataFrame:

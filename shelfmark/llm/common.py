@@ -62,15 +62,15 @@ def map_texts(
     keys: list[str],
     text: str,
     outputs: str,
-    row: Callable[[str], tuple],
+    row: Callable[[str], tuple] | None,
     width: Callable[[tuple], int] = lambda found: 64,
-    prepare: Callable[[list[str]], None] | None = None,
+    rows_of: Callable[[list[str]], list[tuple]] | None = None,
 ) -> DataFrame:
     """``keys`` of each row with what ``row`` makes of its text.
 
     ``outputs`` is the DDL of the new columns. Runs as Arrow batches inside the
     tasks of the scan: no shuffle, and no more than one text, or one group of
-    short ones, is held decoded. ``prepare`` is shown each group before.
+    short ones, is held decoded. ``rows_of`` takes such groups in place of ``row``.
     """
     source = df.select(*keys, text)
     schema = source.select(*keys).schema
@@ -79,20 +79,19 @@ def map_texts(
         schema = schema.add(field)
     names = [field.name for field in made]
 
-    def prepared(column: pa.Array) -> Iterator[str]:
-        if prepare is None:
-            yield from texts_of(column)
-            return
-        for group in groups_of(column):
-            prepare(group)
-            yield from group
+    def results(column: pa.Array) -> Iterator[tuple]:
+        if rows_of is None:
+            yield from map(row, texts_of(column))
+        else:
+            for group in groups_of(column):
+                yield from rows_of(group)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = None
         for batch in batches:
             start, held, rows = 0, 0, []
-            for at, value in enumerate(prepared(batch.column(len(keys)))):
-                rows.append(row(value))
+            for at, found in enumerate(results(batch.column(len(keys)))):
+                rows.append(found)
                 held += width(rows[-1])
                 if held >= FLUSH_BYTES or at == batch.num_rows - 1:
                     if types is None:

@@ -54,8 +54,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
         for batch in batches:
             words = vocabulary(shared.value)
             rows, piece, start, length, crc = [], [], [], [], []
-            for at, text in enumerate(words.seen(batch.column(1))):
-                ids = words.encode(text) + tail
+            for at, ids in enumerate(words.encoded(batch.column(1))):
+                ids += tail
                 for k, begin in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * begin : 4 * (begin + capacity)]
                     rows.append(at)

@@ -204,7 +204,7 @@ def write_tokens(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = place(root)
         system.create_dir(folder, recursive=True)
-        words, last = vocabulary(shared.value), np.array([end], np.uint32)
+        words, last = vocabulary(shared.value), int(end).to_bytes(4, "little")
         writer, name, first, done = None, "", (), []
 
         def close() -> None:
@@ -212,12 +212,12 @@ def write_tokens(
             done.append((*first, name, len(writer.ends), writer.ids))
 
         for batch in batches:
-            for doc_id, digest, row, text in zip(batch.column(0), batch.column(2), batch.column(3), words.seen(batch.column(1))):
+            for doc_id, digest, row, ids in zip(batch.column(0), batch.column(2), batch.column(3), words.encoded(batch.column(1))):
                 if writer is None:
                     name = f"tokens-{uuid.uuid4().hex}.pfr"
                     first = (doc_id.as_py(), digest.as_py(), row.as_py())
                     writer = ShardWriter(system, f"{folder}/{name}")
-                writer.add(doc_id.as_py(), np.append(np.frombuffer(words.encode(text), "<u4"), last))
+                writer.add(doc_id.as_py(), np.frombuffer(ids + last, "<u4"))
                 if writer.ids >= shard_ids or len(writer.ends) >= shard_docs:
                     close()
                     writer = None

@@ -95,9 +95,8 @@ def test_words_learnt_side_by_side_encode_like_the_library(library):
     texts += EDGES + ["x" * 200 + " " + "ab" * 31 + " " + "a" * 64 + " " + "b" * 65]
     learner = Vocabulary(LIBRARY[1].content)
     learner.pairs = Pairs(learner.fits, 64)  # forgets all pairs now and then
-    for text, seen in zip(texts, learner.seen(pa.array(texts))):
-        assert text == seen
-        assert list(array("I", learner.encode(text))) == library.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(texts, learner.encoded(pa.array(texts)), strict=True):
+        assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
@@ -106,5 +105,5 @@ def test_any_words_learnt_together_encode_like_the_library(words):
     library, vocabulary = LIBRARY
     learner = Vocabulary.__new__(Vocabulary)
     learner.__dict__ |= vocabulary.__dict__ | {"word_ids": Memory(lambda w: learner._word(w)), "piece_ids": Memory(learner._piece)}
-    learner.learn([" ".join(words)])
-    assert list(array("I", learner.encode(" ".join(words)))) == library.encode(" ".join(words), add_special_tokens=False).ids
+    [ids] = learner.encode_group([" ".join(words)])
+    assert list(array("I", ids)) == library.encode(" ".join(words), add_special_tokens=False).ids
