@@ -10,7 +10,7 @@ from shelfmark.llm import quality, toxicity
 from shelfmark.llm.common import table
 from shelfmark.llm.labelled import labelled_sample
 from shelfmark.llm.quality import dual_descent, judge_quality
-from shelfmark.llm.toxicity import fit_bags, judge_toxicity
+from shelfmark.llm.toxicity import bag, judge_toxicity, packed_bags, score_toxicity, sign_counts
 
 JUDGES = [(judge_quality, "quality", 5, 0), (judge_toxicity, "toxic", 4, 2)]
 
@@ -82,7 +82,7 @@ def test_worst_sentences_are_located(spark):
 
 
 def test_noisy_or_of_sentences():
-    model = toxicity.ToxicityModel({"bad": 3.0, "worse*": 1.0}, -2.0)
+    model = toxicity.ToxicityModel({zlib.crc32(b"bad"): 3.0, zlib.crc32(b"worse*"): 1.0}, -2.0)
     score, start, end, worst = model.judge("Fine here. Bad worse1 there!")
     one, other = 1 / (1 + np.exp(2.0)), 1 / (1 + np.exp(2.0 - 3.0 - 0.0))
     assert score == pytest.approx(1 - (1 - one) * (1 - other)) or score > other
@@ -102,8 +102,7 @@ def test_dual_descent_reaches_the_hinge_optimum():
 
 
 def test_constant_models():
-    assert fit_bags([["a"]], np.array([1])).judge("a b")[0] == 0.0
-    assert fit_bags([], np.array([])).judge("a")[0] == 0.0
+    assert toxicity.ToxicityModel({}, 0.0, 0.0).judge("a b")[0] == 0.0
     assert quality.fit_rows([], np.array([], int), 8).score("a") == 0.5
 
 
@@ -111,3 +110,90 @@ def test_sample_table(spark, sf_dir):
     for judge, *_ in JUDGES:
         docs = table(spark, sf_dir, "documents")
         assert judge(docs, table(spark, sf_dir, "labels")).count() == docs.count()
+
+
+def toxic_by_hand(weights, base, text):
+    """Noisy-or of sentences, letter by letter."""
+    sentences, now = [], ""
+    for k, c in enumerate(text):
+        now += c
+        ends = c in ".!?" and (k + 1 == len(text) or text[k + 1] not in ".!?") or c == "\n"
+        if ends or k + 1 == len(text):
+            sentences.append(now)
+            now = ""
+    calm, any_words = 1.0, False
+    for sentence in sentences:
+        if not sentence.strip(".!?\n"):
+            continue
+        odds = base
+        for word in sentence.split():
+            any_words = True
+            word = word.lower()
+            while word and not word[0].isalnum():
+                word = word[1:]
+            while word and not word[-1].isalnum():
+                word = word[:-1]
+            for sign in [word] + [word[:n] + "*" for n in (4, 5, 6) if len(word) > n] if word else []:
+                odds += weights.get(zlib.crc32(sign.encode()), 0.0)
+        if sentence.split():
+            calm *= 1 - 1 / (1 + np.exp(-odds))
+    return 1 - calm if any_words else 0.0
+
+
+def test_toxicity_scores_equal_brute_force(spark, documents):
+    draw = random.Random(8)
+    words = ["bad", "Worse", "grumpfel", "vilekano", "ok", "(bad)", "é", "it's", "--", "fine", "grump"]
+    signs = ["bad", "worse", "grum*", "grump*", "vilek*", "vileka*", "é", "it's", "fine"]
+    weights = {zlib.crc32(s.encode()): draw.uniform(-2, 3) for s in signs}
+    texts = ["".join(draw.choice(words) + draw.choice([" ", ". ", "! ", "\n", "  "]) for _ in range(draw.randint(0, 30))) for _ in range(60)]
+    rows = [(k, t) for k, t in enumerate([*texts, "", None, "bad"])]
+    scored = score_toxicity(documents(rows), toxicity.ToxicityModel(weights, -3.0), "doc_id").collect()
+    assert {r.doc_id: pytest.approx(r.score, abs=1e-9) for r in scored} == {k: toxic_by_hand(weights, -3.0, t or "") for k, t in rows}
+
+
+def test_signs_are_counted_by_document_and_packed_by_sentence(spark):
+    texts = [(1, "bad bad. Bad fine!"), (1, "grumpfel"), (0, "fine. fine bad")]
+    rows = [(label, *map(bytearray, bag(text))) for label, text in texts]
+    bags = spark.createDataFrame(rows, "label int, signs binary, sizes binary").repartition(2)
+    crc = {s: zlib.crc32(s.encode()) for s in ("bad", "fine", "grumpfel", "grum*", "grump*", "grumpf*")}
+    counted = {r.sign: (r.zeros, r.ones) for r in sign_counts(bags).collect()}
+    assert counted == {crc[s]: (0, 1) for s in crc if s[0] == "g"} | {crc["bad"]: (1, 1), crc["fine"]: (1, 1)}
+    vocabulary = np.sort(np.array([crc["bad"], crc["fine"]], np.uint32))
+    packed = sorted(
+        (r.label, tuple(np.frombuffer(r.sizes, "<u2")), tuple(vocabulary[np.frombuffer(r.hits, "<u2")])) for r in packed_bags(bags, vocabulary).collect()
+    )
+    both = tuple(vocabulary)
+    assert packed == sorted([(1, (1, 2), (crc["bad"], *both)), (1, (0,), ()), (0, (1, 2), (crc["fine"], *both))])
+
+
+def quality_by_hand(model, text):
+    """Margin over a set of n-grams, one by one, with plain integers."""
+
+    def mixed(*parts):
+        out = len(parts)
+        for part in parts:
+            out = (out ^ part) * 0x9E3779B97F4A7C15 % 2**64
+            out ^= out >> 29
+        return out % 2**32
+
+    words = text.split()
+    crc = [zlib.crc32(w.lower().encode()) for w in words]
+    forms = [zlib.crc32(b"s" + quality.shape(w).encode()) for w in words]
+    found = set(crc) | {f ^ 1 for f in forms}
+    for k in range(len(words) - 1):
+        found |= {mixed(crc[k], crc[k + 1]), mixed(forms[k], forms[k + 1], int(crc[k] == crc[k + 1]))}
+    found |= {mixed(*forms[k : k + 3], 7) for k in range(len(words) - 2)}
+    numbers = {n % (2**model.bits - 1) + 1 for n in found} if words else {0}
+    length = sum(model.ratios[n] ** 2 for n in numbers) ** 0.5 + 1e-9
+    margin = sum(model.weights[n] * model.ratios[n] for n in numbers) / length + model.bias
+    return 1 / (1 + np.exp(-(model.slope * margin + model.shift)))
+
+
+def test_quality_scores_equal_brute_force(spark, documents):
+    draw = random.Random(5)
+    noise = np.random.default_rng(5)
+    model = quality.QualityModel(noise.normal(size=1 << 9), noise.normal(size=1 << 9), 0.2, 1.3, -0.4, 9)
+    words = ["The", "the", "AND!!", "a1", "é", "x" * 30, "...", "two"]
+    rows = [(k, " ".join(draw.choices(words, k=k % 40))) for k in range(60)] + [(60, None), (61, "the " * 45_000)]
+    scored = quality.score_quality(documents(rows), model, "doc_id").collect()
+    assert {r.doc_id: pytest.approx(r.score, abs=1e-9) for r in scored} == {k: quality_by_hand(model, t or "") for k, t in rows}
