@@ -5,9 +5,10 @@ when their sets' Jaccard similarity reaches a percentage, and linked documents
 form components. The join is recursive: a tree starts by branching documents on
 one minwise token; a node of at most ``LEAF`` documents is compared
 exhaustively, a larger one branches again on further minwise tokens that its
-own hash selects. ``TREES`` trees use different tokens, so that a pair at the
-threshold is missed by all of them with a chance below 1e-5. Comparisons are
-screened by the sketches and confirmed on full sets.
+own hash selects. Trees use different tokens, and there are so many of them that a
+pair at the threshold is missed by all with a chance below 1e-5, even if its nodes
+branch down to ``DEPTH``. Comparisons are screened by the sketches and confirmed on
+full sets.
 
 What keeps hot groups in bounds:
 
@@ -25,18 +26,22 @@ What keeps hot groups in bounds:
 Edge cases: null, empty and blank texts have an empty set and no links; shorter
 texts than five words are one shingle; a row without doc_id stays alone, with a
 null component, and is kept. Rows that share a doc_id are one node: each gets
-its own row in the result. Extra columns do not matter.
+its own row in the result. Their sets are told apart by a hash of their text and
+join one by one; equal rows join once, however often they are repeated. Extra
+columns do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -44,16 +49,21 @@ from .common import map_texts, materialize
 from .components import components
 
 WIDTH = 5
-#: Minwise tokens in a sketch, trees, documents in a leaf, levels of branching.
-TOKENS, TREES, LEAF, DEPTH = 64, 8, 64, 4
+#: Minwise tokens in a sketch, documents in a leaf, levels of branching.
+TOKENS, LEAF, DEPTH = 64, 64, 4
 #: Further tokens on which a large node branches.
 BRANCHES = 2
+#: Chance that no tree brings a pair at the threshold into one leaf.
+MISSED = 1e-5
 #: Documents of a block; nodes above ``VAST`` branch before clusters are sought.
 BLOCK, VAST = 256, 50_000
 #: Equal tokens with a pivot from which a member is near, and beyond which it
 #: cannot be linked with one that is not: a similarity of 0.25, and 0.15 + 0.25 more.
 NEAR, CORE = 16, 42
 
+#: What tells documents apart: rows of one doc_id may have different texts.
+IDENTITY = ["doc_id", "text_hash"]
+
 _seed = np.random.default_rng(20240229)
 FACTORS = _seed.integers(1, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _seed.integers(0, 1 << 63, TOKENS, np.uint64)
@@ -99,18 +109,33 @@ def minwise(members: np.ndarray) -> np.ndarray:
     return best
 
 
-def describe(text: str) -> tuple:
+def trees(percent: int) -> int:
+    """Trees of which one at least keeps a pair at the threshold together.
+
+    A tree does if the pair shares the root's token and, at every level, one of the
+    tokens on which its node branches.
+    """
+    p = percent / 100
+    kept = p * (1 - (1 - p) ** BRANCHES) ** DEPTH
+    return min(TOKENS, max(1, math.ceil(math.log(MISSED) / math.log(1 - kept)))) if kept < 1 else 1
+
+
+def describe(n_trees: int, text: str) -> tuple:
     """Set size, 128-bit key of the set, root node of each tree, sketch."""
     members = shingles(text)
     if not len(members):
         return 0, None, None, None, None
     best = minwise(members)
-    roots = spread(spread(best[:TREES]) + np.arange(1, TREES + 1, dtype=np.uint64)).view(np.int64)
+    roots = spread(spread(best[:n_trees]) + np.arange(1, n_trees + 1, dtype=np.uint64)).view(np.int64)
     k1, k2 = np.frombuffer(hashlib.blake2b(members.tobytes(), digest_size=16).digest(), np.int64)
     sketch = (spread(best) >> np.uint64(48)).astype(np.uint16)
     return len(members), int(k1), int(k2), roots.tolist(), sketch.tobytes()
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
 def screen(percent: int) -> int:
     """Equal tokens that a pair at the threshold has but for a chance of 1e-5."""
     p = percent / 100
@@ -170,20 +195,22 @@ class Forest:
 
 
 def likely_groups(nodes: DataFrame, least: int) -> DataFrame:
-    """(key, doc_id): documents of one small node that the screen holds together.
+    """(key, doc_id, text_hash): documents of one small node that the screen holds
+    together.
 
-    ``nodes`` has node, doc_id, label, sketch. Documents of one label are
-    compared elsewhere.
+    ``nodes`` has node, doc_id, text_hash, label, sketch. Documents of one label
+    are compared elsewhere.
     Groups with the same members get the same key, from whichever tree.
     """
 
     def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, doc, label = (rows[c].to_numpy() for c in ("node", "doc_id", "label"))
+        node, label = (rows[c].to_numpy() for c in ("node", "label"))
+        doc = np.column_stack([rows[c].to_numpy() for c in ("doc_id", "text_hash")])
         sketch = sketches(rows["sketch"].combine_chunks())
         keys, docs = [], []
 
         def emit(members: np.ndarray) -> None:
-            members = np.unique(members)
+            members = np.unique(members, axis=0)
             if len(members) > 1:
                 keys.append(np.full(len(members), xxhash.xxh64_intdigest(members.tobytes()), np.uint64))
                 docs.append(members)
@@ -206,11 +233,11 @@ def likely_groups(nodes: DataFrame, least: int) -> DataFrame:
             for top in np.unique(tops[touched]):
                 emit(doc[start:end][tops == top])
         key = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(np.concatenate(docs) if docs else np.zeros(0, np.int64))], names=["key", "doc_id"]
-        )
+        found = np.concatenate(docs) if docs else np.zeros((0, 2), np.int64)
+        columns = [pa.array(c) for c in (key, np.ascontiguousarray(found[:, 0]), np.ascontiguousarray(found[:, 1]))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", *IDENTITY])
 
-    return by_run(nodes, "node", handle, "key bigint, doc_id bigint")
+    return by_run(nodes, "node", handle, "key bigint, doc_id bigint, text_hash bigint")
 
 
 def linked_pairs(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
@@ -240,11 +267,14 @@ def linked_pairs(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, in
 def confirm(groups: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(a, b): links of a spanning forest of each group, confirmed on full sets.
 
-    ``groups`` has key and doc_id. A group has at most some hundred documents.
+    ``groups`` has key, doc_id and text_hash. A group has at most some hundred
+    documents.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", text_hash(), F.coalesce("text", F.lit("")).alias("text"))
+    # Equal rows give one text; dealt out alike, this costs the join no shuffle more.
+    texts = texts.groupBy(*IDENTITY).agg(F.first("text").alias("text"))
     # The groups grow with the table, so they are never broadcast.
-    rows = groups.join(texts.hint("merge"), "doc_id").select("key", "doc_id", "text")
+    rows = groups.join(texts.hint("merge"), IDENTITY).select("key", "doc_id", "text")
 
     def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         key, doc, text = rows["key"].to_numpy(), rows["doc_id"].to_numpy(), rows["text"]
@@ -299,9 +329,11 @@ def with_agreement(df: DataFrame, other: str) -> DataFrame:
 def pivots(members: DataFrame) -> DataFrame:
     """(node, pivot, pivot_sketch): the member most like what is typical of some
     sixty members; the choice decides about work, not about results."""
-    some = members.filter(F.pmod(F.xxhash64("node", "doc_id"), F.col("n")) < 64)
+    some = members.filter(F.pmod(F.xxhash64("node", *IDENTITY), F.col("n")) < 64)
     centres = materialize(typical(some.select("node", "sketch")), "centres")
-    scored = with_agreement(members.join(centres, "node").select("node", "doc_id", "sketch", "centre"), "centre")
+    # A node of which no member was drawn still has a pivot: its smallest doc_id.
+    centred = members.join(centres, "node", "left").select("node", "doc_id", "sketch", F.coalesce("centre", "sketch").alias("centre"))
+    scored = with_agreement(centred, "centre")
     best = scored.groupBy("node").agg(F.max(F.struct("agree", (-F.col("doc_id")).alias("minus"), "sketch")).alias("best"))
     return materialize(
         best.select("node", (-F.col("best.minus")).alias("pivot"), F.col("best.sketch").alias("pivot_sketch")), "pivots"
@@ -309,42 +341,42 @@ def pivots(members: DataFrame) -> DataFrame:
 
 
 def children(members: DataFrame) -> DataFrame:
-    """(node, doc_id, label): members branched on the tokens their node selects."""
+    """(node, doc_id, text_hash, label): members branched on the tokens their node selects."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             node = batch.column(0).to_numpy().view(np.uint64)
-            sketch = sketches(batch.column(3)).astype(np.uint64)
+            sketch = sketches(batch.column(4)).astype(np.uint64)
             own = spread(node + np.uint64(11))
             for k in range(BRANCHES):
                 token = ((own + np.uint64(k * (TOKENS // BRANCHES))) % np.uint64(TOKENS)).astype(np.int64)
                 value = sketch[np.arange(len(node)), token]
                 child = spread(spread(own + np.uint64(k + 1)) + value).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(child), batch.column(1), batch.column(2)], names=["node", "doc_id", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array(child), *batch.columns[1:4]], names=["node", *IDENTITY, "label"])
 
-    columns = members.select("node", "doc_id", "label", "sketch")
-    return columns.mapInArrow(run, "node bigint, doc_id bigint, label bigint")
+    columns = members.select("node", *IDENTITY, "label", "sketch")
+    return columns.mapInArrow(run, "node bigint, doc_id bigint, text_hash bigint, label bigint")
 
 
 def blocks(clusters: DataFrame) -> DataFrame:
-    """(key, doc_id): pairs of blocks of each cluster, (pivot, doc_id), so that
-    every member meets every other."""
+    """(key, doc_id, text_hash): pairs of blocks of each cluster, (pivot, doc_id,
+    text_hash), so that every member meets every other."""
     counted = clusters.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = clusters.join(counted, "pivot").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = clusters.join(counted, "pivot").withColumn("own", F.pmod(F.xxhash64(*IDENTITY), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.select(F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "doc_id")
+    return met.select(F.xxhash64("pivot", F.least("own", "other"), F.greatest("own", "other")).alias("key"), *IDENTITY)
 
 
 def find_links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(a, b) links that connect what full sets connect.
 
-    ``reps`` has doc_id, roots, sketch, one row for each different set.
+    ``reps`` has doc_id, text_hash, roots, sketch, one row for each different set.
     """
     least = screen(percent)
-    rows = reps.select(F.explode("roots").alias("node"), "doc_id", F.col("doc_id").alias("label"))
-    by_doc = reps.select("doc_id", "sketch")
+    rows = reps.select(F.explode("roots").alias("node"), *IDENTITY, F.col("doc_id").alias("label"))
+    by_doc = reps.select(*IDENTITY, "sketch")
     groups, clusters = None, None
     for level in range(DEPTH + 1):
         sizes = materialize(
@@ -354,22 +386,22 @@ def find_links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             .select("node", "n"),
             "nodes",
         )
-        small = rows.join(sizes.filter(F.col("n") <= LEAF), "node").join(by_doc, "doc_id")
-        likely = likely_groups(small.select("node", "doc_id", "label", "sketch"), least)
+        small = rows.join(sizes.filter(F.col("n") <= LEAF), "node").join(by_doc, IDENTITY)
+        likely = likely_groups(small.select("node", *IDENTITY, "label", "sketch"), least)
         groups = likely if groups is None else groups.union(likely)
         if sizes.filter(F.col("n") > LEAF).isEmpty():
             break
-        members = materialize(rows.join(sizes.filter(F.col("n") > LEAF), "node").join(by_doc, "doc_id"), "members")
+        members = materialize(rows.join(sizes.filter(F.col("n") > LEAF), "node").join(by_doc, IDENTITY), "members")
         if level == DEPTH:
-            near = members.select(F.col("node").alias("pivot"), "doc_id")
+            near = members.select(F.col("node").alias("pivot"), *IDENTITY)
         else:
             vast, large = members.filter(F.col("n") > VAST), members.filter(F.col("n") <= VAST)
-            seen = large.join(pivots(large), "node").select("node", "doc_id", "label", "sketch", "pivot", "pivot_sketch")
+            seen = large.join(pivots(large), "node").select("node", *IDENTITY, "label", "sketch", "pivot", "pivot_sketch")
             known = materialize(with_agreement(seen, "pivot_sketch").drop("pivot_sketch"), "agreements")
             label = F.when(F.col("agree") >= NEAR, F.col("pivot")).otherwise(F.col("label"))
-            onward = known.filter(F.col("agree") < CORE).select("node", "doc_id", label.alias("label"), "sketch")
-            rows = materialize(children(onward.union(vast.select("node", "doc_id", "label", "sketch"))), "children")
-            near = known.filter(F.col("agree") >= NEAR).select("pivot", "doc_id")
+            onward = known.filter(F.col("agree") < CORE).select("node", *IDENTITY, label.alias("label"), "sketch")
+            rows = materialize(children(onward.union(vast.select("node", *IDENTITY, "label", "sketch"))), "children")
+            near = known.filter(F.col("agree") >= NEAR).select("pivot", *IDENTITY)
         clusters = near if clusters is None else clusters.union(near)
     if clusters is not None:
         groups = groups.union(blocks(materialize(clusters.distinct(), "clusters")))
@@ -379,8 +411,10 @@ def find_links(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs``."""
     outputs = "n_shingles bigint, k1 bigint, k2 bigint, roots array<bigint>, sketch binary"
+    n_trees = trees(percent)
+    hashed = docs.select("doc_id", "text", text_hash())
     described = materialize(
-        map_texts(docs, ["doc_id"], "text", outputs, describe, lambda found: 16 * TREES + 3 * TOKENS), "sketches"
+        map_texts(hashed, IDENTITY, "text", outputs, partial(describe, n_trees), lambda found: 16 * n_trees + 3 * TOKENS), "sketches"
     )
     joining = described.filter("n_shingles > 0 and doc_id is not null")
     classes = (
@@ -398,7 +432,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         ),
         "classes",
     )
-    reps = classed.filter("n_shingles > 0 and doc_id = class_id").select("doc_id", "roots", "sketch")
+    # A row for each different set of a doc_id, by whichever of its texts.
+    one = [F.min_by(name, "text_hash").alias(name) for name in ("roots", "sketch")]
+    reps = classed.filter("n_shingles > 0 and doc_id = class_id").groupBy("doc_id", "k1", "k2")
+    reps = materialize(reps.agg(F.min("text_hash").alias("text_hash"), *one).drop("k1", "k2"), "different-sets")
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
     links = find_links(reps, texts, percent)
     # Rows that share a doc_id but not a set tie their classes together.

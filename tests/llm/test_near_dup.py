@@ -108,3 +108,49 @@ def test_shingles_of_windows():
     assert len(near_dup.shingles("a b c d e a b c d e")) == 5
     assert len(near_dup.shingles("")) == 0
     assert np.array_equal(near_dup.shingles("A b"), near_dup.shingles("a\tB"))
+
+
+def test_one_id_repeated_very_often_keeps_its_links(documents):
+    """Equal rows of one doc_id are a large node whose members all hash alike."""
+    rng = random.Random(11)
+    base = words(rng, 200)
+    text, near = " ".join(base), edited(rng, base, 1)
+    rows = [(1, text)] * 1500 + [(2, near), (3, " ".join(words(rng, 50)))]
+    result = found(documents(rows).repartition(4))
+    assert len(result) == len(rows)
+    assert {(r[0], r[2], r[3]) for r in result} == {(1, 1, True), (2, 1, False), (3, 3, True)}
+
+
+def test_one_id_with_very_many_texts_keeps_all_their_links(documents):
+    rng = random.Random(12)
+    bases = [words(rng, 60) for _ in range(40)]
+    rows = [(500, edited(rng, rng.choice(bases[:20]), rng.choice([0, 1]))) for _ in range(300)]
+    rows += [(k, edited(rng, bases[k % 40], 1)) for k in range(1, 80)]
+    wanted = brute_force([(k, t) for k, t in rows], 85)
+    result = found(documents(rows))
+    assert sorted({(r[0], r[2]) for r in result}) == sorted({(r[0], r[2]) for r in wanted})
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_recall_of_pairs_at_the_threshold(documents, monkeypatch, percent):
+    """Pairs just above the threshold, in nodes that branch as far as they can."""
+    monkeypatch.setattr(near_dup, "LEAF", 1)
+    rng = random.Random(percent)
+    rows, wanted = [], 0
+    for k in range(150):
+        base = words(rng, 100)
+        # Words put at the end make so many of the 96 shingles differ on each side.
+        new = next(n for n in range(30, 0, -1) if 100 * (96 - n) >= percent * (96 + n))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:-new] + words(rng, new)))]
+        wanted += 1
+    linked = sum(not r[3] for r in found(documents(rows), percent))
+    assert linked == wanted
+
+
+def test_trees_follow_the_percentage():
+    for percent in (70, 80, 85, 95):
+        p = percent / 100
+        kept = p * (1 - (1 - p) ** near_dup.BRANCHES) ** near_dup.DEPTH
+        n = near_dup.trees(percent)
+        assert (1 - kept) ** n <= near_dup.MISSED < (1 - kept) ** (n - 1)
+    assert near_dup.trees(85) == 8 and near_dup.trees(100) == 1
