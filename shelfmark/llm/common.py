@@ -68,11 +68,13 @@ def map_texts(
 ) -> DataFrame:
     """``keys`` of each row with what ``row`` makes of its text.
 
-    ``outputs`` is the DDL of the new columns. Runs as Arrow batches inside the
+    ``keys`` are names of columns, ``text`` may be one of them, and ``outputs`` is
+    the DDL of the new columns. Runs as Arrow batches inside the
     tasks of the scan: no shuffle, and no more than one text, or one group of
     short ones, is held decoded. ``rows_of`` takes such groups in place of ``row``.
     """
-    source = df.select(*keys, text)
+    source = df.select(*dict.fromkeys([*keys, text]))  # a text among the keys travels once
+    place = source.columns.index(text)
     schema = source.select(*keys).schema
     made = StructType.fromDDL(outputs)
     for field in made:
@@ -90,7 +92,7 @@ def map_texts(
         types = None
         for batch in batches:
             start, held, rows = 0, 0, []
-            for at, found in enumerate(results(batch.column(len(keys)))):
+            for at, found in enumerate(results(batch.column(place))):
                 rows.append(found)
                 held += width(rows[-1])
                 if held >= FLUSH_BYTES or at == batch.num_rows - 1:

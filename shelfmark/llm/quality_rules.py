@@ -134,7 +134,10 @@ def select_cutoffs(rows: DataFrame, labels: DataFrame, risk: float = RISK, error
     fails take no part: what is controlled is what the cutoffs add.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("clean"))
-    held = rows.filter(~F.col("base_failed")).join(known, "doc_id")
+    # Trials of a binomial bound are independent: a doc_id counts once, however many
+    # rows it stands in, with the smallest of their figures.
+    one = F.min(F.struct("stratum", "clean", *RATIOS)).alias("one")
+    held = rows.filter(~F.col("base_failed")).join(known, "doc_id").groupBy("doc_id").agg(one).select("doc_id", "one.*")
     held = materialize(held.select("stratum", "clean", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"), *RATIOS), "labelled-ratios")
     wanted = [1 - level for level in LEVELS]
     proposed = (
@@ -172,7 +175,7 @@ def verdicts(rows: DataFrame, cutoffs: dict[str, list[float]]) -> DataFrame:
 
 def measured(docs: DataFrame, *keys: str) -> DataFrame:
     """``keys``, stratum, counts, ratios and the base rule of each row."""
-    rows = docs.select(*keys, F.coalesce(F.col("lang"), F.lit("")).alias("stratum"), "text")
+    rows = docs.select(*dict.fromkeys([*keys, "text"]), F.coalesce(F.col("lang"), F.lit("")).alias("stratum"))
     return with_ratios(map_texts(rows, [*keys, "stratum"], "text", COUNTS, statistics))
 
 

@@ -42,6 +42,8 @@ def test_edges_pass_through_every_stage(spark, documents, sf_dir):
     rng = random.Random(8)
     words = [f"w{rng.randrange(3000)}" for _ in range(120)]
     rows = [(1, None), (2, ""), (900001, " ".join(words)), (900002, edited(rng, words, 1)), (900003, " ".join(words)), (900003, " ".join(words)), (None, " ".join(words)), (5, "x" * 50_000)]
+    other = [" ".join(f"{c}{rng.randrange(3000)}" for _ in range(120)) for c in "ab"]
+    rows += [(900005, other[0]), (900005, other[0]), (900005, other[1])]  # two documents of one id, one of them twice
     for rows_now in (rows, []):
         docs = documents(rows_now, "1 AS kept").selectExpr("*", "2 AS row", "'a' AS found", "3 AS score", "4 AS number", "5 AS stratum")
         names = docs.columns
@@ -49,5 +51,6 @@ def test_edges_pass_through_every_stage(spark, documents, sf_dir):
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == names
         kept = sorted((r.doc_id for r in docs.collect()), key=str)
-        assert kept == ([900001, None] if rows_now else [])
-        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == (2 if rows_now else 0)
+        assert kept == ([900001, 900005, 900005, None] if rows_now else [])
+        assert {r.text for r in docs.collect() if r.doc_id == 900005} == (set(other) if rows_now else set())
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == (4 if rows_now else 0)

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 from shelfmark.llm.common import table
-from shelfmark.llm.quality_rules import LEVELS, apply_rules, pick, statistics, upper_bound
+from shelfmark.llm.quality_rules import LEVELS, apply_rules, measured, pick, select_cutoffs, statistics, upper_bound
 
 
 def brute(text):
@@ -63,6 +63,15 @@ def test_cutoffs_are_certified_by_stratum(documents, spark):
     assert apply_rules(docs.filter("doc_id < 0"), labels).count() == 0
 
 
+def test_a_repeated_document_is_one_trial(documents, spark):
+    rng = random.Random(3)
+    rows = [(i, make(rng, "junk" if i % 5 == 0 else "clean")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 != 0), 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    once = measured(documents(rows), "doc_id")
+    often = measured(documents(rows + [rows[7]] * 300 + [rows[5]] * 300), "doc_id")
+    assert select_cutoffs(once, labels) == select_cutoffs(often, labels)
+
+
 def test_bound_is_the_exact_one():
     assert upper_bound(0, 100, 0.05) == pytest.approx(1 - 0.05 ** (1 / 100), abs=1e-9)
     p = upper_bound(7, 300, 0.01)
