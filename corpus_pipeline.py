@@ -7,7 +7,8 @@ of ``documents``; a stage judges every row that its predecessor kept.
 1. toxicity: documents with a score of at least 0.3 go;
 2. quality rules: documents that the base rule or a certified cutoff fails go;
 3. near-dedup: of each group linked at a similarity of 0.8 or more on five-word
-   shingles, the document with the smallest doc_id stays;
+   shingles, the document with the smallest doc_id stays. Of its rows with equal
+   texts one stays; rows of one doc_id with different texts all stay;
 4. personal data: spans are replaced by their kind in brackets;
 5. packing: documents become sequences of at most 4096 tokens.
 
@@ -21,60 +22,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import near_dup, packing, pii, quality_rules, toxicity
-from shelfmark.llm.common import fresh, materialize, table
+from shelfmark.llm.common import materialize, table
 from shelfmark.llm.queries import tokenizer_path
 
 
 def boxed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, lang, row): what operators read, and the whole row apart from
-    it, so that no column of a table can clash with theirs."""
-    return docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """(doc_id, text, lang, row): what operators read, and all other columns apart
+    from them, so that no column of a table can clash with theirs."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", "lang", F.struct(*others).alias("row"))
+
+
+def unboxed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from (row, text)."""
+    return rows.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(boxed(docs), model, "row")
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).select("row.*")
+    scored = toxicity.score_toxicity(boxed(docs), model, "row", "text")
+    return unboxed(scored.filter(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     statistics = quality_rules.measured(docs, "doc_id")
     cutoffs = quality_rules.select_cutoffs(materialize(statistics, "rule-statistics"), table(spark, sf_dir, "labels"))
-    return quality_rules.verdicts(quality_rules.measured(boxed(docs), "row"), cutoffs).filter("kept").select("row.*")
+    judged = quality_rules.verdicts(quality_rules.measured(boxed(docs), "row", "text"), cutoffs)
+    return unboxed(judged.filter("kept"), docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row stays of rows that share a doc_id, and of each group of documents."""
+    """One document of each group stays; of its rows, one of those with equal texts."""
     found = near_dup.near_duplicates(docs, percent=80)
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("copy")).distinct()
     rows = boxed(docs)
-    single = rows.filter("doc_id is null").select("row").union(
-        rows.filter("doc_id is not null").join(gone, F.col("doc_id") == F.col("copy"), "left_anti").select("row")
-    )
-    kept = single.select("row.*")
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    if repeated.isEmpty():
-        return kept
-    number = fresh(docs, "number")
-    again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    first = again.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1)
-    rest = kept.filter("doc_id is null").union(
-        kept.filter("doc_id is not null").join(repeated.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    named = rows.filter("doc_id is not null")
+    kept = named.join(gone, F.col("doc_id") == F.col("copy"), "left_anti")
+    repeated = materialize(
+        named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("again")), "repeated-ids"
     )
-    return rest.union(first.select(*docs.columns))
+    again = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi")
+    first = again.groupBy("doc_id", "text").agg(F.first("row").alias("row"))
+    rest = rows.filter("doc_id is null").union(kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti"))
+    return unboxed(rest.select("row", "text").union(first.select("row", "text")), docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pii.train_pii(docs)
-    rows = boxed(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    found = pii.find_pii(rows, model).select("row", "text", "found")
-    clean = F.when(F.size("found") > 0, pii.redact(F.col("text"), F.col("found"))).otherwise(F.col("row.text"))
-    return found.select(*[clean.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    rows = boxed(docs).withColumn("unread", F.col("text").isNull()).withColumn("text", F.coalesce("text", F.lit("")))
+    found = pii.find_pii(rows, model).select("row", "text", "unread", "found")
+    clean = F.when(F.size("found") > 0, pii.redact(F.col("text"), F.col("found"))).otherwise(F.col("text"))
+    return unboxed(found.select("row", F.when(~F.col("unread"), clean).alias("text")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
