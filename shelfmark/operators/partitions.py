@@ -17,6 +17,10 @@ from ..functions.text import first_segment, parent_path, without_trailing_slashe
 from ..sources.footers import Tree
 from ..sources.listing import list_objects
 
+# How a set of partitions is put into one line.
+ONE_PARTITION = "%s: %s (1 partição)"
+SOME_PARTITIONS = "%s: %s ... %s (%d partições)"
+
 # How Spark spells partition directories.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 ESCAPED = [chr(code) for code in range(1, 32)] + list("\"#'*/:=?\\{[]^") + [chr(127)]
@@ -178,6 +182,6 @@ def plan_summary(levels: DataFrame) -> DataFrame:
     ends = levels.groupBy("level").agg(
         F.min(path).alias("first"), F.max(path).alias("last"), F.count_distinct(path).alias("partitions")
     )
-    one = F.format_string("%s: %s (1 partição)", "level", "first")
-    many = F.format_string("%s: %s ... %s (%d partições)", "level", "first", "last", "partitions")
+    one = F.format_string(ONE_PARTITION, "level", "first")
+    many = F.format_string(SOME_PARTITIONS, "level", "first", "last", "partitions")
     return ends.withColumn("label", F.when(F.col("partitions") == 1, one).otherwise(many))

@@ -18,7 +18,7 @@ from ..operators.conform import Profile, can_cast, checks, conform, kept_columns
 from ..operators.derive import cluster_by_month, normalize, with_audit, with_partition_keys
 from ..operators.sink import partition_cols
 from ..session import scratch_path
-from ..sources.queries import CatalogSource, JdbcSource, MonthSplit, Split
+from ..sources.queries import AnySplit, CatalogSource, JdbcSource
 from ..storage import delete_tree
 from ..unions import union_parts
 
@@ -40,7 +40,7 @@ Result = TypeVar("Result")
 
 
 class Source(Protocol):
-    def read(self, spark: SparkSession, query: str, split: Split | MonthSplit | None = None) -> DataFrame: ...
+    def read(self, spark: SparkSession, query: str, split: AnySplit | None = None) -> DataFrame: ...
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class DatasetSpec:
     timestamps_too: bool = True
     key_mode: str = "positional"
     date_format: str | None = None
-    split: Split | MonthSplit | None = None
+    split: AnySplit | None = None
 
     @property
     def dataset(self) -> str:

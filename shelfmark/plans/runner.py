@@ -20,7 +20,7 @@ from ..operators.sink import overwrite_partitions
 from ..session import RUN_CONF, keep_scratch, session_conf
 from ..sources.clouds import apply_hadoop_conf, destinations, read_clouds
 from ..sources.listing import delivered_types
-from ..sources.queries import CatalogSource, MonthSplit, Split, connection_settings, mysql_source
+from ..sources.queries import AnySplit, CatalogSource, MonthSplit, connection_settings, mysql_source
 from ..sources.registry import (
     DEFAULT_WORKERS,
     RegistryError,
@@ -322,7 +322,7 @@ def run_from_documents(
     source: Source | None = None,
     default_portal: str | None = None,
     defaults: Mapping[str, object] | None = None,
-    splits: Mapping[str, Split | MonthSplit] | None = None,
+    splits: Mapping[str, AnySplit] | None = None,
     **options: object,
 ) -> DataFrame:
     """A run configured by the tenant and cloud documents.
@@ -345,7 +345,7 @@ def run_from_documents(
     chosen = select_dataset(queries, dataset).select("name", "query").collect()
     plain = [DatasetSpec(row["name"] or "", row["query"] or "") for row in chosen]
 
-    def split(spec: DatasetSpec) -> Split | MonthSplit | None:
+    def split(spec: DatasetSpec) -> AnySplit | None:
         by_month = MonthSplit(spec.date_column) if spec.date_column else None
         return (splits or {}).get(spec.dataset, by_month)
 

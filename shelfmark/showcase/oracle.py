@@ -142,6 +142,18 @@ ORACLE: dict[str, str] = {f"dataset_{name.lower()}": _dataset(name) for name in
         UNION ALL
         SELECT 'unknown', tenant, dataset FROM ({_DOCUMENTS}) AS d
     """,
+    "document_faults": """
+        SELECT CAST(c_custkey AS VARCHAR) AS tenant, c_custkey % 10 = 3 AS cut_off FROM customer
+        WHERE c_custkey % 10 IN (3, 7)
+    """,
+    # Ranges begin where an eighth of the sorted keys begins; equal keys stay together.
+    "quantile_ranges": """
+        WITH k AS (SELECT l_orderkey AS chave FROM lineitem WHERE l_quantity < 30),
+        shares AS (SELECT chave, ntile(8) OVER (ORDER BY chave) AS share FROM k),
+        bounds AS (SELECT DISTINCT min(chave) AS bound FROM shares GROUP BY share),
+        placed AS (SELECT chave, (SELECT max(bound) FROM bounds WHERE bound <= chave) AS bound FROM k)
+        SELECT count(*) AS rows, min(chave) AS "first", max(chave) AS "last" FROM placed GROUP BY bound
+    """,
     "conn_defaults": """
         SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name ELSE 'db.invalid' END AS host,
                CAST(CASE WHEN c_acctbal >= 0 AND c_acctbal < 5000 THEN c_custkey ELSE 3307 END AS INTEGER) AS port,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,12 +62,15 @@ from ..plans import (
 from ..session import scratch_path
 from ..sources import (
     CatalogSource,
+    QuantileSplit,
     connection_settings,
     dataset_queries,
+    document_faults,
     read_dataset,
     read_tenants,
     select_dataset,
 )
+from ..sources.queries import MYSQL_QUOTE, quantile_query, range_predicates
 from ..storage import delete_tree
 from .sources import DATASET_SQL, SPECS, load_table, load_tables, tables_of
 
@@ -190,6 +194,37 @@ def registry_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.union(select_dataset(queries, "nowhere").select(F.lit("unknown"), "tenant", "dataset"))
 
 
+@query("document_faults")
+def broken_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tenant documents of which some are cut off, some hold a text in place of queries."""
+    documents = _documents(spark, sf_dir).select(F.struct("_id", "parametrizacaoIntegracao").alias("document"))
+    whole = F.to_json("document")
+    key = F.col("document._id").cast("bigint")
+    text = F.when(key % 10 == 3, F.substring(whole, 1, 60)).when(
+        key % 10 == 7, F.concat(F.lit('{"_id":"'), key, F.lit('","parametrizacaoIntegracao":"none"}'))
+    ).otherwise(whole)
+    path = scratch_path(spark, "faults")
+    documents.select(text.alias("value")).write.text(path)
+    found = document_faults(spark, path, multi_line=False)
+    return found.select(F.regexp_extract("text", '"_id":"([0-9]+)"', 1).alias("tenant"), (F.length("text") == 60).alias("cut_off"))
+
+
+@query("quantile_ranges")
+def quantile_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each range that a query without a date would be read by."""
+    load_tables(spark, sf_dir, "lineitem")
+    text = "SELECT l_orderkey AS chave, l_quantity FROM lineitem WHERE l_quantity < 30"
+    asked = spark.sql(quantile_query(text, QuantileSplit(8, "chave"), MYSQL_QUOTE))
+    predicates = range_predicates("chave", [row.bound for row in asked.collect()], MYSQL_QUOTE)
+    parts = [
+        CatalogSource().read(spark, f"SELECT * FROM ({text}) q WHERE {predicate}").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("chave").alias("first"), F.max("chave").alias("last")
+        )
+        for predicate in predicates
+    ]
+    return reduce(DataFrame.union, parts).filter("rows > 0")
+
+
 @query("conn_defaults")
 def conn_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connection_settings(_documents(spark, sf_dir), host="db.invalid", port="3307", user="reader")

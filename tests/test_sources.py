@@ -20,12 +20,14 @@ from shelfmark.functions import (
 from shelfmark.sources import (
     CatalogSource,
     JdbcSource,
+    QuantileSplit,
     RegistryError,
     Split,
     apply_hadoop_conf,
     connection_settings,
     dataset_queries,
     destinations,
+    document_faults,
     mysql_source,
     read_clouds,
     read_tenants,
@@ -33,7 +35,7 @@ from shelfmark.sources import (
     tenant_document,
     workers,
 )
-from shelfmark.sources.queries import bounds_query, month_predicates
+from shelfmark.sources.queries import bounds_query, month_predicates, quantile_query, range_predicates
 
 TENANTS = [
     {
@@ -126,7 +128,7 @@ def test_jdbc_reader_options():
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == (
         "a", "1", "900", "8",
     )
-    bounds = "SELECT MIN(q.a) AS lo, MAX(q.a) AS hi FROM (\nSELECT a FROM t -- all\n) q"
+    bounds = 'SELECT MIN(q."a") AS lo, MAX(q."a") AS hi FROM (\nSELECT a FROM t -- all\n) q'
     assert bounds_query("SELECT a FROM t -- all", "a") == bounds
     assert "secret" not in repr(JdbcSource("jdbc:x", "u", "secret"))
 
@@ -152,12 +154,81 @@ def test_months_of_a_database_query_are_complete_and_disjoint(spark):
     days = spark.sql("SELECT explode(sequence(date'2023-10-20', date'2024-03-02')) AS d UNION ALL SELECT NULL")
     days.createOrReplaceTempView("days_read")
     for first, last in ((date(2023, 11, 5), date(2024, 2, 3)), (date(2024, 1, 1), date(2024, 1, 9)), (None, None)):
-        held = [f"CAST({p} AS INT)" for p in month_predicates("d", first, last)]
+        held = [f"CAST({p} AS INT)" for p in month_predicates("d", first, last, "`")]
         total = " + ".join(f"coalesce({p}, 0)" for p in held)
         assert [tuple(r) for r in spark.sql(f"SELECT DISTINCT {total} FROM days_read q").collect()] == [(1,)]
     assert len(month_predicates("d", date(2023, 11, 5), date(2024, 2, 3))) == 5
 
 
+KEYS = {
+    "dense in places": "SELECT CAST(pow(id, 4) AS BIGINT) AS k FROM range(400)",
+    "one key for a third": "SELECT IF(id % 3 = 0, 77, id) AS k FROM range(600)",
+    "nulls": "SELECT IF(id % 4 = 0, NULL, id) AS k FROM range(400)",
+    "only nulls": "SELECT CAST(NULL AS BIGINT) AS k FROM range(20)",
+    "none": "SELECT id AS k FROM range(0)",
+    "text": "SELECT concat('it''s ', char(97 + id % 26), id) AS k FROM range(300)",
+    "fractions": "SELECT CAST(id AS DECIMAL(12, 2)) / 8 AS k FROM range(300)",
+    "times": "SELECT CAST(timestamp_seconds(id * id * 1000) AS timestamp_ntz) AS k FROM range(300)",
+}
+
+
+@pytest.mark.parametrize("keys", KEYS)
+def test_quantile_ranges_are_complete_disjoint_and_even(spark, keys):
+    rows = spark.sql(KEYS[keys])
+    split = QuantileSplit(8, "k")
+    bounds = [row.bound for row in spark.sql(quantile_query(KEYS[keys], split, "`")).collect()]
+    predicates = range_predicates("k", bounds, "`")
+    held = rows.alias("q").select("k", *[F.expr(p).cast("int").alias(f"p{i}") for i, p in enumerate(predicates)])
+    total = sum((F.coalesce(f"p{i}", F.lit(0)) for i in range(len(predicates))), F.lit(0))
+    assert held.filter(total != 1).count() == 0
+    shares = [row[0] for row in held.select(F.array(*[f"p{i}" for i in range(1, len(predicates))])).collect()]
+    counts = [sum(bool(share[i]) for share in shares) for i in range(len(predicates) - 1)]
+    known = rows.filter("k is not null")
+    hottest = known.groupBy("k").count().agg(F.max("count")).first()[0] or 0
+    assert len(predicates) <= 9 and max(counts, default=0) <= known.count() / 8 + hottest + 1
+
+
+def test_quantiles_of_a_sample_and_of_odd_names(spark):
+    query = "SELECT id AS `or``der` FROM range(1000) -- all"
+    split = QuantileSplit(4, "or`der", "q.`or``der` % 10 = 0")
+    bounds = [row.bound for row in spark.sql(quantile_query(query, split, "`")).collect()]
+    assert bounds == [0, 250, 500, 750]
+    for text in (bounds_query(query, "or`der", "`"), f"SELECT * FROM ({query}\n) q WHERE {range_predicates('or`der', bounds, '`')[2]}"):
+        assert spark.sql(text).count() in (1, 250)
+
+
+def test_jdbc_quantile_split_reads_by_its_predicates(spark, monkeypatch):
+    """Bounds and schema come from the session; no database is started for this test."""
+    source, asked = JdbcSource("jdbc:none:", quote="`"), []
+    monkeypatch.setattr(JdbcSource, "_by_predicates", lambda self, session, query, predicates: asked.append(predicates))
+    real = JdbcSource.read
+    monkeypatch.setattr(JdbcSource, "read", lambda self, session, query, split=None: real(self, session, query, split) if split else session.sql(query))
+    source.read(spark, "SELECT 'x' AS name, id AS key FROM range(100)", QuantileSplit(4))
+    assert asked == [["q.`key` IS NULL", "q.`key` < 25", "q.`key` >= 25 AND q.`key` < 50", "q.`key` >= 50 AND q.`key` < 75", "q.`key` >= 75"]]
+    assert source.read(spark, "SELECT 'x' AS name", QuantileSplit(4)).first().name == "x"  # nothing to split by
+
+
+def test_broken_documents_are_told_with_their_place(spark, tmp_path):
+    whole = [json.dumps(document) for document in TENANTS]
+    lines = [whole[0], whole[1][: len(whole[1]) // 2], "", '{"_id": "T9", "parametrizacaoIntegracao": "none"}', whole[0].replace("T1", "T8")]
+    (tmp_path / "lines.json").write_text("\n".join(lines))
+    faults = document_faults(spark, str(tmp_path / "lines.json"), multi_line=False).collect()
+    assert sorted((row.line, row.text) for row in faults) == [(2, lines[1]), (4, lines[3])]
+    assert faults[0].file.endswith("/lines.json")
+    tenants = read_tenants(spark, str(tmp_path / "lines.json"), multi_line=False)
+    assert {row._id for row in tenants.filter("_fault is null").collect()} >= {"T1", "T8"}
+    assert tenant_document(tenants, "T8").count() == 1
+    with pytest.raises(RegistryError, match="2 documents could not be read"):
+        tenant_document(tenants, "T2")
+
+
+def test_broken_files_of_whole_documents(spark, tmp_path):
+    for name, text in (("a", json.dumps(TENANTS)), ("b", json.dumps(TENANTS[0], indent=2)), ("c", json.dumps(TENANTS)[:-30]), ("d", "not json")):
+        (tmp_path / f"{name}.json").write_text(text)
+    faults = document_faults(spark, str(tmp_path)).collect()
+    assert sorted(row.file[-6:] for row in faults) == ["c.json", "d.json"]
+
+
 def test_repeated_tenant_documents_are_refused(spark, tenants):
     with pytest.raises(RegistryError, match="several"):
         tenant_document(tenants.union(tenants), tenants.first()._id)
