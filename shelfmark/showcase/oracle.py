@@ -2,61 +2,18 @@
 
 from __future__ import annotations
 
-from ..contracts import bundled_contracts
+from .expected import EXPECTED, EXPECTED_TYPES
 from .queries import SCAN_SQL
 from .sources import DATASET_SQL
 
 REFRESHED = "15/01/2024 09:00:00"
 TENANT_ID = "T0001"
 
-_SQL_TYPE = {"string": "VARCHAR", "int64": "BIGINT", "float64": "DOUBLE"}
-_SQL_DEFAULT = {"string": "''", "int64": "CAST(0 AS BIGINT)", "float64": "CAST(0 AS DOUBLE)"}
-
-# Columns the source SQL delivers, and those it delivers beyond the contract.
-_DELIVERED = {
-    "Vendas": "CodigoLoja CodigoVenda NroNota CodigoProduto LocalVenda DataVenda HoraVenda Quantidade "
-    "VlrUnitario VlrBruto VlrDesconto VlrLiquido TipoVenda CodigoCliente FormaPagamento",
-    "Compras": "CodigoLoja NomeRazaoSocialFornecedor CodigoCompra CodigoProduto TipoCompra DataEmissaoNF "
-    "Quantidade VlrTotalLiquido VlrDesconto",
-    "Clientes": "CodigoCliente NomeCliente Estado Cidade",
-    "Produtos": "CodigoProduto NomeProduto NomeLaboratorio NomeCategoria CodigoGrupo Ativo",
-    "CodigoBarras": "CodigoProduto CodigoBarras",
-    "Estoque": "CodigoProduto CodigoLoja NomeProduto PermiteCompra QtdEstoque VlrPrecoVenda",
-    "Fornecedores": "CodigoFornecedor RazaoSocial",
-    "Funcionarios": "CodigoFuncionario Ativo",
-}
-_UNDECLARED = {
-    "Vendas": ["Imposto", "CAST(QtdItens AS BIGINT) AS QtdItens"],
-    "Clientes": ["Saldo"],
-    "Fornecedores": ["Saldo"],
-}
 _CLOCK = r"(\d{2}:\d{2}:\d{2})"
 
 
 def _dataset(name: str) -> str:
-    delivered = set(_DELIVERED[name].split())
-    date = {"Vendas": "DataVenda", "Compras": "DataEmissaoNF"}.get(name)
-    out = []
-    for column, kind in bundled_contracts()[name].columns.items():
-        if column in ("idEmp", "idEmpresa"):
-            value = f"'{TENANT_ID}'"
-        elif column == "DataHoraAtualizacao":
-            value = f"'{REFRESHED}'"
-        elif column == "Ano":
-            value = f"substring(CAST({date} AS VARCHAR), 1, 4)"
-        elif column == "Mes":
-            value = f"substring(CAST({date} AS VARCHAR), 6, 2)"
-        elif column == "HoraVenda":
-            value = f"coalesce(nullif(regexp_extract(HoraVenda, '{_CLOCK}', 1), ''), '00:00:00')"
-        elif column not in delivered:
-            value = _SQL_DEFAULT[kind]
-        elif kind == "int64":
-            value = f"CAST(trunc({column}) AS BIGINT)"
-        else:
-            value = f"CAST({column} AS {_SQL_TYPE[kind]})"
-        out.append(f"{value} AS {column}")
-    out += _UNDECLARED.get(name, [])
-    return f"SELECT {', '.join(out)} FROM ({DATASET_SQL[name]}) AS source"
+    return f"SELECT {EXPECTED[name]} FROM ({DATASET_SQL[name]}) AS source"
 
 
 def _count(name: str) -> str:
@@ -64,11 +21,9 @@ def _count(name: str) -> str:
 
 
 def _contract_columns() -> str:
-    spark_type = {"string": "string", "int64": "bigint", "float64": "double"}
     parts = []
-    for name in DATASET_SQL:
-        columns = bundled_contracts()[name].columns.items()
-        values = ", ".join(f"('{column}', '{spark_type[kind]}')" for column, kind in columns)
+    for name, types in EXPECTED_TYPES.items():
+        values = ", ".join(f"('{pair.split()[0]}', '{pair.split()[1]}')" for pair in types.split(","))
         parts.append(
             f'SELECT n.dataset, c."column", c."type", n.rows '
             f'FROM (VALUES {values}) AS c("column", "type") CROSS JOIN ({_count(name)}) AS n'
