@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -323,9 +324,15 @@ def test_a_declared_column_that_stops_casting_is_an_error(spark):
 
 
 def test_union_of_parts_does_not_round_integers(spark):
-    parts = [spark.sql("SELECT 9007199254740993 AS n"), spark.sql("SELECT 1.5D AS n")]
-    with pytest.raises(Exception, match="column n has integers"):
-        union_parts(parts).collect()
+    whole = [9007199254740993, 9223372036854775807, -9223372036854775808, 0, None]
+    parts = [spark.createDataFrame([(n, 1) for n in whole], "n bigint, m bigint"), spark.sql("SELECT 1.5D AS n, 2L AS m UNION ALL SELECT 0.1D, 3L")]
+    both = union_parts(parts)
+    assert dict(both.dtypes)["n"] == "decimal(38,19)" and dict(both.dtypes)["m"] == "bigint"
+    assert {row.n for row in both.collect()} == {*map(Decimal, whole[:4]), None, Decimal("1.5"), Decimal("0.1")}
+    mixed = [*parts, spark.sql("SELECT 'x' AS n, 1L AS m")]  # text beside them: text takes all
+    assert {"9007199254740993", "1.5", "x"} <= {row.n for row in union_parts(mixed).collect()}
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        union_parts([parts[0], spark.sql("SELECT 1e30D AS n, 1L AS m")]).collect()
     exact = [spark.sql("SELECT 9007199254740992 AS n"), spark.sql("SELECT 1.5D AS n")]
     assert sorted(row.n for row in union_parts(exact).collect()) == [1.5, 9007199254740992.0]
 
