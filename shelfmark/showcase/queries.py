@@ -638,14 +638,14 @@ def resume_owed(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitioned(dated, f"{roots['b']}/Clientes", PARTITION_KEYS)
     run(spark, [undated], SAMPLE_TENANT, list(roots.values()), as_of=AS_OF, ledger=True)
     delete_tree(spark, f"{roots['b']}/Clientes/{TENANT}={SAMPLE_TENANT}")
-    delivered = resume(spark, list(roots.values())).select("path", "rows", "delivered")
-    out = None
-    for name, root in roots.items():
-        back = read_dataset(spark, f"{root}/Clientes").groupBy("NomeCliente").agg(F.count(F.lit(1)).alias("landed"))
-        later = delivered.filter(F.col("path").startswith(root)).agg(F.sum("rows").alias("later"))
-        part = back.crossJoin(later).select(F.lit(name).alias("root"), "NomeCliente", "landed", "later")
-        out = part if out is None else out.union(part)
-    return out
+    delivered = resume(spark, list(roots.values())).filter("delivered")
+    named = reduce(lambda c, item: c.when(F.col("path").startswith(item[1]), item[0]), roots.items(), F.when(F.lit(False), ""))
+    later = delivered.groupBy(named.alias("root")).agg(F.sum("rows").alias("later"))
+    back = [
+        read_dataset(spark, f"{root}/Clientes").groupBy(F.lit(name).alias("root"), "NomeCliente").agg(F.count(F.lit(1)).alias("landed"))
+        for name, root in roots.items()
+    ]
+    return back[0].union(back[1]).join(later, "root", "left")
 
 
 @query("run_plan")
