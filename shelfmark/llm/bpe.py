@@ -32,15 +32,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_BYTES, groups_of, map_texts
+from .common import FLUSH_BYTES, groups_of, map_texts, take_turn
 
 WORD_END = "</w>"
 #: Latin text, where Python's Unicode tables agree with any vocabulary file's.
 PLAIN_BELOW = "ɐ"
 #: Entries of one generation of remembered words; two generations are held.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Pairs of tokens of which it is remembered whether they are compatible.
-PAIRS = 1 << 21
+PAIRS = 1 << 20
 #: Pieces are walked side by side if there are so many, none longer than this.
 ABREAST, SHORT = 32, 64
 #: Stands between pieces that are matched in one run; no token has it.
@@ -413,11 +413,17 @@ class TokenTexts:
         return self.buffer[gather[:-1]].tobytes()
 
 
-@lru_cache(maxsize=2)
-def vocabulary(content: bytes) -> Vocabulary:
+@lru_cache(maxsize=1)
+def _vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
 
 
+def vocabulary(content: bytes) -> Vocabulary:
+    """The tables of a vocabulary, held as long as a worker encodes."""
+    take_turn("bpe", _vocabulary.cache_clear)
+    return _vocabulary(content)
+
+
 @lru_cache(maxsize=2)
 def token_texts(content: bytes) -> TokenTexts:
     return TokenTexts(content)

@@ -17,6 +17,18 @@ FLUSH_BYTES = 8 << 20
 GROUP_LETTERS = 1 << 20
 
 
+_turn: tuple[str, Callable[[], object]] | None = None
+
+
+def take_turn(name: str, forget: Callable[[], object]) -> None:
+    """Called by an operator in a worker before it remembers words. Workers serve many
+    operators after each other, so what the one before remembered is let go."""
+    global _turn
+    if _turn is not None and _turn[0] != name:
+        _turn[1]()
+    _turn = name, forget
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

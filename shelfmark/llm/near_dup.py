@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .common import map_texts, materialize
+from .common import map_texts, materialize, take_turn
 from .components import components
 
 WIDTH = 5
@@ -73,7 +73,7 @@ SPREAD = np.uint64(0x9E3779B97F4A7C15)
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
         self[word] = value
         return value
@@ -89,6 +89,7 @@ def spread(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text."""
+    take_turn("near_dup", _words.clear)
     words = np.array(list(map(_words.__getitem__, text.encode().lower().split())), np.uint64)
     n = len(words)
     if n == 0:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialize
+from .common import map_texts, materialize, take_turn
 from .labelled import labelled_sample, remainder
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -77,7 +77,7 @@ class ToxicityModel:
     def _weight(self, word: str) -> float:
         found = self._memory.get(word)
         if found is None:
-            if len(self._memory) >= 200_000:
+            if len(self._memory) >= 150_000:
                 self._memory.clear()
             found = self._memory[word] = sum(self.weights.get(s, 0.0) for s in sign_hashes(word))
         return found
@@ -94,6 +94,7 @@ class ToxicityModel:
 
     def judge(self, text: str) -> tuple[float, int | None, int | None, float]:
         """Document score; start, end and score of its worst sentence."""
+        take_turn(f"toxicity {id(self)}", self._memory.clear)
         spans, odds = self.sentences(text)
         if not spans:
             return 0.0, None, None, 0.0
