@@ -60,6 +60,14 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Memory(dict):
     """Word to ids, as bytes; forgets what was not used for a generation."""
 
@@ -305,7 +313,7 @@ class Vocabulary:
 
     def encode_group(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; every word of the group is looked up once."""
-        split = [None if "<|" in text or self.odd_space.search(text) else text.split() for text in texts]
+        split = [self._words_of(text) for text in texts]
         found: dict[str, bytes] = {}
         new, get, older = [], self.word_ids.get, self.word_ids.older.get
         for word in set().union(*[words for words in split if words]):
@@ -318,6 +326,13 @@ class Vocabulary:
         ids_of = found.__getitem__
         return [self.encode(t) if words is None else b"".join(map(ids_of, words)) for t, words in zip(texts, split)]
 
+    def _words_of(self, text: str) -> list[str] | None:
+        """Words of a text; None if it has special tokens or separators of its own."""
+        if "<|" in text or self.odd_space.search(text):
+            return None
+        # Latin-1 has no decomposed letters, so case is all that its normaliser changes.
+        return (text.lower() if text.isascii() or is_latin(text) else text).split()
+
     def _learn(self, new: list[str], found: dict[str, bytes]) -> None:
         """Remember new words, and put their ids into ``found``."""
         parts = {}

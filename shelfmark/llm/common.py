@@ -14,7 +14,7 @@ from shelfmark.session import scratch_path
 #: memory follows the longest text and not the number of rows in a batch.
 FLUSH_BYTES = 8 << 20
 #: Texts are looked at in groups of so many letters, or one by one if longer.
-GROUP_LETTERS = 1 << 20
+GROUP_LETTERS = 2 << 20
 
 
 _turn: tuple[str, Callable[[], object]] | None = None
