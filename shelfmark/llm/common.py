@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -26,6 +28,10 @@ def take_turn(name: str, forget: Callable[[], object]) -> None:
     global _turn
     if _turn is not None and _turn[0] != name:
         _turn[1]()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what is freed
+        if trim is not None:
+            trim(0)
     _turn = name, forget
 
 
