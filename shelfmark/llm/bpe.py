@@ -6,7 +6,9 @@ encoder walks these matches from left to right and accepts a token when its pair
 with the token before it is compatible, that is, when merging both texts from
 scratch would leave exactly this pair. If no prefix of a match fits, the encoder
 steps back and marks the position as a dead end, so every position is left at
-most once for each token that ends there. The words that a group of texts brings
+most once for each token that ends there. Latin-1 texts are cut into pieces as one
+byte array, a group of texts at a time, and each distinct piece is looked up once;
+words of other scripts are looked up one by one. The pieces that a group brings
 anew are matched in one run and walked side by side in flat arrays. Decoding
 gathers token texts from one byte buffer through a table of offsets.
 
@@ -23,7 +25,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -39,12 +41,18 @@ WORD_END = "</w>"
 PLAIN_BELOW = "ɐ"
 #: Entries of one generation of remembered words; two generations are held.
 REMEMBERED = 200_000
+#: Pieces of Latin-1 texts that are remembered from group to group.
+PIECES_KEPT = 300_000
 #: Pairs of tokens of which it is remembered whether they are compatible.
 PAIRS = 1 << 20
 #: Pieces are walked side by side if there are so many, none longer than this.
 ABREAST, SHORT = 32, 64
 #: Stands between pieces that are matched in one run; no token has it.
-GAP = chr(600)
+GAP = 600
+#: Pieces that are matched and walked in one run.
+AT_ONCE = 1 << 14
+#: What the pattern of the pre-tokeniser tells apart; each number is a piece.
+SPACE, LETTER, NUMBER, OTHER = range(4)
 
 # The pattern of the vocabulary's pre-tokeniser.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -60,12 +68,12 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-def is_latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+def gathered(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places ``start`` to ``start + count`` of each row, one row after the other."""
+    ends = np.cumsum(count)
+    places = np.repeat(start - (ends - count), count)
+    places += np.arange(len(places))
+    return places
 
 
 class Memory(dict):
@@ -92,6 +100,48 @@ class Memory(dict):
         return word in self or word in self.older
 
 
+class PieceIds:
+    """Ids of Latin-1 pieces in one flat array; when there are too many, those that
+    no later group had are forgotten."""
+
+    def __init__(self, make, size: int = PIECES_KEPT):
+        self.make, self.size = make, size
+        self.slot: dict[bytes, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hits = np.zeros(0, np.int64)
+
+    def slots(self, pieces: list[bytes]) -> np.ndarray:
+        """Where ids of distinct pieces stand in ``start`` and ``count``; good until ``tidy``."""
+        found = np.fromiter(map(self.slot.get, pieces, repeat(-1)), np.int64, len(pieces))
+        self.hits[found[found >= 0]] += 1
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            unknown = [pieces[k] for k in new.tolist()]
+            made = [self.make(unknown[k : k + AT_ONCE]) for k in range(0, len(unknown), AT_ONCE)]
+            count = np.concatenate([n for _, n in made])
+            found[new] = np.arange(len(self.slot), len(self.slot) + len(new))
+            self.slot.update(zip(unknown, found[new].tolist()))
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
+            self.count = np.concatenate([self.count, count])
+            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in made)])
+        return found
+
+    def tidy(self) -> None:
+        if len(self.slot) <= self.size:
+            return
+        kept = np.flatnonzero(self.hits)
+        if len(kept) > self.size // 2:
+            kept = np.sort(kept[np.argsort(-self.hits[kept], kind="stable")[: self.size // 2]])
+        pieces = list(self.slot)
+        self.slot = {pieces[k]: at for at, k in enumerate(kept.tolist())}
+        self.ids = self.ids[gathered(self.start[kept], self.count[kept])]
+        self.count = self.count[kept]
+        self.start = np.cumsum(self.count) - self.count
+        self.hits = np.zeros(len(kept), np.int64)
+
+
 class Pairs:
     """Whether two tokens are compatible; asked for once, kept in open addressing."""
 
@@ -151,11 +201,16 @@ class Vocabulary:
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.pieces = regex.compile(PIECES)
         self.odd_space = regex.compile("[\x1c-\x1f]")
+        latin = [chr(b) for b in range(256)]
+        self.lower = "".join(latin).lower().encode("latin-1")
+        kinds = {SPACE: r"\s", LETTER: r"\p{L}", NUMBER: r"\p{N}", OTHER: r"[^\s\p{L}\p{N}]"}
+        self.kind = np.array([next(k for k, p in kinds.items() if regex.match(p, c)) for c in latin], np.uint8)
         self.letters = byte_letters()
         self._matching(model)
         # Pieces of plain lower-case letters are words too and remembered there.
         self.piece_ids = Memory(self._piece, REMEMBERED // 2)
         self.word_ids = Memory(self._word)
+        self.latin_ids = PieceIds(self._latin_pieces)
         self.compatible = lru_cache(PAIRS // 16)(self.fits)
         self.pairs = Pairs(self.fits)
 
@@ -226,7 +281,9 @@ class Vocabulary:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece, given in the vocabulary's letters for bytes."""
-        symbols = self._symbols(piece)
+        return self._matched(self._symbols(piece))
+
+    def _matched(self, symbols: str) -> bytes:
         n, length, shorter, compatible = len(symbols), self.length, self.shorter, self.compatible
         short = self.short
         longest = [short.get(symbols[i : i + 2], -1) for i in range(n)]
@@ -254,18 +311,38 @@ class Vocabulary:
                 before = found[-1] if found else -1
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """The same for many short pieces: one step of each walk at a time."""
+        """The same for many short pieces."""
         symbols = [self._symbols(piece) for piece in pieces]
         sizes = np.array([len(s) for s in symbols])
         stop = np.cumsum(sizes + 1) - 1  # where the gap behind a piece is
         start = stop - sizes
-        text = GAP.join(symbols)
-        longest = self._short_tokens(text + GAP)
+        gap = chr(GAP)
+        stack, depth = self._walk(np.frombuffer((gap.join(symbols) + gap).encode("utf-32-le"), "<u4"), start, stop)
+        data = stack.astype("<u4").tobytes()
+        return [data[4 * s : 4 * (s + d)] for s, d in zip(start.tolist(), depth.tolist())]
+
+    def _latin_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in lower-case Latin-1, one after the other, and how many each has."""
+        data = (b"\n".join(pieces) + b"\n").decode("latin-1").encode()  # no piece has white space
+        codes = np.frombuffer(data, np.uint8).astype("<u4")
+        stop = np.flatnonzero(codes == ord("\n"))
+        start = np.concatenate([[0], stop[:-1] + 1])
+        codes[stop - 1] += 256
+        codes[stop] = GAP
+        stack, depth = self._walk(codes, start, stop)
+        return stack[gathered(start, depth)], depth
+
+    def _walk(self, codes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces spelt in ``codes`` with gaps behind them, one step of each walk
+        at a time: a piece's ids stand from its start on, as many as the second array says."""
+        text = codes.tobytes().decode("utf-32-le")
+        longest = self._short_tokens(codes)
         hits = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
         longest[hits[:, 0] - self.lengths[hits[:, 1]] + 1] = hits[:, 1]  # later, and so longer, ones stay
         stack, dead = np.zeros(len(longest), np.uint32), np.zeros(len(longest), bool)
-        depth = np.zeros(len(pieces), np.int64)
-        piece, at, before, token = np.arange(len(pieces)), start.copy(), np.full(len(pieces), -1), longest[start]
+        depth = np.zeros(len(start), np.int64)
+        piece, long = np.flatnonzero(stop - start <= SHORT), np.flatnonzero(stop - start > SHORT)
+        at, before, token = start[piece], np.full(len(piece), -1), longest[start[piece]]
         while len(piece) >= ABREAST:
             end = at + self.lengths[token]
             good = (token >= 0) & ~dead[np.where(token >= 0, end, at)]
@@ -290,15 +367,14 @@ class Vocabulary:
             going = np.ones(len(piece), bool)
             going[on] = end[on] < stop[piece[on]]
             piece, at, before, token = piece[going], at[going], before[going], token[going]
-        data = stack.astype("<u4").tobytes()
-        out = [data[4 * s : 4 * (s + d)] for s, d in zip(start.tolist(), depth.tolist())]
-        for left in piece.tolist():
-            out[left] = self._piece(pieces[left])
-        return out
+        for left in (*piece.tolist(), *long.tolist()):
+            ids = np.frombuffer(self._matched(text[start[left] : stop[left]]), np.uint32)
+            stack[start[left] : start[left] + len(ids)] = ids
+            depth[left] = len(ids)
+        return stack, depth
 
-    def _short_tokens(self, text: str) -> np.ndarray:
+    def _short_tokens(self, codes: np.ndarray) -> np.ndarray:
         """The longest token of at most two symbols at each place of a text; none at gaps."""
-        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
         known = codes < 512
         code = np.where(known, codes, 0)
         longest = np.where(known, self.one[code], -1)
@@ -312,7 +388,62 @@ class Vocabulary:
             yield from self.encode_group(group)
 
     def encode_group(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; every word of the group is looked up once."""
+        """Ids of each text; every piece or word of the group is looked up once."""
+        letters = [self._latin(text) for text in texts]
+        latin = iter(self._encode_latin([raw for raw in letters if raw is not None]))
+        others = iter(self._encode_words([t for t, raw in zip(texts, letters) if raw is None]))
+        return [next(others if raw is None else latin) for raw in letters]
+
+    def _latin(self, text: str) -> bytes | None:
+        """A text in lower-case Latin-1; None if it has other letters, special tokens or
+        separators of its own. Latin-1 has no decomposed letters, so case is all that
+        its normaliser changes."""
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        if b"<|" in raw or any(b in raw for b in (b"\x1c", b"\x1d", b"\x1e", b"\x1f")):
+            return None
+        return raw.translate(self.lower)
+
+    def _encode_latin(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of lower-case Latin-1 texts: all are cut into pieces at once."""
+        codes = np.frombuffer(b"\n".join(texts), np.uint8)
+        kind = self.kind[codes]
+        first = kind == NUMBER
+        first[:1] = True
+        first[1:] |= kind[1:] != kind[:-1]
+        self._contract(codes, kind, first)
+        inner = kind != SPACE
+        pieces = np.flatnonzero(first & inner)
+        starts = np.append(np.flatnonzero(first[inner]), np.count_nonzero(inner)).astype(np.int32)
+        buffers = [None, pa.py_buffer(starts), pa.py_buffer(codes[inner])]
+        distinct = pa.Array.from_buffers(pa.binary(), len(pieces), buffers).dictionary_encode()
+        slots = self.latin_ids.slots(distinct.dictionary.to_pylist())[distinct.indices.to_numpy()]
+        count = self.latin_ids.count[slots]
+        ids = self.latin_ids.ids[gathered(self.latin_ids.start[slots], count)].astype("<u4", copy=False)
+        self.latin_ids.tidy()
+        # By text: its first piece, and so its first id.
+        begin = np.cumsum([0, *(len(raw) + 1 for raw in texts)])
+        place = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(pieces, begin)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(place, place[1:])]
+
+    @staticmethod
+    def _contract(codes: np.ndarray, kind: np.ndarray, first: np.ndarray) -> None:
+        """Mark pieces like 's and 're, which an apostrophe on its own begins."""
+        marks = np.flatnonzero((codes[:-1] == ord("'")) & first[:-1] & (kind[1:] == LETTER))
+        one = codes[marks + 1]
+        two = codes[np.minimum(marks + 2, len(codes) - 1)]
+        whole = marks + 2 < len(codes)
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        wide = whole & (two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | whole & (one == ord("l")) & (two == ord("l"))
+        for chosen, width in ((marks[short], 2), (marks[wide], 3)):
+            first[chosen + 1] = False
+            behind = chosen + width
+            first[behind[behind < len(codes)]] = True
+
+    def _encode_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of any texts; every word of them is looked up once."""
         split = [self._words_of(text) for text in texts]
         found: dict[str, bytes] = {}
         new, get, older = [], self.word_ids.get, self.word_ids.older.get
@@ -330,8 +461,7 @@ class Vocabulary:
         """Words of a text; None if it has special tokens or separators of its own."""
         if "<|" in text or self.odd_space.search(text):
             return None
-        # Latin-1 has no decomposed letters, so case is all that its normaliser changes.
-        return (text.lower() if text.isascii() or is_latin(text) else text).split()
+        return text.split()
 
     def _learn(self, new: list[str], found: dict[str, bytes]) -> None:
         """Remember new words, and put their ids into ``found``."""
@@ -422,10 +552,7 @@ class TokenTexts:
             return b""
         tokens = np.frombuffer(ids, "<u4")
         widths = self.widths[tokens]
-        ends = np.cumsum(widths)
-        gather = np.repeat(self.starts[tokens] - (ends - widths), widths)
-        gather += np.arange(ends[-1])
-        return self.buffer[gather[:-1]].tobytes()
+        return self.buffer[gathered(self.starts[tokens], widths)[:-1]].tobytes()
 
 
 @lru_cache(maxsize=1)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 import unicodedata
 from array import array
 
@@ -107,3 +108,37 @@ def test_any_words_learnt_together_encode_like_the_library(words):
     learner.__dict__ |= vocabulary.__dict__ | {"word_ids": Memory(lambda w: learner._word(w)), "piece_ids": Memory(learner._piece)}
     [ids] = learner.encode_group([" ".join(words)])
     assert list(array("I", ids)) == library.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_latin_texts_encode_like_the_library_whatever_is_forgotten(library):
+    draw = random.Random(7)
+    pools = [[chr(b) for b in range(256)], list("'strevmldTSRELA a.1²éÉ"), list("aeionrst ")]
+    learner = Vocabulary(LIBRARY[1].content)
+    for size in (500_000, 20):
+        learner.latin_ids.size = size
+        for _ in range(12):
+            texts = ["".join(draw.choices(draw.choice(pools), k=draw.randint(0, 90))) for _ in range(30)]
+            texts += ["", "'", "a'", "'s", "x'l", "''re 'rent it'd've 'S", "é" * 200, "ab " * 70 + "'ll", "Привет it's", "<|endoftext|>'s"]
+            for text, ids in zip(texts, learner.encode_group(texts), strict=True):
+                assert list(array("I", ids)) == library.encode(text, add_special_tokens=False).ids, text
+    assert len(learner.latin_ids.slot) <= 20
+    assert learner.encode_group([]) == [] and learner.encode_group(["", " "]) == [b"", b""]
+
+
+def test_new_latin_words_are_not_handled_one_by_one():
+    draw = random.Random(8)
+    words = ["".join(draw.choices("aeinorstéü", k=draw.randint(5, 11))) + draw.choice(["", ".", ","]) for _ in range(20_000)]
+    taught, learner, calls = Vocabulary(LIBRARY[1].content), Vocabulary(LIBRARY[1].content), 0
+    taught.encode_group([" ".join(words)])
+    learner.pairs = taught.pairs  # asked for once, whatever the number of words
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        learner.encode_group([" ".join(words)])
+    finally:
+        sys.setprofile(None)
+    assert calls < len(words)
