@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import random
+import sys
 import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from shelfmark.llm.bpe import Vocabulary
 from shelfmark.llm.common import table
 from shelfmark.llm.packing import CAPACITY, intervals, nonnegative_least_squares, pack_documents, patterns, plan
 from shelfmark.llm.queries import tokenizer_path
@@ -83,3 +86,25 @@ def test_least_squares_stays_nonnegative_and_optimal():
     gradient = a.T @ (b - a @ x)
     assert (x >= 0).all()
     assert gradient.max() < 1e-5 and np.abs(gradient[x > 0]).max() < 1e-5
+
+
+def test_a_column_of_texts_with_new_words_is_encoded_as_a_whole():
+    draw = random.Random(9)
+    words = ["".join(draw.choices("aeinorstéü", k=draw.randint(5, 11))) + draw.choice(["", ".", "'s"]) for _ in range(20_000)]
+    column = pa.array([" ".join(words[k : k + 50]) for k in range(0, len(words), 50)])
+    with open(tokenizer_path(), "rb") as file:
+        content = file.read()
+    taught, learner, calls = Vocabulary(content), Vocabulary(content), 0
+    wanted = list(taught.encoded(column))
+    learner.pairs = taught.pairs  # asked for once, whatever the number of words
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        found = list(learner.encoded(column))
+    finally:
+        sys.setprofile(None)
+    assert found == wanted and calls < 2 * len(words)
