@@ -11,12 +11,14 @@ from typing import Protocol, TypeVar
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..columns import MONTH, YEAR
 from ..contracts import Contract
 from ..operators.conform import Profile, can_cast, checks, conform, kept_columns, observed_profile, profile
 from ..operators.derive import cluster_by_month, normalize, with_audit, with_partition_keys
-from ..operators.sink import partition_cols
+from ..operators.sink import cluster_for_write, partition_cols
 from ..session import scratch_path
 from ..sources.queries import AnySplit, CatalogSource, JdbcSource
 from ..storage import delete_tree
@@ -25,6 +27,12 @@ from ..unions import union_parts
 # Datasets kept by month, with the column that dates their rows.
 DATE_COLUMNS = {"Vendas": "DataVenda", "Compras": "DataEmissaoNF"}
 
+# Fixed value: into so many groups of months large landed rows are dealt, one shuffle each.
+MONTH_GROUPS = 8
+
+# Fixed value: landed rows are read by this run alone and gone after it.
+STAGED_OPTIONS = {"compression": "zstd"}
+
 # JVM errors that mean the connection failed, not the query.
 CONNECTION_ERRORS = (
     "SQLTransientConnectionException",
@@ -138,15 +146,41 @@ def is_repeatable(df: DataFrame) -> bool:
     return df._jdf.queryExecution().analyzed().deterministic()
 
 
+def fills_cores(df: DataFrame) -> bool:
+    """Whether the files that ``df`` reads are enough for a task on every core.
+
+    Spark cuts files no finer than its cost of opening one. Where it does not know
+    a size, as with databases and rows made in the driver, the answer is no.
+    """
+    execution = df._jdf.queryExecution()
+    conf = execution.sparkSession().sessionState().conf()
+    leaves = execution.optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return df.sparkSession.sparkContext.defaultParallelism * conf.filesOpenCostInBytes() <= size < conf.defaultSizeInBytes()
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Land rows as flat Parquet in the shared scratch folder and read them back.
 
     The source is read once, and every destination then sees the same rows.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**STAGED_OPTIONS).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_by_month(landed: DataFrame, path: str) -> DataFrame:
+    """Land rows again, those of a month together, some months at a time.
+
+    The shuffle files on disk are those of one group of months, and none of the
+    query's own are left by then.
+    """
+    group = F.pmod(F.hash(YEAR, MONTH), F.lit(MONTH_GROUPS))
+    for i in range(MONTH_GROUPS):
+        months = cluster_for_write(landed.filter(group == i), [YEAR, MONTH])
+        months.write.mode("append").options(**STAGED_OPTIONS).parquet(path)
+    return landed.sparkSession.read.schema(landed.schema).parquet(path)
+
+
 def stay_double(facts: Profile, df: DataFrame, contract: Contract | None, delivered: Mapping[str, T.DataType]) -> Profile:
     """``facts`` under which no column that was delivered as double turns bigint."""
     kinds = contract.columns if contract else {}
@@ -181,12 +215,14 @@ def build_dataset(
     delay: float = 5.0,
     staging: str = "always",
     delivered: Mapping[str, T.DataType] | None = None,
+    take_turn: Callable[[], object] = lambda: None,
 ) -> Prepared:
     """Extract and conform the queries of one dataset.
 
     Each query runs once, inside the retry: its rows land in the shared scratch
     folder, and the profile is observed by the tasks that land them. Roots then
-    read the landed rows.
+    read the landed rows. Where the files of a dated query fill all cores, its rows
+    land as they come and are brought together by month after that.
 
     ``staging="auto"`` spares the landing where a single catalog query that Spark
     holds to be deterministic goes to one root: the profile then runs the query
@@ -196,7 +232,8 @@ def build_dataset(
     ``rows`` is None in that case, and is counted by the write.
 
     ``delivered`` are the column types at the destination: what is double there
-    stays double, even when this load happens to be whole.
+    stays double, even when this load happens to be whole. ``take_turn`` is called
+    before a query runs whose files fill all cores; it may wait there.
     """
     if staging not in ("auto", "always"):
         raise ValueError(f"unknown staging {staging!r}")
@@ -219,12 +256,22 @@ def build_dataset(
 
     def land(spec: DatasetSpec) -> tuple[DataFrame, Profile, str | None]:
         found = source.read(spark, spec.query, spec.split)
-        layouts.add(tuple(partition_cols(spec.date_column, found.columns)))
+        cols = partition_cols(spec.date_column, found.columns)
+        layouts.add(tuple(cols))
+        large = fills_cores(found)
+        if large:
+            take_turn()
         if read_once or not is_repeatable(found):
             path = scratch_path(spark, "stage")
             staged.append(path)
-            observed, facts = observed_profile(ready(clustered(found, spec), spec), contract)
-            frame = stage(observed, path)
+            if not (large and len(cols) > 1):
+                observed, facts = observed_profile(ready(clustered(found, spec), spec), contract)
+                return stage(observed, path), facts(), path
+            as_it_comes = scratch_path(spark, "stage")
+            staged.append(as_it_comes)
+            observed, facts = observed_profile(ready(found, spec), contract)
+            frame = stage_by_month(stage(observed, as_it_comes), path)
+            delete_tree(spark, as_it_comes)
             return frame, facts(), path
         unclustered = ready(found, spec)
         facts = profile(unclustered, contract) if any(checks(unclustered, contract)) else Profile()

@@ -5,8 +5,10 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import replace
 from datetime import datetime, timezone
+from threading import RLock
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -220,6 +222,10 @@ def run(
 
     ``dry_run`` delivers nothing and gives the replacement plan of every dataset
     and root instead of the report.
+
+    Datasets whose files fill all cores take turns, from query to last root, as
+    company would not speed them up but put its shuffle files and landed rows
+    beside theirs. The others run beside them.
     """
     if on_type_change not in ("error", "allow"):
         raise ValueError(f"unknown on_type_change {on_type_change!r}")
@@ -230,9 +236,13 @@ def run(
     started = as_of or datetime.now(timezone.utc)
     contracts = bundled_contracts() if contracts is None else contracts
     source = source or CatalogSource()
+    large = RLock()
 
     def one(item: tuple[str, list[DatasetSpec]]) -> tuple:
-        dataset, group = item
+        with ExitStack() as turn:
+            return deliver(*item, lambda: turn.enter_context(large))
+
+    def deliver(dataset: str, group: list[DatasetSpec], take_turn: Callable[[], object]) -> tuple:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", dataset)
         clock = time.monotonic()
         rows, delivered, error, notes = None, None, None, {}
@@ -249,7 +259,7 @@ def run(
                     before |= delivered_types(spark, in_folders) if entered is None else entered
             prepared = build_dataset(
                 spark, group, source, contracts.get(dataset), tenant, as_of, len(roots), attempts, delay,
-                "always" if ledger else staging, before,
+                "always" if ledger else staging, before, take_turn,
             )
             owed: list[str] = []
             try:

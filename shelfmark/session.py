@@ -24,11 +24,13 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Needed while datasets run, so that large months are cut at run time. Nothing
-# here may change what a source query means.
+# Needed while datasets run, so that large months are cut at run time and the
+# shuffle files of a query go when it ends, not when the driver collects its
+# garbage. Nothing here may change what a source query means.
 RUN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 

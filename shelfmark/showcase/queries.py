@@ -719,7 +719,10 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             landed = read_dataset(spark, f"{root}/{dataset}").agg(F.count(F.lit(1)).alias("rows"))
             part = landed.select(F.lit(name).alias("root"), F.lit(dataset).alias("dataset"), "rows")
             out = part if out is None else out.union(part)
-    return out
+    counted = spark.createDataFrame(out.collect(), out.schema)
+    for root in roots.values():
+        delete_tree(spark, root)
+    return counted
 
 
 @query("publish_gate")

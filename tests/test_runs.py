@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
@@ -24,9 +25,11 @@ from shelfmark.plans import (
     written,
 )
 from shelfmark.operators import partition_inventory
-from shelfmark.plans.dataset import discard, is_connection_error
+from shelfmark.plans import conform_dataset, prepare, runner
+from shelfmark.plans.dataset import MONTH_GROUPS, discard, fills_cores, is_connection_error
 from shelfmark.plans.report import REPORT_SCHEMA
 from shelfmark.session import scratch_path
+from shelfmark.showcase.queries import QUERIES
 from shelfmark.showcase.sources import SPECS, load_tables
 from shelfmark.sources import CatalogSource, read_dataset
 from shelfmark.storage import glob_paths, path_exists
@@ -474,3 +477,124 @@ def test_library_has_no_python_udfs_or_rdds():
     text = "\n".join(file.read_text() for file in package.rglob("*.py"))
     for word in ("pandas_udf", "F.udf", ".rdd", "localCheckpoint", "crossJoin", "toPandas"):
         assert word not in text
+
+
+@pytest.fixture
+def all_large(spark):
+    """Any file fills all cores."""
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    yield
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {file for folder in dirs for file in Path(folder).rglob("shuffle_*")}
+
+
+def test_shuffle_files_go_with_their_query(spark, tables):
+    before = shuffle_files(spark)
+    report = run(spark, SPECS, "0012", [scratch_path(spark, "shuffled")], as_of=AS_OF)
+    until = time.monotonic() + 10
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert set(statuses(report).values()) == {"written"}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+@pytest.mark.parametrize("filled, most", [("1b", 1), ("1g", 2)])
+def test_datasets_that_fill_all_cores_take_turns(spark, tables, monkeypatch, filled, most):
+    at_work, seen = set(), []
+
+    def deliver(prepared, paths, *rest):
+        at_work.add(paths[0])
+        seen.append(len(at_work))
+        time.sleep(3)
+        at_work.discard(paths[0])
+        return inner(prepared, paths, *rest)
+
+    inner = runner._deliver
+    monkeypatch.setattr(runner, "_deliver", deliver)
+    specs = [DatasetSpec(name, "SELECT p_partkey AS CodigoProduto FROM part") for name in ("Produtos", "Outros")]
+    spark.conf.set("spark.sql.files.openCostInBytes", filled)
+    try:
+        report = run(spark, specs, "0012", [scratch_path(spark, "turns")], workers=2, min_datasets=3, as_of=AS_OF)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert statuses(report) == {"Produtos": "written", "Outros": "written", "Atualizacao": "skipped"}
+    assert max(seen) == most
+
+
+def test_rows_made_in_the_driver_fill_no_cores(spark, small, all_large):
+    assert not fills_cores(spark.sql(small))
+
+
+def test_a_failed_dataset_gives_its_turn_back(spark, tables, all_large):
+    specs = [
+        DatasetSpec("Produtos", "SELECT CAST(concat('x', p_partkey) AS BIGINT) AS CodigoProduto FROM part"),
+        DatasetSpec("Clientes", "SELECT c_custkey AS CodigoCliente FROM customer"),
+    ]
+    report = run(spark, specs, "0012", [scratch_path(spark, "failed-turn")], workers=1, as_of=AS_OF)
+    assert statuses(report) == {"Produtos": "failed", "Clientes": "written", "Atualizacao": "skipped"}
+
+
+def test_a_large_dataset_lands_a_group_of_months_at_a_time(spark, all_large, tmp_path):
+    rows = [(i % 9 + 1995, i % 13, i) for i in range(3000)]
+    made = spark.createDataFrame(rows, "year int, month int, id bigint").selectExpr(
+        "CASE WHEN month > 0 THEN make_date(year, month, 1) END AS DataVenda",
+        "CAST(id % 50 AS DOUBLE) AS Peso", "id / 7D AS VlrBruto", "CASE WHEN id % 5 > 0 THEN id END AS Extra",
+    )
+    made.union(made.limit(100)).write.parquet(f"{tmp_path}/sales")
+    spark.read.parquet(f"{tmp_path}/sales").createOrReplaceTempView("months")
+    spec = DatasetSpec("Vendas", "SELECT * FROM months")
+    turns = []
+    prepared = build_dataset(
+        spark, [spec], CatalogSource(), bundled_contracts()["Vendas"], "0012", AS_OF, take_turn=lambda: turns.append(1)
+    )
+    try:
+        assert turns and prepared.rows == 3100
+        landed = spark.read.parquet(prepared.parts[0].path).selectExpr(
+            "_metadata.file_path AS file", f"pmod(hash(Ano, Mes), {MONTH_GROUPS}) AS months"
+        )
+        per_file = landed.groupBy("file").agg({"months": "min"}).join(landed.groupBy("file").agg({"months": "max"}), "file")
+        assert all(row[1] == row[2] for row in per_file.collect())
+        assert landed.select("months").distinct().count() == MONTH_GROUPS
+        # All rows once, as the query has them.
+        plain = conform_dataset(prepare(spark.sql(spec.query), spec, "0012", AS_OF, bundled_contracts()["Vendas"]), bundled_contracts()["Vendas"])
+        assert dict(prepared.frame.dtypes) == dict(plain.dtypes) and dict(plain.dtypes)["Peso"] == "bigint"
+        same = plain.select(prepared.frame.columns)
+        assert prepared.frame.exceptAll(same).isEmpty() and same.exceptAll(prepared.frame).isEmpty()
+        # What landed as it came is gone already.
+        assert [path for path in prepared.staged if path_exists(spark, path)] == [prepared.parts[0].path]
+    finally:
+        discard(spark, prepared.staged)
+
+
+def test_a_large_dataset_without_rows_is_empty(spark, tables, all_large):
+    text = "SELECT o_orderdate AS DataVenda FROM orders WHERE o_totalprice < 0"
+    report = run(spark, [DatasetSpec("Vendas", text)], "0012", [scratch_path(spark, "nothing")], as_of=AS_OF)
+    assert statuses(report)["Vendas"] == "empty"
+
+
+def test_a_large_run_equals_a_small_one(spark, tables):
+    roots = {}
+    for filled in ("1b", "1g"):
+        roots[filled] = scratch_path(spark, "sized")
+        spark.conf.set("spark.sql.files.openCostInBytes", filled)
+        try:
+            run(spark, SPECS, "0012", [roots[filled]], as_of=AS_OF)
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    for spec in SPECS:
+        large, small_run = (read_dataset(spark, f"{root}/{spec.dataset}") for root in roots.values())
+        assert large.schema == small_run.schema
+        assert large.exceptAll(small_run).isEmpty() and small_run.exceptAll(large).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["full_run"])
+def test_a_registered_run_leaves_nothing_delivered_behind(spark, sf_dir, name):
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob_paths(spark, f"{base}/shelfmark/*"))
+    assert QUERIES[name](spark, sf_dir).count() > 0
+    assert set(glob_paths(spark, f"{base}/shelfmark/*")) <= before
