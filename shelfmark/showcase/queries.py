@@ -690,10 +690,13 @@ def refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The eight datasets, one broken query and one without rows."""
+    """The eight datasets, one broken query and one without rows; only the report stays."""
     load_tables(spark, sf_dir)
     empty = DatasetSpec("Vazia", "SELECT o_orderkey FROM orders WHERE o_totalprice < 0")
-    return run(spark, [*SPECS, BROKEN, empty], SAMPLE_TENANT, [scratch_path(spark, "run")], as_of=AS_OF)
+    root = scratch_path(spark, "run")
+    report = run(spark, [*SPECS, BROKEN, empty], SAMPLE_TENANT, [root], as_of=AS_OF)
+    delete_tree(spark, root)
+    return report
 
 
 @query("run_report")
