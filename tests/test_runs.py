@@ -592,7 +592,7 @@ def test_a_large_run_equals_a_small_one(spark, tables):
         assert large.exceptAll(small_run).isEmpty() and small_run.exceptAll(large).isEmpty()
 
 
-@pytest.mark.parametrize("name", ["run_report", "run_totals", "full_run"])
+@pytest.mark.parametrize("name", ["run_report", "run_totals", "publish_gate_modes", "full_run"])
 def test_a_registered_run_leaves_nothing_delivered_behind(spark, sf_dir, name):
     base = spark.conf.get("spark.checkpoint.dir")
     before = set(glob_paths(spark, f"{base}/shelfmark/*"))
